@@ -131,9 +131,9 @@ array(
     'drugcumulativedose', cast(NULL AS array<struct<value:decimal(12,3),doseunit:string>>),
     'timeintervalunitofmeasure', '804'),
   named_struct('drgname', cast(NULL AS string), 'medicinalproduct', cast(NULL AS string),
-    'medicinalproductname', CASE WHEN k % 2 = 1 THEN p END,
+    'medicinalproductname', CASE WHEN k div 4 % 2 = 1 THEN p END,
     'drgcode', cast(NULL AS array<struct<value:string,codingSystem:string>>),
-    'activesubstancename', CASE WHEN k % 2 = 0 THEN concat('subst-', c % 5) END,
+    'activesubstancename', CASE WHEN k div 4 % 2 = 0 THEN concat('subst-', c % 5) END,
     'drugcharacterization', cast(NULL AS bigint),
     'drugdosageform', cast(NULL AS string), 'drugdosage', cast(NULL AS string),
     'drugadministrationroute', cast(NULL AS array<struct<routecode:string>>),
@@ -257,7 +257,7 @@ drg AS (
   FROM dose WHERE n_drugs >= 2
   UNION ALL
   SELECT report_id, received_date, patient_sex, patient_age, loaded_at,
-    CASE WHEN k % 2 = 1 THEN p END, NULL, NULL, CASE WHEN k % 2 = 0 THEN 'subst-' || (c % 5) END,
+    CASE WHEN k div 4 % 2 = 1 THEN p END, NULL, NULL, CASE WHEN k % 2 = 0 THEN 'subst-' || (c % 5) END,
     NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, 2
   FROM dose WHERE n_drugs >= 3),
 rct AS (

@@ -50,18 +50,27 @@ def split_valid(files: DataFrame) -> tuple[DataFrame, DataFrame]:
     return files.filter(ok), files.filter(~ok)
 
 
-def documents(files: DataFrame) -> DataFrame:
-    """``(…, pos, raw_json)``: one row per document, outer arrays stripped.
+def load_rows(files: DataFrame, check_names: bool = True) -> DataFrame:
+    """``(…, outcome, pos, raw_json)`` from one pass over the files.
 
-    All columns but ``content`` are carried along; bad files vanish as a whole.
+    One row per document with outer arrays stripped, and one row without a
+    document for a file that is rejected or holds an empty array.  ``outcome`` is
+    SUCCESS, FAILED (content does not parse) or ERROR (not a ``.json`` name).
+    All columns but ``content`` are carried along.
     """
     carried = [c for c in files.columns if c != "content"]
-    parsed = files.select(*carried, parse("content").alias("_doc")).filter("_doc IS NOT NULL")
-    items = F.coalesce(elements("_doc"), F.array("_doc"))
-    return (
-        parsed.select(*carried, F.posexplode(items).alias("pos", "raw_json"))
-        .filter("raw_json IS NOT NULL")
-    )
+    named = is_json_name(F.col("file_name")) if check_names else F.lit(True)
+    parsed = files.select(*carried, named.alias("_named"), parse("content").alias("_doc"))
+    judged = parsed.withColumn(
+        "outcome",
+        F.when(~F.col("_named"), "ERROR").when(F.col("_doc").isNull(), "FAILED").otherwise("SUCCESS"))
+    items = F.when(F.col("outcome") == "SUCCESS", F.coalesce(elements("_doc"), F.array("_doc")))
+    return judged.select(*carried, "outcome", F.posexplode_outer(items).alias("pos", "raw_json"))
+
+
+def documents(files: DataFrame) -> DataFrame:
+    """``(…, pos, raw_json)``: one row per document of the files that parse."""
+    return load_rows(files, check_names=False).filter("raw_json IS NOT NULL").drop("outcome")
 
 
 def with_load_metadata(docs: DataFrame, status: str = "PENDING",
@@ -110,24 +119,22 @@ def read_raw(spark: SparkSession, path: str, as_of: datetime | str | None = None
     return raw_table(read_files(spark, path), as_of, start)
 
 
-def ingest_report(files: DataFrame, raw: DataFrame) -> DataFrame:
-    """One outcome row ``(file_name, status, file_id, message)`` per file name.
+def ingest_report(loaded: DataFrame) -> DataFrame:
+    """One outcome row ``(file_name, status, file_id, message)`` per file.
 
-    ``raw`` is the table the good files were loaded into.
+    ``loaded`` holds the rows of :func:`load_rows` with their ``file_id``; the id
+    of a file is that of its newest document, 0 if it held none.
     """
-    per_file = files.groupBy("file_name").agg(
-        F.min(parse("content").isNotNull()).alias("_parses"))
-    newest = raw.groupBy("file_name").agg(F.max("file_id").alias("file_id"))
-    named = is_json_name(F.col("file_name"))
-    loaded = named & F.col("_parses")
-    return per_file.join(newest, "file_name", "left").select(
-        "file_name",
-        F.when(~named, "ERROR").when(~F.col("_parses"), "FAILED").otherwise("SUCCESS").alias("status"),
-        F.when(loaded, F.coalesce("file_id", F.lit(0))).alias("file_id"),
-        F.when(~named, "Only .json files are supported.")
-        .when(~F.col("_parses"), "Invalid JSON structure")
-        .otherwise(F.concat(F.lit("Loaded with ID "), F.coalesce("file_id", F.lit(0))))
-        .alias("message"),
+    newest = F.max(F.when(F.col("raw_json").isNotNull(), F.col("file_id")))
+    ok = F.col("status") == "SUCCESS"
+    return (
+        loaded.groupBy("file_name", F.col("outcome").alias("status"))
+        .agg(F.coalesce(newest, F.lit(0)).alias("_id"))
+        .select(
+            "file_name", "status", F.when(ok, F.col("_id")).alias("file_id"),
+            F.when(ok, F.concat(F.lit("Loaded with ID "), F.col("_id").cast("string")))
+            .when(F.col("status") == "ERROR", "Only .json files are supported.")
+            .otherwise("Invalid JSON structure").alias("message"))
     )
 
 
