@@ -180,9 +180,19 @@ def _report(patient: str) -> str:
   'patient', {patient}))))"""
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Input of fewer splits than cores dealt out evenly: building documents is CPU work.
+
+    A large input has more splits than that and is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    splits = df._jdf.rdd().getNumPartitions()
+    return df if splits >= cores else df.repartition(cores)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(doc_key, file_name, loaded_at, content)``: one JSON report per order version."""
-    base = table(spark, sf_dir, "orders").selectExpr(
+    base = spread(table(spark, sf_dir, "orders")).selectExpr(
         "o_orderkey AS k", "o_custkey AS c", "o_orderstatus AS s", "o_orderpriority AS p",
         "cast(o_orderdate AS date) AS dt", "o_orderdate",
         "explode(CASE WHEN o_orderkey % 5 = 0 THEN array(1, 2) ELSE array(1) END) AS ver")
@@ -257,7 +267,7 @@ drg AS (
   FROM dose WHERE n_drugs >= 2
   UNION ALL
   SELECT report_id, received_date, patient_sex, patient_age, loaded_at,
-    CASE WHEN k div 4 % 2 = 1 THEN p END, NULL, NULL, CASE WHEN k % 2 = 0 THEN 'subst-' || (c % 5) END,
+    CASE WHEN k // 4 % 2 = 1 THEN p END, NULL, NULL, CASE WHEN k // 4 % 2 = 0 THEN 'subst-' || (c % 5) END,
     NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, 2
   FROM dose WHERE n_drugs >= 3),
 rct AS (

@@ -12,13 +12,14 @@ def dedupe_latest(df: DataFrame, key: str = "report_id",
 
     ``row_number() = 1`` lets Spark place a group limit before the shuffle, so
     every input task sends one row per key at most and a key that holds a
-    large share of the rows stays cheap.  Rows without a key are dropped first;
-    they would otherwise form one hot group.
+    large share of the rows stays cheap.  The same goes for rows without a key;
+    they are dropped after the window, in a condition that also needs the rank,
+    because a plain null check would be moved below the projection that
+    extracts the key and make Spark extract it twice.
     """
     order = Window.partitionBy(key).orderBy(*[F.desc(c) for c in newest])
     return (
-        df.filter(F.col(key).isNotNull())
-        .withColumn("_rank", F.row_number().over(order))
-        .filter("_rank = 1")
+        df.withColumn("_rank", F.row_number().over(order))
+        .filter((F.col("_rank") == 1) & F.when(F.col(key).isNotNull(), F.col("_rank") == 1))
         .drop("_rank")
     )

@@ -22,13 +22,14 @@ MAX_BROADCAST_KEYS = 100_000
 def large_keys(left: DataFrame, right: DataFrame, key: str, block: int = BLOCK) -> DataFrame | None:
     """``(key, left_stripes, right_stripes)`` of the keys to split; None if there is none.
 
-    The result is pinned and counted: it is marked for broadcast only up to
+    One aggregation over the key column tells whether there is any; only then is
+    the list pinned and counted.  It is marked for broadcast up to
     ``MAX_BROADCAST_KEYS`` rows and joined by shuffle beyond.
     """
     one, zero = F.lit(1).cast("long"), F.lit(0).cast("long")
     sides = left.select(key, one.alias("l"), zero.alias("r")).unionAll(
         right.select(key, zero.alias("l"), one.alias("r")))
-    large = pin(
+    large = (
         sides.filter(F.col(key).isNotNull())
         .groupBy(key)
         .agg(F.sum("l").alias("l"), F.sum("r").alias("r"))
@@ -36,10 +37,11 @@ def large_keys(left: DataFrame, right: DataFrame, key: str, block: int = BLOCK)
         .select(key, F.ceil(F.col("l") / block).alias("left_stripes"),
                 F.ceil(F.col("r") / block).alias("right_stripes"))
     )
-    n = large.limit(MAX_BROADCAST_KEYS + 1).count()
-    if n == 0:
+    if large.isEmpty():
         return None
-    return F.broadcast(large) if n <= MAX_BROADCAST_KEYS else large
+    large = pin(large)
+    few = large.limit(MAX_BROADCAST_KEYS + 1).count() <= MAX_BROADCAST_KEYS
+    return F.broadcast(large) if few else large
 
 
 def grid_join(left: DataFrame, right: DataFrame, key: str, large: DataFrame) -> DataFrame:
