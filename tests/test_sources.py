@@ -26,7 +26,8 @@ def folder(tmp_path):
     put(tmp_path, "none.json", [])
     (tmp_path / "in" / "cut.json").write_text('{"x":')
     (tmp_path / "in" / "twice.json").write_text('{"a":1,"a":2}')
-    (tmp_path / "in" / "empty.json").write_text("")
+    (tmp_path / "in" / "empty.json").write_text(" ")
+    (tmp_path / "in" / "zero.json").write_text("")
     put(tmp_path, "a.txt", doc("t"))
     return tmp_path
 

@@ -20,7 +20,11 @@ from ..session import pin
 
 
 def read_files(spark: SparkSession, path: str) -> DataFrame:
-    """All files below ``path`` as ``(file_name, content)``; compressed files are unpacked."""
+    """All files below ``path`` as ``(file_name, content)``; compressed files are unpacked.
+
+    Spark's file sources leave out files of zero length; they hold nothing to
+    load and so get no outcome row either.
+    """
     return _named_files(spark.read.option("recursiveFileLookup", True).text(path, wholetext=True))
 
 

@@ -97,8 +97,8 @@ def current_reports(staged: DataFrame) -> DataFrame:
 def current_children(children: DataFrame, staged: DataFrame) -> DataFrame:
     """Child rows written by the batch that holds the newest version of their report."""
     newest = current_reports(staged.select("report_id", "src_ld_ts", "file_id", "batch_id"))
-    return children.join(newest.select("report_id", "batch_id"), ["report_id", "batch_id"],
-                         "left_semi").drop("batch_id")
+    kept = children.join(newest.select("report_id", "batch_id"), ["report_id", "batch_id"], "left_semi")
+    return kept.select(*[c for c in children.columns if c != "batch_id"])
 
 
 def next_batch_id(spark: SparkSession, out: str, table: str = "staged") -> int:
