@@ -80,12 +80,13 @@ def mixed(spark):
     return docs, R.stage_reports(raw(spark, docs)).cache()
 
 
-@pytest.mark.parametrize("way", ["reports", "children", "split", "pairs"])
+@pytest.mark.parametrize("way", ["reports", "cut", "children", "split", "pairs"])
 def test_tallies_match_brute_force(mixed, way):
     docs, staged = mixed
     drugs, reactions = R.report_drugs(staged), R.report_reactions(staged)
     tally = {
         "reports": lambda: tally_reports(staged),
+        "cut": lambda: tally_reports(staged, block=7),
         "children": lambda: tally_children(drugs, reactions),
         "split": lambda: tally_children(drugs, reactions, block=7),
         "pairs": lambda: tally_pairs(R.pairs_of_reports(staged)),
@@ -122,6 +123,7 @@ def test_pair_rows_by_join_and_by_explode(mixed):
     _, staged = mixed
     exploded = rows(R.pairs_of_reports(staged))
     drugs, reactions = R.report_drugs(staged), R.report_reactions(staged)
+    assert rows(R.pairs_of_reports(staged, block=9)) == exploded
     assert rows(R.drug_reaction_pairs(drugs, reactions)) == exploded
     assert rows(R.drug_reaction_pairs(drugs, reactions, block=11)) == exploded
 

@@ -37,7 +37,7 @@ def put(folder, name, body):
 
 
 def test_read_raw(spark, folder):
-    got = S.read_raw(spark, f"{folder}/in", as_of="2024-02-01", start=10)
+    got = S.read_raw(spark, f"{folder}/in", as_of="2024-02-01", start=10, dense=True)
     assert rows(got.select("file_name", R.report_id("raw_json"), "file_status")) == [
         ("many.json", "b", "PROCESSED"), ("many.json", "c", "PROCESSED"), ("one.json", "a", "PROCESSED")]
     assert rows(got, "file_id") == [(11,), (12,), (13,)]
@@ -76,8 +76,8 @@ def test_file_ids_are_dense_over_skewed_partitions(spark):
 def test_append_latest_and_purge(spark, tmp_path):
     texts = [("mock_a.json", '{"id":"1"}'), ("mockXb.json", '{"id":"2"}'), ("real.json", '{"id":"3"}')]
     frame = spark.createDataFrame(texts, "file_name string, report_json string")
-    S.append_documents(frame, f"{tmp_path}/raw", "2024-02-01")
-    S.append_documents(frame.filter("file_name = 'real.json'"), f"{tmp_path}/raw", "2024-02-02", start=3)
+    S.append_documents(frame, f"{tmp_path}/raw", "2024-02-01", dense=True)
+    S.append_documents(frame.filter("file_name = 'real.json'"), f"{tmp_path}/raw", "2024-02-02", start=3, dense=True)
     table = spark.read.parquet(f"{tmp_path}/raw")
     assert S.latest_file_id(table, "real.json").first()[0] == 4
     assert S.latest_file_id(table, "absent.json").first()[0] == 0

@@ -11,6 +11,7 @@ from ..operators.tally import tally_reports
 from ..plans import reports as R
 from ..plans.marts import drug_stats_of_reports, summarise_drugs
 from ..plans.signals import risk_signals_of_reports
+from ..session import pin
 from ..schemas import (
     DRUG_ARRAY_PATH, PAIR_COLUMNS, REACTION_ARRAY_PATH, REPORT_ID_PATHS,
 )
@@ -164,7 +165,7 @@ def dedupe_latest_events(spark, sf_dir):
 @query("join_raw_to_staged", f"""WITH {DOCS_SQL} SELECT report_id, doc_key AS file_id, received_date,
   patient_sex, patient_age, loaded_at AS src_ld_ts FROM stg""")
 def join_raw_to_staged(spark, sf_dir):
-    documents = raw(spark, sf_dir)
+    documents = pin(raw(spark, sf_dir))
     joined = R.join_raw_to_staged(documents, R.stage_reports(documents))
     return plain(joined.select("report_id", "file_id", "received_date", "patient_sex", "patient_age",
                                "src_ld_ts"))
@@ -197,7 +198,7 @@ def drug_reaction_pairs(spark, sf_dir):
 @query("report_pairs", PAIRS_SQL)
 def report_pairs(spark, sf_dir):
     """The same pairs by joining the two child tables."""
-    reports = staged(spark, sf_dir)
+    reports = pin(staged(spark, sf_dir))
     return R.drug_reaction_pairs(R.report_drugs(reports), R.report_reactions(reports))
 
 
@@ -234,4 +235,5 @@ def drug_summary_of_reports(spark, sf_dir):
   SELECT drug_name, reaction_term, report_count, b_count, c_count, d_count, ror, prr, ror_simple,
     signal_strength, is_significant_signal FROM sig""")
 def signals_of_reports(spark, sf_dir):
-    return risk_signals_of_reports(staged(spark, sf_dir)).drop("signal_generated_at")
+    needed = staged(spark, sf_dir).select("report_id", "drug_names", "reaction_terms", "pair_volume")
+    return risk_signals_of_reports(pin(needed)).drop("signal_generated_at")

@@ -101,7 +101,7 @@ def stream_stage_upsert(spark, sf_dir):
     staged = _table(spark, streamed(spark, sf_dir, ("load", "stage")), "staged")
     return plain(B.current_reports(staged).drop(
         "src_ld_ts", "src_ld_date", "source_file", "file_id", "batch_id", "drugs", "reactions",
-        "drug_names", "reaction_terms"))
+        "drug_names", "reaction_terms", "pair_volume"))
 
 
 @query("stream_children", f"""WITH {DOCS_SQL}, {DOC_CHILDREN_SQL}

@@ -122,7 +122,7 @@ def raw_file_id(spark, sf_dir):
   count(DISTINCT id) AS ids FROM (SELECT 1000 + row_number() OVER () AS id FROM elems WHERE named)""")
 def raw_file_id_any_order(spark, sf_dir):
     """Ids in whatever order the rows lie, without a shuffle: dense and unique from a start."""
-    ids = S.raw_table(files(spark, sf_dir), LOADED_AT, start=1000)
+    ids = S.raw_table(files(spark, sf_dir), LOADED_AT, start=1000, dense=True)
     return ids.agg(F.count("*").alias("n"), F.min("file_id").alias("lowest"),
                    F.max("file_id").alias("highest"), F.countDistinct("file_id").alias("ids"))
 

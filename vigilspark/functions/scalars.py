@@ -13,8 +13,12 @@ from ..schemas import (
 
 
 def parse_date(text: Column, *formats: str) -> Column:
-    """First of ``formats`` that reads the text; NULL when none does."""
-    return F.coalesce(*[F.try_to_date(text, f) for f in formats])
+    """First of ``formats`` that reads the text; NULL when none does.
+
+    The formats are of fixed width, so a text of another length is not tried: a
+    failed attempt costs Spark an exception.
+    """
+    return F.coalesce(*[F.when(F.length(text) == len(f), F.try_to_date(text, f)) for f in formats])
 
 
 def fit(value: Column, type_: str, strict: bool = False) -> Column:

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .within import BLOCK, grid_join, large_keys
+from .within import BLOCK, array_grid, grid_join, large_keys
 
 PAIR = ["drug_name", "reaction_term"]
 
@@ -29,19 +29,23 @@ def _sum_up(pairs: DataFrame) -> DataFrame:
     )
 
 
-def tally_reports(staged: DataFrame) -> DataFrame:
+def tally_reports(staged: DataFrame, block: int = BLOCK) -> DataFrame:
     """Tally of staged reports (one row per report, see ``plans.reports``).
 
-    The arrays of a report sit in its row, so pairs are formed without any
-    shuffle and only partial pair counts travel.
+    The arrays of a report sit in its row, so pairs are formed without a
+    shuffle and only partial pair counts travel.  Only a report with very many
+    pairs is cut up and spread.
     """
-    drugs = staged.select(
-        "reaction_terms",
-        F.posexplode(F.array_distinct("drug_names")).alias("_d", "drug_name"))
+    arrays = staged.select(
+        "report_id", "pair_volume", F.array_distinct("drug_names").alias("drugs"),
+        F.array_distinct("reaction_terms").alias("terms"))
+    cells = array_grid(arrays, "drugs", "terms", "pair_volume", "report_id", block)
+    drugs = cells.select("left_from", "right_from", "terms",
+                         F.posexplode("drugs").alias("_d", "drug_name"))
     pairs = drugs.select(
-        "drug_name", (F.col("_d") == 0).alias("first_drug"),
-        F.posexplode(F.array_distinct("reaction_terms")).alias("_r", "reaction_term"))
-    return _sum_up(pairs.withColumn("first_reaction", F.col("_r") == 0))
+        "drug_name", (F.col("left_from") + F.col("_d") == 0).alias("first_drug"), "right_from",
+        F.posexplode("terms").alias("_r", "reaction_term"))
+    return _sum_up(pairs.withColumn("first_reaction", F.col("right_from") + F.col("_r") == 0))
 
 
 def tally_children(drugs: DataFrame, reactions: DataFrame, block: int = BLOCK) -> DataFrame:

@@ -57,9 +57,48 @@ def grid_join(left: DataFrame, right: DataFrame, key: str, large: DataFrame) ->
             .drop("left_stripes", "right_stripes")
         )
 
-    return laid_out(left, "left_stripes", "_row", "right_stripes", "_col").join(
-        laid_out(right, "right_stripes", "_col", "left_stripes", "_row"), [key, "_row", "_col"]
-    ).drop("_row", "_col")
+    cell = [key, "_row", "_col"]
+    left = laid_out(left, "left_stripes", "_row", "right_stripes", "_col")
+    right = laid_out(right, "right_stripes", "_col", "left_stripes", "_row")
+    return spread(left, *cell).join(spread(right, *cell), cell).drop("_row", "_col")
+
+
+def spread(df: DataFrame, *cols: str) -> DataFrame:
+    """Hash partitioning into a fixed number of partitions.
+
+    Cells are small to shuffle and large to multiply, so partitions must not be
+    merged by their size in bytes; a given number keeps Spark from doing so.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *cols)
+
+
+def array_grid(df: DataFrame, left: str, right: str, volume: str, key: str,
+               block: int = BLOCK) -> DataFrame:
+    """Rows that hold two arrays, ready for a double explode: ``left`` x ``right``.
+
+    A row whose arrays multiply to more than block*block pairs (its stored
+    ``volume``) is cut into cells of at most ``block`` elements a side and the
+    cells are spread; all other rows stay where they are.  ``left_from`` and
+    ``right_from`` are the positions at which the slices start.  Rows with no
+    pairs are dropped.  On a stored table the test on ``volume`` is answered by
+    the file statistics, so the large branch reads next to nothing.
+    """
+    limit, zero = block * block, F.lit(0)
+    small = df.filter((F.col(volume) > 0) & (F.col(volume) <= limit)).withColumns(
+        {"left_from": zero, "right_from": zero})
+
+    def starts(array: str):
+        return F.explode(F.sequence(zero, F.size(array) - 1, F.lit(block)))
+
+    def cut(array: str, start: str):
+        return F.slice(array, F.col(start) + 1, block)
+
+    large = (
+        df.filter(F.col(volume) > limit)
+        .withColumn("left_from", starts(left)).withColumn("right_from", starts(right))
+        .withColumns({left: cut(left, "left_from"), right: cut(right, "right_from")})
+    )
+    return small.unionByName(spread(large, key, "left_from", "right_from"))
 
 
 def join_within(left: DataFrame, right: DataFrame, key: str, block: int = BLOCK) -> DataFrame:

@@ -48,7 +48,7 @@ def build_marts(spark: SparkSession, out: str, min_reports: int = MIN_PAIR_REPOR
                 as_of: datetime | str | None = None) -> None:
     """Pair tally, pair mart, drug mart and signals of the current reports."""
     reports = current_reports(read_table(spark, out, "staged"))
-    needed = reports.select("report_id", "patient_age", "drug_names", "reaction_terms")
+    needed = reports.select("report_id", "patient_age", "drug_names", "reaction_terms", "pair_volume")
     write_table(needed, f"{out}/current_reports")
     current = spark.read.parquet(f"{out}/current_reports")
     write_table(tally_reports(current), f"{out}/pair_tally")

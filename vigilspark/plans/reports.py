@@ -7,6 +7,7 @@ arrays that the statistics need:
 ``drug_names``      names of the drugs that have a name or a substance (NULL if
                     only a substance), with repeats, in document order
 ``reaction_terms``  terms of the reactions that have one, with repeats
+``pair_volume``     drugs times reactions: the pair rows the report will make
 
 Children and pairs are then functions of one row: no second parse of the raw
 documents, no join back to them, and the newest version of a report always
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 from ..functions.scalars import fit, least_ts, make_key, parse_date
 from ..functions.semistructured import first_path, path
 from ..operators.latest import dedupe_latest
-from ..operators.within import BLOCK, join_within
+from ..operators.within import BLOCK, array_grid, join_within
 from ..schemas import (
     DRUG_ARRAY_PATH, DRUG_ELEMENT, PAIR_COLUMNS, REACTION_ARRAY_PATH, REACTION_ELEMENT,
     RECEIVED_DATE_PATH, REPORT_COLUMNS, REPORT_DATES, REPORT_DRUG_COLUMNS, REPORT_ID_PATHS,
@@ -66,11 +67,14 @@ def extract_report(raw: DataFrame, strict: bool = False) -> DataFrame:
         "file_id", drugs.alias("drugs"), reactions.alias("reactions"),
     )
     terms = F.transform("reactions", lambda r: r["reactionmeddrapt"])
-    return typed.select(
+    flat = typed.select(
         *REPORT_COLUMNS, "file_id", "drugs", "reactions",
         F.transform(F.filter("drugs", is_named), drug_name).alias("drug_names"),
         F.array_compact(terms).alias("reaction_terms"),
     )
+    volume = F.size("drug_names").cast("long") * F.size("reaction_terms")
+    has_both = F.col("drug_names").isNotNull() & F.col("reaction_terms").isNotNull()
+    return flat.withColumn("pair_volume", F.when(has_both, volume).otherwise(F.lit(0).cast("long")))
 
 
 def cast_errors(raw: DataFrame) -> DataFrame:
@@ -160,8 +164,8 @@ def report_drugs(staged: DataFrame, strict: bool = False) -> DataFrame:
     rows = staged.select(
         "report_id", "received_date", "patient_sex", "patient_age", "src_ld_ts", "src_ld_date",
         F.posexplode("drugs").alias("drug_sequence", "_drug"))
-    rows = rows.withColumns(drug_fields(F.col("_drug"), strict)).withColumn(
-        "report_drug_id", make_key("report_id", F.lit("-"), F.col("drug_sequence").cast("string")))
+    rows = rows.withColumns(drug_fields(F.col("_drug"), strict)).select(
+        "*", _drug_id(F.col("drug_sequence")))
     return filter_named_drugs(rows).select(*REPORT_DRUG_COLUMNS)
 
 
@@ -170,9 +174,8 @@ def report_reactions(staged: DataFrame, strict: bool = False) -> DataFrame:
     rows = staged.select(
         "report_id", "received_date", "src_ld_ts", "src_ld_date",
         F.posexplode("reactions").alias("reaction_sequence", "_reaction"))
-    rows = rows.withColumns(reaction_fields(F.col("_reaction"), strict)).withColumn(
-        "report_reaction_id",
-        make_key("report_id", F.lit("-react-"), F.col("reaction_sequence").cast("string")))
+    rows = rows.withColumns(reaction_fields(F.col("_reaction"), strict)).select(
+        "*", _reaction_id(F.col("reaction_sequence")))
     return filter_reaction_present(rows).select(*REPORT_REACTION_COLUMNS)
 
 
@@ -190,29 +193,40 @@ def drug_reaction_pairs(drugs: DataFrame, reactions: DataFrame, block: int = BLO
     )
 
 
-def pairs_of_reports(staged: DataFrame) -> DataFrame:
-    """The same pair rows straight from staged reports: two explodes in a row, no shuffle."""
-    drugs = report_drugs_with(staged, "reactions")
-    rows = drugs.select("*", F.posexplode("reactions").alias("reaction_sequence", "_reaction"))
+def pairs_of_reports(staged: DataFrame, block: int = BLOCK) -> DataFrame:
+    """The same pair rows straight from staged reports: two explodes in a row, no shuffle
+    but for reports with very many pairs."""
+    # elements keep their position in the document, which the filters would lose
+    drugs = F.filter(_indexed("drugs"), lambda x: is_named(x["value"]))
+    reactions = F.filter(_indexed("reactions"), lambda x: x["value"]["reactionmeddrapt"].isNotNull())
+    arrays = staged.select("report_id", "src_ld_ts", "pair_volume", drugs.alias("_drugs"),
+                           reactions.alias("_reactions"))
+    cells = array_grid(arrays, "_drugs", "_reactions", "pair_volume", "report_id", block)
+    rows = cells.select("report_id", "src_ld_ts", "_reactions", F.explode("_drugs").alias("_d"))
+    rows = rows.select("report_id", "src_ld_ts", "_d", F.explode("_reactions").alias("_r"))
+    fields = drug_fields(F.col("_d.value"))
     return (
-        rows.withColumn("reaction_term", F.col("_reaction")["reactionmeddrapt"])
-        .filter("reaction_term IS NOT NULL")
-        .withColumn("report_reaction_id", make_key(
-            "report_id", F.lit("-react-"), F.col("reaction_sequence").cast("string")))
+        rows.select(
+            "report_id", "src_ld_ts", fields["drug_name"].alias("drug_name"),
+            fields["drug_characterization"].alias("drug_characterization"),
+            F.col("_d.index").alias("drug_sequence"), _drug_id(F.col("_d.index")),
+            F.col("_r.value.reactionmeddrapt").alias("reaction_term"),
+            F.col("_r.index").alias("reaction_sequence"), _reaction_id(F.col("_r.index")))
         .withColumn("drug_reaction_pair_id", _pair_id())
         .select(*PAIR_COLUMNS)
     )
 
 
-def report_drugs_with(staged: DataFrame, *carried: str) -> DataFrame:
-    """The drug columns pairs need, next to further columns of the report row."""
-    rows = staged.select("report_id", "src_ld_ts", *carried,
-                         F.posexplode("drugs").alias("drug_sequence", "_drug"))
-    wanted = ["drug_name", "active_substance_name", "drug_characterization"]
-    fields = drug_fields(F.col("_drug"))
-    rows = rows.withColumns({c: fields[c] for c in wanted}).withColumn(
-        "report_drug_id", make_key("report_id", F.lit("-"), F.col("drug_sequence").cast("string")))
-    return filter_named_drugs(rows).drop("_drug", "active_substance_name")
+def _indexed(array: str) -> Column:
+    return F.transform(array, lambda x, i: F.struct(i.alias("index"), x.alias("value")))
+
+
+def _drug_id(index: Column) -> Column:
+    return make_key("report_id", F.lit("-"), index.cast("string")).alias("report_drug_id")
+
+
+def _reaction_id(index: Column) -> Column:
+    return make_key("report_id", F.lit("-react-"), index.cast("string")).alias("report_reaction_id")
 
 
 def _pair_id() -> Column:

@@ -109,18 +109,35 @@ def assign_file_id(docs: DataFrame, start: int = 0, order_by: list[str] | None =
     )
 
 
+def spaced_file_id(docs: DataFrame, start: int = 0) -> DataFrame:
+    """Unique ``file_id`` above ``start`` without shuffle or second pass, with gaps.
+
+    Each partition counts in a range of its own, so the ids are settled in the
+    task that writes the rows.  2**30 partitions fit over the life of a table;
+    past 2**62 the caller has to renumber.
+    """
+    if start >= 1 << 62:
+        raise OverflowError("file ids are used up: renumber the table with assign_file_id")
+    return docs.withColumn("file_id", F.monotonically_increasing_id() + F.lit(start + 1))
+
+
 def raw_table(files: DataFrame, as_of: datetime | str | None = None, start: int = 0,
-              order_by: list[str] | None = None) -> DataFrame:
-    """File frame to raw table: only accepted files, ids, load time, PROCESSED."""
+              dense: bool = False, order_by: list[str] | None = None) -> DataFrame:
+    """File frame to raw table: only accepted files, ids, load time, PROCESSED.
+
+    ``dense`` or ``order_by`` number without gaps (see :func:`assign_file_id`).
+    """
     docs = documents(files.filter(is_json_name(F.col("file_name"))))
     loaded = with_load_metadata(docs, "PROCESSED", as_of)
-    return assign_file_id(loaded, start, order_by).select(*RAW_COLUMNS)
+    numbered = (assign_file_id(loaded, start, order_by) if dense or order_by
+                else spaced_file_id(loaded, start))
+    return numbered.select(*RAW_COLUMNS)
 
 
 def read_raw(spark: SparkSession, path: str, as_of: datetime | str | None = None,
-             start: int = 0) -> DataFrame:
+             start: int = 0, dense: bool = False) -> DataFrame:
     """Raw table of the JSON files below ``path``."""
-    return raw_table(read_files(spark, path), as_of, start)
+    return raw_table(read_files(spark, path), as_of, start, dense)
 
 
 def ingest_report(loaded: DataFrame) -> DataFrame:
@@ -157,9 +174,9 @@ def wrap_reports(reports: DataFrame, report: str = "report_json") -> DataFrame:
 
 
 def append_documents(reports: DataFrame, path: str, as_of: datetime | str | None = None,
-                     start: int = 0) -> None:
+                     start: int = 0, dense: bool = False) -> None:
     """Append ``(file_name, report_json)`` rows to the raw table at ``path``."""
-    raw_table(wrap_reports(reports), as_of, start).write.mode("append").parquet(path)
+    raw_table(wrap_reports(reports), as_of, start, dense).write.mode("append").parquet(path)
 
 
 def purge_like(raw: DataFrame, pattern: str) -> DataFrame:

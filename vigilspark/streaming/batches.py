@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from ..operators.latest import dedupe_latest
 from ..plans.reports import pairs_of_reports, report_drugs, report_reactions, stage_reports
 from ..schemas import RAW_COLUMNS
-from ..sources.raw import assign_file_id, ingest_report, load_rows, with_load_metadata
+from ..sources.raw import ingest_report, load_rows, spaced_file_id, with_load_metadata
 
 CHILDREN: dict[str, Callable[[DataFrame], DataFrame]] = {
     "report_drugs": report_drugs,
@@ -57,7 +57,7 @@ def load_batch(files: DataFrame, batch_id: int, out: str, as_of: datetime | str
     if earlier is not None:
         earlier = earlier.filter(F.col("batch_id") < batch_id)
     rows = with_load_metadata(load_rows(files, check_names), "PROCESSED", as_of)
-    assign_file_id(rows, start=_number(earlier, "max(file_id)")).write.mode("overwrite").parquet(
+    spaced_file_id(rows, start=_number(earlier, "max(file_id)")).write.mode("overwrite").parquet(
         batch_path(out, "loads", batch_id))
 
 
