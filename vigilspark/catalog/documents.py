@@ -112,6 +112,32 @@ def flatten_reactions(spark, sf_dir):
     return flatten(docs, "reactions").select("doc_key", "index")
 
 
+@query("lateral_flatten_join", f"""WITH {DOCS_SQL}
+  SELECT doc_key, report_id, i AS index, CASE i WHEN 0 THEN 'X' || s WHEN 1 THEN 'prod-' || (c % 40) END
+    AS medicinal_product_name
+  FROM docs JOIN (VALUES (0), (1), (2)) v(i) ON i < n_drugs
+  UNION ALL SELECT doc_key, report_id, NULL, NULL FROM docs WHERE n_drugs = 0""")
+def lateral_flatten_join(spark, sf_dir):
+    """Columns of the document next to those of each of its drugs."""
+    docs = raw(spark, sf_dir).select(
+        F.col("file_id").alias("doc_key"), R.report_id("raw_json").alias("report_id"),
+        elements("raw_json", DRUG_ARRAY_PATH).alias("drugs"))
+    return flatten(docs, "drugs").select(
+        "doc_key", "report_id", "index",
+        path("element", "$.medicinalproduct").alias("medicinal_product_name"))
+
+
+@query("filter_report_id", f"""WITH {DOCS_SQL}
+  SELECT count(*) AS documents, count(report_id) AS with_id, count(DISTINCT report_id) AS reports FROM docs""")
+def filter_report_id(spark, sf_dir):
+    """Documents, those with an id, and the reports that staging keeps."""
+    documents = pin(raw(spark, sf_dir))
+    kept = R.stage_reports(documents).agg(F.count("*").alias("reports"))
+    return documents.agg(
+        F.count("*").alias("documents"), F.count(R.report_id("raw_json")).alias("with_id")
+    ).crossJoin(F.broadcast(kept))
+
+
 DRUG_SQL = """drug_name, drug_code, drug_coding_system, active_substance_name, medicinal_product_name,
   drug_characterization, drug_dosage_form, drug_dosage_text, route_code, authorization_number,
   drug_indication, indication_coding_system, cumulative_dose_value, cumulative_dose_unit,
@@ -192,7 +218,7 @@ PAIRS_SQL = f"""WITH {DOCS_SQL}, {DOC_CHILDREN_SQL}
 
 @query("drug_reaction_pairs", PAIRS_SQL)
 def drug_reaction_pairs(spark, sf_dir):
-    return R.pairs_of_reports(staged(spark, sf_dir)).select(*PAIR_COLUMNS)
+    return R.pairs_of_reports(pin(staged(spark, sf_dir))).select(*PAIR_COLUMNS)
 
 
 @query("report_pairs", PAIRS_SQL)
@@ -222,7 +248,7 @@ def filter_reaction_present(spark, sf_dir):
 @query("pair_tally_of_reports", f"""WITH {DOCS_SQL}, {DOC_CHILDREN_SQL}, {MARTS_SQL}
   SELECT drug_name, reaction_term, report_count FROM pc""")
 def pair_tally_of_reports(spark, sf_dir):
-    return tally_reports(staged(spark, sf_dir)).select("drug_name", "reaction_term", "report_count")
+    return tally_reports(pin(staged(spark, sf_dir))).select("drug_name", "reaction_term", "report_count")
 
 
 @query("drug_summary_of_reports", f"""WITH {DOCS_SQL}, {DOC_CHILDREN_SQL}, {SUMMARY_SQL}

@@ -46,6 +46,15 @@ def incremental_read_first(spark, sf_dir):
     return T.newer_than_target(events, events.filter("event_id < 0"), "ts")
 
 
+@query("max_load_ts", """SELECT coalesce(max(ts), TIMESTAMP '1900-01-01') AS mark,
+  TIMESTAMP '1900-01-01' AS mark_when_empty FROM events""")
+def max_load_ts(spark, sf_dir):
+    events = table(spark, sf_dir, "events").select("event_id", "ts")
+    return spark.range(1).select(
+        T.high_water_mark(events, "ts").alias("mark"),
+        T.high_water_mark(events.filter("event_id < 0"), "ts").alias("mark_when_empty"))
+
+
 @query("table_sink", "SELECT o_orderkey, o_orderdate, o_orderstatus FROM orders")
 def table_sink(spark, sf_dir):
     """Full refresh, run twice: the second replaces the first."""

@@ -88,6 +88,11 @@ def optional_predicates(spark, sf_dir):
     )).select("event_id")
 
 
+@query("contains_ci", "SELECT c_custkey FROM customer WHERE upper(c_name) LIKE upper('%R#0_00%1%')")
+def contains_ci(spark, sf_dir):
+    return table(spark, sf_dir, "customer").filter(P.contains_ci("c_name", "R#0_00%1")).select("c_custkey")
+
+
 @query("equals_ci", "SELECT event_id FROM events WHERE upper(event_type) = upper('Click')")
 def equals_ci(spark, sf_dir):
     return table(spark, sf_dir, "events").filter(P.equals_ci("event_type", "Click")).select("event_id")

@@ -51,40 +51,40 @@ def tally_reports(staged: DataFrame, block: int = BLOCK) -> DataFrame:
 def tally_children(drugs: DataFrame, reactions: DataFrame, block: int = BLOCK) -> DataFrame:
     """Tally of the child tables (one row per report and drug / reaction).
 
-    Repeats inside a report are removed first, with map-side combining, which
-    also bounds what a large report contributes.  Reports that still are large
-    take the grid of :mod:`within`; the others are numbered on the layout that
-    their join needs anyway.
+    Reports of at most ``block`` rows a side, usually all of them, travel once,
+    to the layout their join needs; repeats are dropped and the first row is
+    found on the sorted rows there.  Larger reports have their repeats combined
+    before they travel and are spread over the grid of :mod:`within`.
     """
     key = "report_id"
-    d = drugs.select(key, "drug_name").filter(F.col(key).isNotNull()).distinct()
-    r = (
-        reactions.select(key, "reaction_term")
-        .filter(F.col(key).isNotNull() & F.col("reaction_term").isNotNull())
-        .distinct()
-    )
+    d = drugs.select(key, "drug_name").filter(F.col(key).isNotNull())
+    r = reactions.select(key, "reaction_term").filter(
+        F.col(key).isNotNull() & F.col("reaction_term").isNotNull())
 
     def numbered(df: DataFrame, col: str, flag: str) -> DataFrame:
-        rank = F.row_number().over(Window.partitionBy(key).orderBy(col))
-        return df.withColumn(flag, rank == 1)
+        order = Window.partitionBy(key).orderBy(col)
+        ranked = df.withColumns({
+            flag: F.row_number().over(order) == 1,
+            "_repeat": F.col(col).eqNullSafe(F.lag(col).over(order))})
+        return ranked.filter(F.col(flag) | ~F.col("_repeat")).drop("_repeat")
 
     def compared(df: DataFrame, col: str, flag: str) -> DataFrame:
         # min() skips NULL, so NULL is first only where it is the only value
         first = df.groupBy(key).agg(F.min(col).alias("_first"))
         return df.join(first, key).withColumn(flag, F.col(col).eqNullSafe(F.col("_first"))).drop("_first")
 
-    # raw row counts bound the distinct ones from above: a cheap first look
-    large = large_keys(drugs, reactions, key, block)
-    if large is None:
-        pairs = numbered(d, "drug_name", "first_drug").join(
+    def joined(d: DataFrame, r: DataFrame) -> DataFrame:
+        return numbered(d, "drug_name", "first_drug").join(
             numbered(r, "reaction_term", "first_reaction"), key)
-        return _sum_up(pairs)
 
-    small = numbered(d.join(large, key, "left_anti"), "drug_name", "first_drug").join(
-        numbered(r.join(large, key, "left_anti"), "reaction_term", "first_reaction"), key)
+    large = large_keys(d, r, key, block)
+    if large is None:
+        return _sum_up(joined(d, r))
+    small = joined(d.join(large, key, "left_anti"), r.join(large, key, "left_anti"))
     hot = grid_join(
-        compared(d.join(large, key, "left_semi"), "drug_name", "first_drug"),
-        compared(r.join(large, key, "left_semi"), "reaction_term", "first_reaction"), key, large)
+        compared(d.join(large, key, "left_semi").distinct(), "drug_name", "first_drug"),
+        compared(r.join(large, key, "left_semi").distinct(), "reaction_term", "first_reaction"),
+        key, large)
     return _sum_up(small.unionByName(hot))
 
 

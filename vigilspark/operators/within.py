@@ -22,9 +22,9 @@ MAX_BROADCAST_KEYS = 100_000
 def large_keys(left: DataFrame, right: DataFrame, key: str, block: int = BLOCK) -> DataFrame | None:
     """``(key, left_stripes, right_stripes)`` of the keys to split; None if there is none.
 
-    One aggregation over the key column tells whether there is any; only then is
-    the list pinned and counted.  It is marked for broadcast up to
-    ``MAX_BROADCAST_KEYS`` rows and joined by shuffle beyond.
+    One aggregation over the key column counts them; only if there are any is the
+    list pinned.  It is marked for broadcast up to ``MAX_BROADCAST_KEYS`` rows and
+    joined by shuffle beyond.
     """
     one, zero = F.lit(1).cast("long"), F.lit(0).cast("long")
     sides = left.select(key, one.alias("l"), zero.alias("r")).unionAll(
@@ -37,11 +37,11 @@ def large_keys(left: DataFrame, right: DataFrame, key: str, block: int = BLOCK)
         .select(key, F.ceil(F.col("l") / block).alias("left_stripes"),
                 F.ceil(F.col("r") / block).alias("right_stripes"))
     )
-    if large.isEmpty():
+    n = large.count()
+    if n == 0:
         return None
     large = pin(large)
-    few = large.limit(MAX_BROADCAST_KEYS + 1).count() <= MAX_BROADCAST_KEYS
-    return F.broadcast(large) if few else large
+    return F.broadcast(large) if n <= MAX_BROADCAST_KEYS else large
 
 
 def grid_join(left: DataFrame, right: DataFrame, key: str, large: DataFrame) -> DataFrame:
