@@ -18,10 +18,11 @@ from ..schemas import (
 from . import query
 from .bindings import DOC_CHILDREN_SQL, DOCS_SQL, MARTS_SQL, SUMMARY_SQL, raw, table
 
-REPORT_SQL = """report_id, received_date, cast(NULL AS DATE) AS reception_date, safety_report_version,
-  transmission_date, patient_age, patient_age_days, patient_age_years, patient_sex,
-  reaction_onset_date, patient_weight_kg, patient_height_cm, s AS source_country,
-  loaded_at AS src_ld_ts, cast(loaded_at AS DATE) AS src_ld_date, file_name AS source_file"""
+REPORT_SQL = """report_id, received_date::VARCHAR AS received_date,
+  NULL::VARCHAR AS reception_date, safety_report_version,
+  transmission_date::VARCHAR AS transmission_date, patient_age, patient_age_days, patient_age_years, patient_sex,
+  reaction_onset_date::VARCHAR AS reaction_onset_date, patient_weight_kg, patient_height_cm, s AS source_country,
+  loaded_at AS src_ld_ts, loaded_at::DATE::VARCHAR AS src_ld_date, file_name AS source_file"""
 
 
 def plain(df: DataFrame) -> DataFrame:
@@ -188,7 +189,7 @@ def dedupe_latest_events(spark, sf_dir):
     return dedupe_latest(events, "user_id", ("ts", "event_id"))
 
 
-@query("join_raw_to_staged", f"""WITH {DOCS_SQL} SELECT report_id, doc_key AS file_id, received_date,
+@query("join_raw_to_staged", f"""WITH {DOCS_SQL} SELECT report_id, doc_key AS file_id, received_date::VARCHAR AS received_date,
   patient_sex, patient_age, loaded_at AS src_ld_ts FROM stg""")
 def join_raw_to_staged(spark, sf_dir):
     documents = pin(raw(spark, sf_dir))
@@ -198,15 +199,16 @@ def join_raw_to_staged(spark, sf_dir):
 
 
 @query("report_drugs", f"""WITH {DOCS_SQL}, {DOC_CHILDREN_SQL}
-  SELECT report_id || '-' || drug_sequence AS report_drug_id, report_id, received_date, patient_sex,
-    patient_age, {DRUG_SQL}, loaded_at AS src_ld_ts, cast(loaded_at AS DATE) AS src_ld_date FROM drg""")
+  SELECT report_id || '-' || drug_sequence AS report_drug_id, report_id, received_date::VARCHAR AS received_date, patient_sex,
+    patient_age, {DRUG_SQL}, loaded_at AS src_ld_ts, loaded_at::DATE::VARCHAR AS src_ld_date FROM drg""")
 def report_drugs(spark, sf_dir):
     return plain(R.report_drugs(staged(spark, sf_dir)))
 
 
 @query("report_reactions", f"""WITH {DOCS_SQL}, {DOC_CHILDREN_SQL}
-  SELECT report_id || '-react-' || reaction_sequence AS report_reaction_id, report_id, received_date,
-    {REACTION_SQL}, loaded_at AS src_ld_ts, cast(loaded_at AS DATE) AS src_ld_date FROM rct""")
+  SELECT report_id || '-react-' || reaction_sequence AS report_reaction_id, report_id,
+    received_date::VARCHAR AS received_date, {REACTION_SQL}, loaded_at AS src_ld_ts,
+    loaded_at::DATE::VARCHAR AS src_ld_date FROM rct""")
 def report_reactions(spark, sf_dir):
     return R.report_reactions(staged(spark, sf_dir))
 

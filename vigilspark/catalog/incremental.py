@@ -114,7 +114,7 @@ def stream_stage_upsert(spark, sf_dir):
 
 
 @query("stream_children", f"""WITH {DOCS_SQL}, {DOC_CHILDREN_SQL}
-  SELECT report_id || '-' || drug_sequence AS report_drug_id, report_id, received_date, patient_sex,
+  SELECT report_id || '-' || drug_sequence AS report_drug_id, report_id, received_date::VARCHAR AS received_date, patient_sex,
     patient_age, {DRUG_SQL} FROM drg""")
 def stream_children(spark, sf_dir):
     out = streamed(spark, sf_dir)

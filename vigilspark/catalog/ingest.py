@@ -138,7 +138,7 @@ def latest_file_id(spark, sf_dir):
 
 
 @query("raw_insert_document", """SELECT 'mock_' || event_id || '.json' AS file_name,
-  cast(user_id AS VARCHAR) AS report_id, cast(ts AS DATE) AS received_date, 'PROCESSED' AS file_status
+  cast(user_id AS VARCHAR) AS report_id, ts::DATE::VARCHAR AS received_date, 'PROCESSED' AS file_status
   FROM events""")
 def raw_insert_document(spark, sf_dir):
     """Report texts wrapped, parsed and appended to a raw table in two steps."""

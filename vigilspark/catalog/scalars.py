@@ -11,7 +11,7 @@ from . import query
 from .bindings import table
 
 
-@query("parse_date_multi", """SELECT o_orderkey, CASE WHEN o_orderkey % 5 IN (0, 1) THEN cast(o_orderdate AS DATE) END
+@query("parse_date_multi", """SELECT o_orderkey, CASE WHEN o_orderkey % 5 IN (0, 1) THEN o_orderdate::DATE::VARCHAR END
   AS parsed FROM orders""")
 def parse_date_multi(spark, sf_dir):
     text = F.expr("""CASE o_orderkey % 5 WHEN 0 THEN date_format(o_orderdate, 'yyyyMMdd')
@@ -20,7 +20,7 @@ def parse_date_multi(spark, sf_dir):
         "o_orderkey", S.parse_date(text, "yyyyMMdd", "yyyy-MM-dd").alias("parsed"))
 
 
-@query("cast_date_strict", "SELECT o_orderkey, cast(o_orderdate AS DATE) AS onset FROM orders")
+@query("cast_date_strict", "SELECT o_orderkey, o_orderdate::DATE::VARCHAR AS onset FROM orders")
 def cast_date_strict(spark, sf_dir):
     doc = parse(F.to_json(F.struct(F.date_format("o_orderdate", "yyyy-MM-dd").alias("d"))), strict=True)
     return table(spark, sf_dir, "orders").select(
@@ -41,7 +41,7 @@ def cast_decimal(spark, sf_dir):
         path(doc, "$.v", "decimal(1,0)").cast("int").alias("one_place"))
 
 
-@query("timestamp_to_date", "SELECT event_id, cast(ts AS DATE) AS day FROM events")
+@query("timestamp_to_date", "SELECT event_id, ts::DATE::VARCHAR AS day FROM events")
 def timestamp_to_date(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", F.to_date("ts").alias("day"))
 
