@@ -43,6 +43,20 @@ def test_read_raw(spark, folder):
     assert rows(got, "file_id") == [(11,), (12,), (13,)]
 
 
+def test_large_arrays_are_taken_apart(spark, folder):
+    put(folder, "odd.json", [doc("o"), None, 7])
+    (folder / "in" / "bad_part.json").write_text('[{"a":1},{"b":1,"b":2}]')
+    files = S.read_files(spark, f"{folder}/in")
+
+    def outcome(whole):
+        loaded = S.load_rows(files, whole=whole)
+        return rows(loaded.select("file_name", "outcome", "pos", F.to_json("raw_json")))
+
+    assert outcome(0) == outcome(S.PARSE_WHOLE)
+    good, bad = S.split_valid(files, whole=0)
+    assert ("bad_part.json",) in rows(bad, "file_name") and ("odd.json",) in rows(good, "file_name")
+
+
 def test_compressed_files_are_unpacked(spark, tmp_path):
     (tmp_path / "x.json.gz").write_bytes(gzip.compress(json.dumps(doc("z")).encode()))
     docs = S.documents(S.read_files(spark, str(tmp_path)))

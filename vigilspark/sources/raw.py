@@ -18,6 +18,7 @@ from ..functions.semistructured import elements, parse
 from ..schemas import RAW_COLUMNS
 from ..session import pin
 
+PARSE_WHOLE = 32 * 1024 * 1024
 
 def read_files(spark: SparkSession, path: str) -> DataFrame:
     """All files below ``path`` as ``(file_name, content)``; compressed files are unpacked.
@@ -45,16 +46,34 @@ def is_json_name(name: Column | str) -> Column:
     return F.endswith(name, F.lit(".json"))
 
 
-def split_valid(files: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _parsed(files: DataFrame, whole: int) -> DataFrame:
+    """Adds ``_ok``, ``_doc`` (a file parsed whole) and ``_parts`` (an array parsed by element).
+
+    A semi-structured value has a size limit, so the array of a file of more
+    than ``whole`` bytes is taken apart as text before its elements are parsed.
+    """
+    large = F.octet_length("content") > whole
+    parsed = (
+        files.withColumn("_texts", F.when(large, F.from_json("content", "array<string>")))
+        .withColumn("_doc", F.when(F.col("_texts").isNull(), parse("content")))
+        .withColumn("_parts", F.transform(
+            "_texts", lambda x: parse(F.coalesce(x, F.lit("null")))))
+    )
+    by_part = F.col("_texts").isNotNull() & ~F.exists("_parts", lambda x: x.isNull())
+    return parsed.withColumn("_ok", F.col("_doc").isNotNull() | F.coalesce(by_part, F.lit(False)))
+
+
+def split_valid(files: DataFrame, whole: int = PARSE_WHOLE) -> tuple[DataFrame, DataFrame]:
     """Files with a ``.json`` name and parseable content, and the rest.
 
     Repeated object keys count as malformed.
     """
-    ok = is_json_name(F.col("file_name")) & parse("content").isNotNull()
-    return files.filter(ok), files.filter(~ok)
+    judged = _parsed(files, whole).withColumn("_ok", F.col("_ok") & is_json_name(F.col("file_name")))
+    return (judged.filter("_ok").select(*files.columns),
+            judged.filter("NOT _ok").select(*files.columns))
 
 
-def load_rows(files: DataFrame, check_names: bool = True) -> DataFrame:
+def load_rows(files: DataFrame, check_names: bool = True, whole: int = PARSE_WHOLE) -> DataFrame:
     """``(…, outcome, pos, raw_json)`` from one pass over the files.
 
     One row per document with outer arrays stripped, and one row without a
@@ -64,12 +83,13 @@ def load_rows(files: DataFrame, check_names: bool = True) -> DataFrame:
     """
     carried = [c for c in files.columns if c != "content"]
     named = is_json_name(F.col("file_name")) if check_names else F.lit(True)
-    parsed = files.select(*carried, named.alias("_named"), parse("content").alias("_doc"))
-    judged = parsed.withColumn(
-        "outcome",
-        F.when(~F.col("_named"), "ERROR").when(F.col("_doc").isNull(), "FAILED").otherwise("SUCCESS"))
-    items = F.when(F.col("outcome") == "SUCCESS", F.coalesce(elements("_doc"), F.array("_doc")))
-    return judged.select(*carried, "outcome", F.posexplode_outer(items).alias("pos", "raw_json"))
+    outcome = F.when(~named, "ERROR").when(~F.col("_ok"), "FAILED").otherwise("SUCCESS")
+    whole_file = F.when(F.col("_doc").isNotNull(), F.coalesce(elements("_doc"), F.array("_doc")))
+    items = F.when(F.col("outcome") == "SUCCESS", F.coalesce(whole_file, "_parts"))
+    return (
+        _parsed(files, whole).withColumn("outcome", outcome)
+        .select(*carried, "outcome", F.posexplode_outer(items).alias("pos", "raw_json"))
+    )
 
 
 def documents(files: DataFrame) -> DataFrame:
