@@ -90,10 +90,14 @@ def test_file_ids_are_dense_over_skewed_partitions(spark):
 def test_append_latest_and_purge(spark, tmp_path):
     texts = [("mock_a.json", '{"id":"1"}'), ("mockXb.json", '{"id":"2"}'), ("real.json", '{"id":"3"}')]
     frame = spark.createDataFrame(texts, "file_name string, report_json string")
-    S.append_documents(frame, f"{tmp_path}/raw", "2024-02-01", dense=True)
-    S.append_documents(frame.filter("file_name = 'real.json'"), f"{tmp_path}/raw", "2024-02-02", start=3, dense=True)
+    S.append_documents(frame, f"{tmp_path}/raw", "2024-02-01")
+    highest = spark.read.parquet(f"{tmp_path}/raw").agg(F.max("file_id")).first()[0]
+    S.append_documents(frame.filter("file_name = 'real.json'"), f"{tmp_path}/raw", "2024-02-02", start=highest)
+    with pytest.raises(Exception, match="MALFORMED"):
+        S.append_documents(frame.withColumn("report_json", F.lit('{"id"')), f"{tmp_path}/raw")
     table = spark.read.parquet(f"{tmp_path}/raw")
-    assert S.latest_file_id(table, "real.json").first()[0] == 4
+    assert table.count() == 4
+    assert S.latest_file_id(table, "real.json").first()[0] > highest
     assert S.latest_file_id(table, "absent.json").first()[0] == 0
     assert rows(S.purge_like(table, "mock_%"), "file_name") == [("real.json",), ("real.json",)]
     assert rows(table.select(path("raw_json", "$.safetyreport[0].id"))) == [("1",), ("2",), ("3",), ("3",)]
@@ -132,6 +136,19 @@ def test_stream_picks_up_new_files_once(spark, folder):
     assert loads.select("file_id").distinct().count() == loads.count()
 
 
+def test_a_batch_of_bad_files_and_an_empty_increment(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "cut.json").write_text("{")
+    out = f"{tmp_path}/out"
+    stream_ingest(spark, f"{tmp_path}/in", out, f"{tmp_path}/p").awaitTermination()
+    assert B.raw_of(B.read_table(spark, out, "loads")).count() == 0
+    assert B.current_reports(B.read_table(spark, out, "staged")).count() == 0
+    table = raw(spark, [doc("a", ["x"], ["r"])])
+    for _ in range(2):
+        build_tables(spark, table, f"{tmp_path}/tables", "incremental", min_reports=1)
+    assert spark.read.parquet(f"{tmp_path}/tables/risk_signals").count() == 1
+
+
 def test_a_repeated_batch_changes_nothing(spark, tmp_path):
     out = str(tmp_path)
     table = raw(spark, [doc("a", ["x"], ["r"]), doc("b", ["y"], ["r"])])

@@ -9,13 +9,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.semistructured import elements, path
 from ..plans.reports import report_id
 from ..schemas import RECEIVED_DATE_PATH
-from ..functions.semistructured import elements, path
 from ..session import scratch_path
 from ..sources import raw as S
 from . import query
-from .bindings import DOCS_SQL, documents, raw
+from .bindings import DOCS_SQL, documents, raw, table
 
 DOCS_PER_FILE = 2000
 LOADED_AT = "2024-02-01 00:00:00"
@@ -142,8 +142,6 @@ def latest_file_id(spark, sf_dir):
   FROM events""")
 def raw_insert_document(spark, sf_dir):
     """Report texts wrapped, parsed and appended to a raw table in two steps."""
-    from .bindings import table
-
     reports = table(spark, sf_dir, "events").selectExpr(
         "event_id", "concat('mock_', event_id, '.json') AS file_name",
         "to_json(named_struct('id', cast(user_id AS string), 'receivedate', date_format(ts, 'yyyyMMdd')))"

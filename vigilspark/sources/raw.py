@@ -194,9 +194,14 @@ def wrap_reports(reports: DataFrame, report: str = "report_json") -> DataFrame:
 
 
 def append_documents(reports: DataFrame, path: str, as_of: datetime | str | None = None,
-                     start: int = 0, dense: bool = False) -> None:
-    """Append ``(file_name, report_json)`` rows to the raw table at ``path``."""
-    raw_table(wrap_reports(reports), as_of, start, dense).write.mode("append").parquet(path)
+                     start: int = 0) -> None:
+    """Append ``(file_name, report_json)`` rows to the raw table at ``path``.
+
+    Unlike a file, a text that does not parse is an error and nothing is appended.
+    """
+    docs = wrap_reports(reports).select("file_name", parse("content", strict=True).alias("raw_json"))
+    loaded = with_load_metadata(docs, "PROCESSED", as_of)
+    spaced_file_id(loaded, start).select(*RAW_COLUMNS).write.mode("append").parquet(path)
 
 
 def purge_like(raw: DataFrame, pattern: str) -> DataFrame:
