@@ -59,7 +59,7 @@ def test_misfits_are_null_and_listed_or_raise(spark):
     assert (staged.safety_report_version, staged.patient_age, staged.reaction_onset_date) == (None,) * 3
     assert rows(R.cast_errors(table), "file_id", "column_name", "value") == [
         (1, "patient_age", "old"), (1, "reaction_onset_date", "x"), (1, "safety_report_version", "1000")]
-    with pytest.raises(Exception, match="INVALID_VARIANT_CAST"):
+    with pytest.raises(Exception, match="does not fit"):
         R.stage_reports(table, strict=True).collect()
 
 
@@ -135,6 +135,26 @@ def test_join_raw_to_staged_keeps_one_version(spark):
     assert rows(joined, "report_id", "file_id") == [("a", 2), ("b", 3)]
 
 
+def test_empty_arrays(spark):
+    hollow = {"medicinalproduct": "x", "drgcode": [], "drugindication": [], "drugcumulativedose": [],
+              "drugadministrationroute": []}
+    docs = [doc("a", [hollow], [{"reactionmeddrapt": "r", "reactionoutcome": []}], primarysource=[],
+                patient={"age": [], "onsetdate": [], "weight": [], "height": []}),
+            {"safetyreport": [{"id": "b", "patient": []}]}]
+    staged = R.stage_reports(raw(spark, docs), strict=True)
+    assert rows(staged, "report_id", "patient_age", "source_country") == [("a", None, None), ("b", None, None)]
+    assert rows(R.report_drugs(staged, strict=True), "drug_name", "drug_code", "route_code") == [("x", None, None)]
+    assert rows(R.report_reactions(staged, strict=True), "reaction_term", "outcome_code") == [("r", None)]
+    assert R.pairs_of_reports(staged).count() == 1
+
+
+def test_strict_children(spark):
+    staged = R.stage_reports(raw(spark, [doc("a", [{"medicinalproduct": "x", "drugcharacterization": "main"}])]))
+    assert R.report_drugs(staged).first().drug_characterization is None
+    with pytest.raises(Exception, match="does not fit"):
+        R.report_drugs(staged, strict=True).collect()
+
+
 def test_preview(spark):
     docs = [doc(f"r{i}", ["x"], ["q"]) for i in range(9)]
     got = [tuple(r) for r in R.extraction_preview(raw(spark, docs)).collect()]

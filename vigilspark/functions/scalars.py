@@ -23,7 +23,11 @@ def parse_date(text: Column, *formats: str) -> Column:
 
 def fit(value: Column, type_: str, strict: bool = False) -> Column:
     """Cast that yields NULL on a misfit, or raises when ``strict``."""
-    return value.cast(type_) if strict else value.try_cast(type_)
+    fitted = value.try_cast(type_)
+    if not strict:
+        return fitted
+    misfit = F.concat(F.lit(f"does not fit {type_}: "), value.cast("string"))
+    return F.coalesce(fitted, F.when(value.isNotNull(), F.raise_error(misfit)).cast(type_))
 
 
 def make_key(*parts: Column | str) -> Column:

@@ -25,8 +25,8 @@ from ..operators.latest import dedupe_latest
 from ..operators.within import BLOCK, array_grid, join_within
 from ..schemas import (
     DRUG_ARRAY_PATH, DRUG_ELEMENT, PAIR_COLUMNS, REACTION_ARRAY_PATH, REACTION_ELEMENT,
-    RECEIVED_DATE_PATH, REPORT_COLUMNS, REPORT_DATES, REPORT_DRUG_COLUMNS, REPORT_ID_PATHS,
-    REPORT_REACTION_COLUMNS, REPORT_VALUES, SOURCE_COUNTRY_PATH,
+    RECEIVED_DATE_PATH, REPORT_COLUMNS, REPORT_DATES, REPORT_DRUG_COLUMNS, REPORT_ELEMENT,
+    REPORT_ID_PATHS, REPORT_PATH, REPORT_REACTION_COLUMNS, REPORT_VALUES,
 )
 
 
@@ -44,27 +44,55 @@ def is_named(drug: Column) -> Column:
     return drug_name(drug).isNotNull() | drug["activesubstancename"].isNotNull()
 
 
+def _report(raw: DataFrame) -> DataFrame:
+    """``raw`` with its first report as a typed nested column ``_report``: one pass over the document."""
+    return raw.withColumn("_report", path("raw_json", REPORT_PATH, REPORT_ELEMENT))
+
+
+def _texts() -> dict[str, Column]:
+    """Text of every typed report column, before it is cast."""
+    report = F.col("_report")
+    patient = F.get(report["patient"], 0)
+    age = F.get(patient["age"], 0)
+    return {
+        "received_date": path(report["receivedate"], "$"),
+        "reception_date": path(report["receivedate"], "$.receptiondate"),
+        "safety_report_version": report["safetyreportversion"],
+        "transmission_date": report["transmissiondate"],
+        "patient_age": age["value"],
+        "patient_age_days": age["agedays"],
+        "patient_age_years": age["ageyears"],
+        "patient_sex": patient["sex"],
+        "reaction_onset_date": F.get(patient["onsetdate"], 0),
+        "patient_weight_kg": F.get(patient["weight"], 0)["weight"],
+        "patient_height_cm": F.get(patient["height"], 0)["height"],
+    }
+
+
+def _typed(column: str, text: Column, strict: bool = False) -> Column:
+    if column in REPORT_DATES:
+        return parse_date(text, *REPORT_DATES[column])
+    type_, shown = REPORT_VALUES[column]
+    return fit(text, type_, strict).cast(shown)
+
+
 def extract_report(raw: DataFrame, strict: bool = False) -> DataFrame:
     """Typed report columns and nested arrays of every raw document, no row dropped.
 
     A value that does not fit its type is NULL and listed by
-    :func:`cast_errors`; ``strict`` raises instead.  The try-dates never raise.
+    :func:`cast_errors`; ``strict`` raises instead.  The tried date formats
+    never raise.
     """
-    doc = "raw_json"
-    dates = [parse_date(path(doc, p), *formats).alias(c) for c, (p, formats) in REPORT_DATES.items()]
-    values = [
-        path(doc, p, type_, strict).cast(shown).alias(c)
-        for c, (p, type_, shown) in REPORT_VALUES.items()
-    ]
-    drugs = path(doc, DRUG_ARRAY_PATH, f"array<{DRUG_ELEMENT}>")
-    reactions = path(doc, REACTION_ARRAY_PATH, f"array<{REACTION_ELEMENT}>")
-    typed = raw.select(
-        report_id(doc).alias("report_id"), *dates, *values,
-        path(doc, SOURCE_COUNTRY_PATH).alias("source_country"),
+    report = F.col("_report")
+    patient = F.get(report["patient"], 0)
+    typed = _report(raw).select(
+        F.coalesce(report["safetyreportid"], report["id"]).alias("report_id"),
+        *[_typed(c, text, strict).alias(c) for c, text in _texts().items()],
+        F.get(report["primarysource"], 0)["reportercountry"].alias("source_country"),
         F.col("ingestion_timestamp").alias("src_ld_ts"),
         F.to_date("ingestion_timestamp").alias("src_ld_date"),
         F.col("file_name").alias("source_file"),
-        "file_id", drugs.alias("drugs"), reactions.alias("reactions"),
+        "file_id", patient["drug"].alias("drugs"), patient["reaction"].alias("reactions"),
     )
     terms = F.transform("reactions", lambda r: r["reactionmeddrapt"])
     flat = typed.select(
@@ -79,14 +107,11 @@ def extract_report(raw: DataFrame, strict: bool = False) -> DataFrame:
 
 def cast_errors(raw: DataFrame) -> DataFrame:
     """``(file_id, file_name, column_name, value)`` of report values that are present but do not fit."""
-    doc = "raw_json"
-    checks = [(c, path(doc, p), parse_date(path(doc, p), *f)) for c, (p, f) in REPORT_DATES.items()]
-    checks += [(c, path(doc, p), path(doc, p, t)) for c, (p, t, _) in REPORT_VALUES.items()]
     found = F.array(*[
-        F.when(text.isNotNull() & typed.isNull(),
+        F.when(text.isNotNull() & _typed(c, text).isNull(),
                F.struct(F.lit(c).alias("column_name"), text.alias("value")))
-        for c, text, typed in checks])
-    return raw.select("file_id", "file_name", F.inline(F.array_compact(found)))
+        for c, text in _texts().items()])
+    return _report(raw).select("file_id", "file_name", F.inline(F.array_compact(found)))
 
 
 def stage_reports(raw: DataFrame, strict: bool = False) -> DataFrame:
@@ -106,20 +131,20 @@ def drug_fields(d: Column, strict: bool = False) -> dict[str, Column]:
     """Columns of a drug element."""
     return {
         "drug_name": drug_name(d),
-        "drug_code": d["drgcode"].getItem(0)["value"],
-        "drug_coding_system": d["drgcode"].getItem(0)["codingSystem"],
+        "drug_code": F.get(d["drgcode"], 0)["value"],
+        "drug_coding_system": F.get(d["drgcode"], 0)["codingSystem"],
         "active_substance_name": d["activesubstancename"],
         "medicinal_product_name": d["medicinalproduct"],
         "drug_characterization": fit(d["drugcharacterization"], "decimal(1,0)", strict).cast("int"),
         "drug_dosage_form": d["drugdosageform"],
         "drug_dosage_text": d["drugdosage"],
-        "route_code": d["drugadministrationroute"].getItem(0)["routecode"],
+        "route_code": F.get(d["drugadministrationroute"], 0)["routecode"],
         "authorization_number": d["drugauthorizationnumber"],
-        "drug_indication": d["drugindication"].getItem(0)["value"],
-        "indication_coding_system": d["drugindication"].getItem(0)["codingSystem"],
+        "drug_indication": F.get(d["drugindication"], 0)["value"],
+        "indication_coding_system": F.get(d["drugindication"], 0)["codingSystem"],
         "cumulative_dose_value": fit(
-            d["drugcumulativedose"].getItem(0)["value"], "decimal(15,2)", strict),
-        "cumulative_dose_unit": d["drugcumulativedose"].getItem(0)["doseunit"],
+            F.get(d["drugcumulativedose"], 0)["value"], "decimal(15,2)", strict),
+        "cumulative_dose_unit": F.get(d["drugcumulativedose"], 0)["doseunit"],
         "dose_time_unit": d["timeintervalunitofmeasure"],
     }
 
@@ -131,9 +156,9 @@ def reaction_fields(r: Column, strict: bool = False) -> dict[str, Column]:
         "reaction_primary_source": r["primarysourcereaction"],
         "reaction_term": r["reactionmeddrapt"],
         "reaction_term_allt": r["reactionmeddrallt"],
-        "outcome_coding_system": r["reactionoutcome"].getItem(0)["codingSystem"],
+        "outcome_coding_system": F.get(r["reactionoutcome"], 0)["codingSystem"],
         "outcome_code": fit(
-            r["reactionoutcome"].getItem(0)["value"], "decimal(2,0)", strict).cast("int"),
+            F.get(r["reactionoutcome"], 0)["value"], "decimal(2,0)", strict).cast("int"),
     }
 
 

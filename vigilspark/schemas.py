@@ -11,33 +11,12 @@ RAW_COLUMNS = ["file_id", "file_name", "ingestion_timestamp", "raw_json", "file_
 FILE_STATUSES = ["PENDING", "PROCESSED"]
 
 # Report identity: first path that is present wins.
+REPORT_PATH = "$.safetyreport[0]"
 REPORT_ID_PATHS = ["$.safetyreport[0].safetyreportid", "$.safetyreport[0].id"]
 DRUG_ARRAY_PATH = "$.safetyreport[0].patient[0].drug"
 REACTION_ARRAY_PATH = "$.safetyreport[0].patient[0].reaction"
 RECEIVED_DATE_PATH = "$.safetyreport[0].receivedate"
 
-# Date text of a report: column -> (path, accepted formats, first match wins).
-REPORT_DATES = {
-    "received_date": (RECEIVED_DATE_PATH, ["yyyyMMdd", "yyyy-MM-dd"]),
-    "reception_date": ("$.safetyreport[0].receivedate.receptiondate", ["yyyyMMdd"]),
-    "transmission_date": ("$.safetyreport[0].transmissiondate", ["yyyyMMdd"]),
-}
-
-# Typed report values: column -> (path, type it must fit, type it is shown as).
-REPORT_VALUES = {
-    "safety_report_version": ("$.safetyreport[0].safetyreportversion", "decimal(3,0)", "int"),
-    "patient_age": ("$.safetyreport[0].patient[0].age[0].value", "decimal(5,2)", "decimal(5,2)"),
-    "patient_age_days": ("$.safetyreport[0].patient[0].age[0].agedays", "decimal(6,0)", "int"),
-    "patient_age_years": ("$.safetyreport[0].patient[0].age[0].ageyears", "decimal(4,0)", "int"),
-    "patient_sex": ("$.safetyreport[0].patient[0].sex", "decimal(1,0)", "int"),
-    "reaction_onset_date": ("$.safetyreport[0].patient[0].onsetdate[0]", "date", "date"),
-    "patient_weight_kg": (
-        "$.safetyreport[0].patient[0].weight[0].weight", "decimal(6,2)", "decimal(6,2)"),
-    "patient_height_cm": (
-        "$.safetyreport[0].patient[0].height[0].height", "decimal(5,1)", "decimal(5,1)"),
-}
-SOURCE_COUNTRY_PATH = "$.safetyreport[0].primarysource[0].reportercountry"
-
 # Shape of one element of the drug and reaction arrays, kept as text until a
 # child table casts it.
 CODED = "array<struct<value:string,codingSystem:string>>"
@@ -55,6 +34,37 @@ REACTION_ELEMENT = (
     f"reactionmeddrapt:string,reactionmeddrallt:string,reactionoutcome:{CODED}>"
 )
 
+# Shape of one report; text is cast to types afterwards.  ``receivedate`` is text
+# in most reports and an object in some.
+REPORT_ELEMENT = (
+    "struct<safetyreportid:string,id:string,receivedate:variant,safetyreportversion:string,"
+    "transmissiondate:string,primarysource:array<struct<reportercountry:string>>,"
+    "patient:array<struct<"
+    "age:array<struct<value:string,agedays:string,ageyears:string>>,sex:string,"
+    "onsetdate:array<string>,weight:array<struct<weight:string>>,"
+    "height:array<struct<height:string>>,"
+    f"drug:array<{DRUG_ELEMENT}>,reaction:array<{REACTION_ELEMENT}>>>>"
+)
+
+# Accepted date formats, first match wins.
+REPORT_DATES = {
+    "received_date": ["yyyyMMdd", "yyyy-MM-dd"],
+    "reception_date": ["yyyyMMdd"],
+    "transmission_date": ["yyyyMMdd"],
+}
+
+# Typed report values: column -> (type it must fit, type it is shown as).
+REPORT_VALUES = {
+    "safety_report_version": ("decimal(3,0)", "int"),
+    "patient_age": ("decimal(5,2)", "decimal(5,2)"),
+    "patient_age_days": ("decimal(6,0)", "int"),
+    "patient_age_years": ("decimal(4,0)", "int"),
+    "patient_sex": ("decimal(1,0)", "int"),
+    "reaction_onset_date": ("date", "date"),
+    "patient_weight_kg": ("decimal(6,2)", "decimal(6,2)"),
+    "patient_height_cm": ("decimal(5,1)", "decimal(5,1)"),
+}
+
 REPORT_COLUMNS = [
     "report_id", "received_date", "reception_date", "safety_report_version",
     "transmission_date", "patient_age", "patient_age_days", "patient_age_years",
