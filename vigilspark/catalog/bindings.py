@@ -186,7 +186,7 @@ def spread(df: DataFrame) -> DataFrame:
     A large input has more splits than that and is left as it is.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    splits = df._jdf.rdd().getNumPartitions()
+    splits = df.rdd.getNumPartitions()
     return df if splits >= cores else df.repartition(cores)
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
+from ..operators.numbering import number_rows
 from ..operators.tally import (
     drug_counts, pair_counts, reaction_counts, tally_children, total_reports,
 )
@@ -57,12 +58,11 @@ def risk_signals_sparse(spark, sf_dir):
 
 @query("order_signals", f"""{SPARSE} SELECT row_number() OVER (ORDER BY is_significant_signal DESC,
   ror DESC NULLS FIRST, report_count DESC, drug_name, reaction_term) AS position,
-  drug_name, reaction_term FROM sig ORDER BY position LIMIT 100""")
+  drug_name, reaction_term FROM sig""")
 def order_signals(spark, sf_dir):
-    ordered = P.order_signals(sparse_signals(spark, sf_dir)).limit(100)
-    # at most the 100 reported rows reach the single partition that numbers them
-    return ordered.coalesce(1).select(
-        (F.monotonically_increasing_id() + 1).alias("position"), "drug_name", "reaction_term")
+    """Every signal with its place in the order."""
+    placed = number_rows(sparse_signals(spark, sf_dir), "position", order_by=P.signal_order())
+    return placed.select("position", "drug_name", "reaction_term")
 
 
 @query("drug_margin_counts", f"{SPARSE} SELECT drug_name, reports_with_drug FROM dc")

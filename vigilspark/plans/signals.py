@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
@@ -80,11 +80,15 @@ def signals_from_tally(tally: DataFrame, reports: DataFrame, min_reports: int =
     }).select(*SIGNAL_COLUMNS)
 
 
-def order_signals(signals: DataFrame, nulls_first: bool = True) -> DataFrame:
-    """Significant first, then by ROR and count, with a total order."""
+def signal_order(nulls_first: bool = True) -> list[Column]:
+    """Significant first, then by ROR and count, completed to a total order."""
     ror = F.desc_nulls_first("ror") if nulls_first else F.desc_nulls_last("ror")
-    return signals.orderBy(F.desc("is_significant_signal"), ror, F.desc("report_count"),
-                           "drug_name", "reaction_term")
+    return [F.desc("is_significant_signal"), ror, F.desc("report_count"),
+            F.asc("drug_name"), F.asc("reaction_term")]
+
+
+def order_signals(signals: DataFrame, nulls_first: bool = True) -> DataFrame:
+    return signals.orderBy(*signal_order(nulls_first))
 
 
 def risk_signals(drugs: DataFrame, reactions: DataFrame, reports: DataFrame,

@@ -10,13 +10,13 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalars import run_timestamp
 from ..functions.semistructured import elements, parse
+from ..operators.numbering import number_rows
 from ..schemas import RAW_COLUMNS
-from ..session import pin
 
 PARSE_WHOLE = 32 * 1024 * 1024
 
@@ -105,28 +105,8 @@ def with_load_metadata(docs: DataFrame, status: str = "PENDING",
 
 
 def assign_file_id(docs: DataFrame, start: int = 0, order_by: list[str] | None = None) -> DataFrame:
-    """Gap-free ascending ``file_id`` from ``start + 1``, without a single-task window.
-
-    Rows are numbered inside their partition and the numbering is pinned in the
-    shared folder, so a lost executor cannot renumber them.  The offsets of the
-    partitions are then a table of at most one row per partition, which bounds
-    the only global window and the broadcast below.  By default rows keep the
-    partitions they have (no shuffle); ``order_by`` range-partitions them first
-    so that ids follow that order.
-    """
-    if order_by:
-        docs = docs.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
-    numbered = pin(docs.withColumn("_row", F.monotonically_increasing_id()))
-    part, within = F.shiftright("_row", 33), F.col("_row").bitwiseAND(F.lit((1 << 33) - 1))
-    sizes = numbered.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    return (
-        numbered.withColumn("_part", part)
-        .join(F.broadcast(offsets), "_part")
-        .withColumn("file_id", F.lit(start) + F.col("_before") + within + 1)
-        .drop("_row", "_part", "_before")
-    )
+    """Gap-free ascending ``file_id`` from ``start + 1`` (see ``operators.numbering``)."""
+    return number_rows(docs, "file_id", start, order_by)
 
 
 def spaced_file_id(docs: DataFrame, start: int = 0) -> DataFrame:
