@@ -6,13 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.latest import dedupe_latest
+from ..plans.refresh import build_tables
 from ..plans.reports import report_id
-from ..session import scratch_path
+from ..session import pin, scratch_path
 from ..sources import tables as T
 from ..streaming import batches as B
 from ..streaming.ingest import STEPS, stream_ingest
 from . import query
-from .bindings import DOC_CHILDREN_SQL, DOCS_SQL, documents, table
+from .bindings import (
+    DOC_CHILDREN_SQL, DOCS_SQL, MARTS_SQL, SUMMARY_SQL, documents, raw, table,
+)
 from .documents import DRUG_SQL, REPORT_SQL, plain
 from .ingest import write_files
 
@@ -78,6 +81,31 @@ def clustered_layout(spark, sf_dir):
         & (date < F.lit("1997-02-01").cast("timestamp_ntz")))
 
 
+# --- refresh of all tables ------------------------------------------------------
+
+
+@query("refresh_full", f"""WITH {DOCS_SQL}, {DOC_CHILDREN_SQL}, {MARTS_SQL}
+  SELECT drug_name, reaction_term, report_count, b_count, c_count, d_count, ror, prr, ror_simple,
+    signal_strength, is_significant_signal FROM sig""")
+def refresh_full(spark, sf_dir):
+    """All tables from the raw documents; the signal table of the run."""
+    out = scratch_path(spark, "refresh")
+    build_tables(spark, pin(raw(spark, sf_dir)), out)
+    return spark.read.parquet(f"{out}/risk_signals").drop("signal_generated_at")
+
+
+@query("refresh_incremental", f"""WITH {DOCS_SQL}, {DOC_CHILDREN_SQL}, {SUMMARY_SQL}
+  SELECT drug_name, total_reports, avg_age, risk_level FROM summary""")
+def refresh_incremental(spark, sf_dir):
+    """Documents loaded before a date, then the rest as an increment; the drug mart of the run."""
+    out = scratch_path(spark, "refresh")
+    documents = pin(raw(spark, sf_dir))
+    before = F.col("ingestion_timestamp") < F.lit("1998-06-01").cast("timestamp_ntz")
+    for loaded in (documents.filter(before), documents):
+        build_tables(spark, loaded, out, "incremental", children=())
+    return spark.read.parquet(f"{out}/drug_summary")
+
+
 # --- file streams -------------------------------------------------------------
 
 
@@ -99,8 +127,8 @@ def _table(spark: SparkSession, out: str, name: str) -> DataFrame:
 @query("stream_ingest", f"""WITH {DOCS_SQL}
   SELECT report_id, count(*) AS n, count(*) AS file_ids FROM docs GROUP BY report_id""")
 def stream_ingest_documents(spark, sf_dir):
-    raw = B.raw_of(_table(spark, streamed(spark, sf_dir, ("load",)), "loads"))
-    return raw.groupBy(report_id("raw_json").alias("report_id")).agg(
+    loaded = B.raw_of(_table(spark, streamed(spark, sf_dir, ("load",)), "loads"))
+    return loaded.groupBy(report_id("raw_json").alias("report_id")).agg(
         F.count("*").alias("n"), F.countDistinct("file_id").alias("file_ids"))
 
 

@@ -93,13 +93,13 @@ def order_signals(signals: DataFrame, nulls_first: bool = True) -> DataFrame:
 
 def risk_signals(drugs: DataFrame, reactions: DataFrame, reports: DataFrame,
                  min_reports: int = MIN_PAIR_REPORTS, as_of: datetime | str | None = None) -> DataFrame:
-    """Ordered signals from the child tables."""
+    """Ordered signals from the child tables, which are read twice: pass stored ones."""
     tally = pin(tally_children(drugs, reactions))
     return order_signals(signals_from_tally(tally, reports, min_reports, as_of=as_of))
 
 
 def risk_signals_of_reports(staged: DataFrame, min_reports: int = MIN_PAIR_REPORTS,
                             as_of: datetime | str | None = None) -> DataFrame:
-    """Ordered signals straight from staged reports."""
+    """Ordered signals straight from staged reports, which are read twice: pass stored ones."""
     tally = pin(tally_reports(staged))
     return order_signals(signals_from_tally(tally, staged, min_reports, as_of=as_of))
