@@ -11,9 +11,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from vigilspark.llm import quality_ftrl, simhash_trie, winnowing
+from vigilspark.llm import crf_pii, piece_sampling, quality_ftrl, simhash_trie, winnowing
 from vigilspark.llm.tables import stored, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -35,10 +34,23 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return winnowing.keep_clean(docs, table(spark, sf_dir, "benchmark"))
 
 
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, personal data in their texts masked."""
+    return crf_pii.mask(docs)
+
+
+def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents with their sampled piece ids; the text is what the ids spell."""
+    encoded = piece_sampling.encode(docs)
+    return piece_sampling.decode(encoded).select(*docs.columns, "piece_ids", "n_pieces", "lossless")
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("quality", quality),
     ("near_duplicates", near_duplicates),
     ("decontamination", decontamination),
+    ("personal_data", personal_data),
+    ("pieces", pieces),
 ]
 
 ORACLE_SQL = None

@@ -6,12 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality_ftrl, rule_ledger, simhash_trie, winnowing
+from . import crf_pii, piece_sampling, quality_ftrl, rule_ledger, simhash_trie, winnowing
 from .tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crf_pii.find(table(spark, sf_dir, "documents"))
+
+
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_sampling.encode(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnowing.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("_key")
 
@@ -29,5 +37,5 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_ftrl.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op3_decontamination, op4_quality_rules, op5_simhash, op9_quality)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_pii, op2_sentencepiece, op3_decontamination, op4_quality_rules, op5_simhash, op9_quality)}
 ORACLES = {"op3_decontamination": winnowing.SQL, "op4_quality_rules": rule_ledger.SQL}

@@ -27,7 +27,7 @@ from .shipping import map_arrow
 from .tables import held_out, learning_rows
 
 BITS = 18
-MAX_DOCS = 5000
+MAX_DOCS = 4000
 EPOCHS = 4
 SCALE = 24.0
 THRESHOLD = 0.3
@@ -111,25 +111,29 @@ def ftrl(examples: list[tuple[np.ndarray, np.ndarray, int]], epochs: int = EPOCH
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", limit: int = MAX_DOCS) -> Model:
     rows = map_arrow(learning_rows(docs, labels, label, limit).select("doc_id", "y", "text"), _vectors,
-                     "doc_id long, y int, dims array<int>, value array<float>").toPandas()
-    rows = rows.sort_values("doc_id", kind="stable")   # arrival order must not matter
-    examples = [(np.asarray(d, np.int64), np.asarray(v, float), int(y))
-                for d, v, y in zip(rows["dims"], rows["value"], rows["y"], strict=True)]
-    if len({e[2] for e in examples}) < 2:
-        share = float(np.clip(rows["y"].mean(), 1e-6, 1 - 1e-6)) if len(rows) else 0.5
+                     "doc_id long, y int, dims array<int>, value array<float>").toArrow()
+    rows = rows.sort_by("doc_id").combine_chunks()   # arrival order must not matter
+    y = rows["y"].to_numpy()
+    examples = [(d.values.to_numpy().astype(np.int64), v.values.to_numpy().astype(float), int(t))
+                for d, v, t in zip(rows["dims"], rows["value"], y, strict=True)]
+    if len(set(y.tolist())) < 2:
+        share = float(np.clip(y.mean(), 1e-6, 1 - 1e-6)) if len(y) else 0.5
         return Model(np.zeros(2**BITS, np.float32), float(np.log(share / (1 - share))))
     return ftrl(examples)
 
 
+def _block_scores(block: tb.Block, model: Model) -> np.ndarray:
+    rows, dims = ngrams(block)
+    total = np.bincount(rows, model.weights[dims], block.n) * SCALE / counts(block) + model.bias
+    return 1 / (1 + np.exp(-np.clip(total, -35, 35)))
+
+
 def _scorer(model: Model):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block in tb.blocks(batch):
-                rows, dims = ngrams(block)
-                total = np.bincount(rows, model.weights[dims], block.n) * SCALE / counts(block) + model.bias
-                yield pa.RecordBatch.from_arrays(
-                    [*block.rows.columns, pa.array(1 / (1 + np.exp(-np.clip(total, -35, 35))))],
-                    [*block.rows.schema.names, "score"])
+                yield pa.RecordBatch.from_arrays([*block.rows.columns, pa.array(_block_scores(block, model))],
+                                                 [*block.rows.schema.names, "score"])
 
     return score
 
@@ -141,6 +145,17 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     return map_arrow(docs, _scorer(model), schema)
 
 
+def keep_good(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` that score ``threshold`` or above, as they are."""
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block in tb.blocks(batch):
+                yield block.rows.filter(pa.array(_block_scores(block, model) >= threshold))
+
+    return map_arrow(docs, keep, docs.schema)
+
+
 def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted of every document."""
     scored = score(docs.select("doc_id", "text"), train(docs, labels))

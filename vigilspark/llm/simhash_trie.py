@@ -69,16 +69,16 @@ def block_fingerprints(block: tb.Block, size: int) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp): the fingerprint as a signed long with the same bits."""
+    """(doc_id, _key, fp): a hash of the text, and the fingerprint as a signed long with the same bits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block in tb.blocks(batch, max_bytes=2 << 20):
                 fp = block_fingerprints(block, size).view(np.int64)
-                yield pa.RecordBatch.from_arrays([block.rows.column("doc_id"), pa.array(fp)], ["doc_id", "fp"])
+                yield pa.RecordBatch.from_arrays([*block.rows.columns[:2], pa.array(fp)], ["doc_id", "_key", "fp"])
 
-    docs = docs.select("doc_id", "text")
-    return map_arrow(docs, run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, fp long")
+    docs = docs.select("doc_id", F.xxhash64("text").alias("_key"), "text")
+    return map_arrow(docs, run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, _key long, fp long")
 
 
 # ---- links
@@ -241,14 +241,32 @@ def near_links(fps: DataFrame, bits: int = BITS, max_leaves: int = MAX_LEAVES) -
     return map_arrow(grouped, _walk_groups(bits), "u long, v long")
 
 
+def rooted(marked: DataFrame, bits: int, max_leaves: int) -> DataFrame:
+    """(fp, root) of every distinct fingerprint: equal roots are one component."""
+    fps = stored(marked.select("fp").distinct(), "distinct")
+    roots = stored(components(near_links(fps, bits, max_leaves)), "roots")
+    return fps.join(roots, fps.fp == roots.u, "left").select("fp", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, size: int = SHINGLE, bits: int = BITS, max_leaves: int = MAX_LEAVES) -> DataFrame:
     """doc_id, fingerprint (16 hex digits) and component_id of every document."""
     marked = stored(fingerprints(docs, size), "fingerprints")
-    leaf = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
-    roots = stored(components(near_links(leaf.select("fp"), bits, max_leaves)), "roots")
-    # a component's smallest id: over its distinct fingerprints, then back to them
-    rooted = leaf.join(roots, leaf.fp == roots.u, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(smallest, "root").select("fp", "component_id")
+    # smallest ids: of a fingerprint first, so that copies meet before any join
+    leaf = marked.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    leaf = stored(leaf.join(rooted(marked, bits, max_leaves), "fp"), "classes")
+    smallest = leaf.groupBy("root").agg(F.min("least").alias("component_id"))
+    named = leaf.join(smallest, "root").select("fp", "component_id")
     return marked.join(named, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def keep_one(docs: DataFrame, size: int = SHINGLE, bits: int = BITS, max_leaves: int = MAX_LEAVES) -> DataFrame:
+    """One row of each component, all columns: the smallest doc_id (null last), then the smallest text hash."""
+    marked = stored(fingerprints(docs, size), "fingerprints")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_key")).alias("first")
+    leaf = marked.groupBy("fp").agg(first).join(rooted(marked, bits, max_leaves), "fp")
+    kept = leaf.groupBy("root").agg(F.min("first").alias("first")).select(
+        F.col("first.doc_id").alias("_id"), F.col("first._key").alias("_k"))
+    rows = docs.withColumn("__key", F.xxhash64("text"))
+    one = rows.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("__key") == F.col("_k")), "left_semi")
+    return one.dropDuplicates(["doc_id", "__key"]).select(docs.columns)

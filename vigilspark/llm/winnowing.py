@@ -113,6 +113,15 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
         ((n_hit > 0) & (n_hit * MIN_SHARE >= F.col("n_words"))).alias("contaminated"), "_key")
 
 
+def keep_clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+    """The rows of ``docs`` that are not contaminated, as they are."""
+    bad = stored(contamination(docs, benchmark, window).where("contaminated").select(F.col("_key").alias("_k"), F.col("doc_id").alias("_d"))
+                 .distinct(), "contaminated")
+    rows = docs.withColumn("__key", F.xxhash64("doc_id", "text"))
+    return rows.join(maybe_broadcast(bad, bad.count()), (F.col("__key") == F.col("_k")) & F.col("doc_id").eqNullSafe(F.col("_d")),
+                     "left_anti").select(docs.columns)
+
+
 SQL = r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
