@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import crf_pii, piece_sampling, quality_ftrl, rule_ledger, simhash_trie, winnowing
+from . import (crf_pii, license_notices, piece_sampling, quality_ftrl, repeat_columns, rule_ledger, secret_automata, simhash_trie,
+               toxicity, winnowing)
 from .tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,9 +34,27 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_trie.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeat_columns.without_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_automata.find(table(spark, sf_dir, "documents"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_ftrl.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_pii, op2_sentencepiece, op3_decontamination, op4_quality_rules, op5_simhash, op9_quality)}
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_notices.license_labels(table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (
+    op1_pii, op2_sentencepiece, op3_decontamination, op4_quality_rules, op5_simhash, op6_toxicity, op7_suffix_dedup, op8_secrets, op9_quality,
+    op10_licenses)}
 ORACLES = {"op3_decontamination": winnowing.SQL, "op4_quality_rules": rule_ledger.SQL}
