@@ -222,7 +222,7 @@ def _window_hashes(span: int):
 
 def repeated_spans(keyed: DataFrame, span: int = SPAN, gram: int = GRAM, max_bucket: int = MAX_BUCKET) -> DataFrame:
     """key, a, b: byte ranges made of repeated windows, for texts (key, text)."""
-    places = stored(map_arrow(keyed, _anchor_rows(span, gram), "hash long, key long, n int"), "anchors")
+    places = map_arrow(keyed, _anchor_rows(span, gram), "hash long, key long, n int")   # twice: cheaper than keeping it
     shared = (places.groupBy("hash").agg(F.sum("n").alias("n"), F.count("*").alias("texts")).where("n > 1")
               .select("hash", (F.col("texts") > max_bucket).alias("large")))
     shared = stored(shared, "shared-anchors")
