@@ -330,7 +330,7 @@ def encode(docs: DataFrame, path: str = MODEL, alpha: float = ALPHA, seed: int =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = pieces(path)
         for batch in batches:
-            for block in tb.blocks(batch, text, max_bytes=2 << 20):
+            for block in tb.blocks(batch, text, max_bytes=1 << 20):
                 whole = block.buf.tobytes()
                 texts = [whole[a:b].decode("utf-8", "surrogatepass") for a, b in zip(block.bounds[:-1], block.bounds[1:], strict=True)]
                 ids, cuts = encode_texts(p, texts, row_keys(block.rows.column(names.index(key)), seed), alpha)

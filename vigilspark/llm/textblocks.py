@@ -45,7 +45,7 @@ class Block:
         return len(self.bounds) - 1
 
 
-def blocks(batch: pa.RecordBatch, text: str = "text", max_bytes: int = 4 << 20) -> Iterator[Block]:
+def blocks(batch: pa.RecordBatch, text: str = "text", max_bytes: int = 1 << 20) -> Iterator[Block]:
     if batch.num_rows == 0:
         return
     column = pc.fill_null(batch.column(batch.schema.get_field_index(text)).cast(pa.large_string()), "")
