@@ -340,8 +340,10 @@ def encode(docs: DataFrame, path: str = MODEL, alpha: float = ALPHA, seed: int =
                 else:
                     same = [raw[at[i]:at[i + 1]].tobytes() == whole[block.bounds[i]:block.bounds[i + 1]] for i in range(block.n)]
                 null = np.asarray(block.rows.column(names.index(text)).is_null())
-                lists = pa.ListArray.from_arrays(pa.array(cuts, pa.int32(), mask=np.append(null, False)), pa.array(ids))
-                yield pa.RecordBatch.from_arrays([*block.rows.columns, lists, pa.array(np.diff(cuts), pa.int64(), mask=null),
+                number = np.diff(cuts)
+                held = np.concatenate([[0], np.cumsum(np.where(null, 0, number))])    # a null row holds no ids
+                lists = pa.ListArray.from_arrays(pa.array(held, pa.int32(), mask=np.append(null, False)), pa.array(ids[~np.repeat(null, number)]))
+                yield pa.RecordBatch.from_arrays([*block.rows.columns, lists, pa.array(number, pa.int64(), mask=null),
                                                   pa.array(same, pa.bool_(), mask=null)], [*names, "piece_ids", "n_pieces", "lossless"])
 
     return map_arrow(docs, run, schema)

@@ -75,8 +75,10 @@ def measured(docs: DataFrame) -> DataFrame:
     covered = F.aggregate(
         F.transform("_at", lambda p, i: F.least(F.coalesce(F.get(F.col("_at"), i + 1) - p, F.lit(REPEAT)), F.lit(REPEAT))),
         F.lit(0).cast("long"), lambda a, x: a + x)
-    return df.select("doc_id", "n_words", "word_chars", "n_symbols", (F.col("n_lines") - F.col("_n_distinct")).alias("n_dup_lines"),
-                     covered.alias("n_repeat_words"), "n_lines", "n_upper")
+    line = F.struct("n_words", "word_chars", "n_symbols", (F.col("n_lines") - F.col("_n_distinct")).alias("n_dup_lines"),
+                    covered.alias("n_repeat_words"), "n_lines", "n_upper")
+    # a generator: filters on the line must not be moved below, where they would measure again
+    return df.select("doc_id", F.inline(F.array(line)))
 
 
 def ledger(docs: DataFrame) -> DataFrame:

@@ -62,10 +62,8 @@ def runs(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFra
                                     wc.alnum_words(F.col("text")).alias("_words"))
                    .where(F.size("_words") > 0).distinct().withColumn("_item", F.xxhash64("item", "_words")), "items")
     length = F.least(F.size("_words"), F.lit(window))
-    sizes = sorted(r[0] for r in items.select(length).distinct().collect())   # ``window`` values at most
+    sizes = sorted(r[0] for r in items.select(length).distinct().collect()) or [window]   # ``window`` values at most
     sides = stored(fingerprints(items.withColumn("_n", length), sizes, "_item", "_n").where("n = _n").drop("_n"), "item-hashes")
-    if not sizes:
-        sizes = [window]
     docs = keyed(docs)
     kept = fingerprints(docs.select("doc_id", "_key", wc.alnum_words(F.col("text")).alias("_words")), sizes, "doc_id", "_key")
     theirs = sides.select("_item", "n", F.col("place").alias("_at"), "hash")
