@@ -41,8 +41,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents with their sampled piece ids; the text is what the ids spell."""
-    encoded = piece_sampling.encode(docs)
-    return piece_sampling.decode(encoded).select(*docs.columns, "piece_ids", "n_pieces", "lossless")
+    return piece_sampling.encode(docs, spell=True)
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -72,6 +72,7 @@ def test_frames(spark):
     assert out.where("text IS NULL AND (piece_ids IS NOT NULL OR lossless IS NOT NULL)").count() == 0
     back = ps.decode(out.withColumnRenamed("text", "original"))
     assert back.where("NOT (text <=> original)").count() == 0
+    assert ps.encode(docs, spell=True).select(docs.columns).exceptAll(docs).count() == 0
     moved = {(r.doc_id, r.text): r.piece_ids for r in ps.encode(docs.repartition(5)).collect()}
     assert all(moved[r.doc_id, r.text] == r.piece_ids for r in out.collect())
     assert ps.encode(cases.empty(spark)).count() == 0

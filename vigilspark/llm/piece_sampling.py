@@ -320,8 +320,12 @@ def row_keys(column: pa.Array, seed: int) -> np.ndarray:
     return tb.mix(values + tb.U64(seed) * tb.U64(0x9E3779B97F4A7C15))
 
 
-def encode(docs: DataFrame, path: str = MODEL, alpha: float = ALPHA, seed: int = SEED, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with ``piece_ids``, ``n_pieces`` and ``lossless`` (decoding gives the text back); such columns there are replaced."""
+def encode(docs: DataFrame, path: str = MODEL, alpha: float = ALPHA, seed: int = SEED, key: str = "doc_id", text: str = "text",
+           spell: bool = False) -> DataFrame:
+    """``docs`` with ``piece_ids``, ``n_pieces`` and ``lossless`` (decoding gives the text back); such columns there are replaced.
+
+    With ``spell`` the text is decoded from the ids in the same pass.
+    """
     docs = docs.drop("piece_ids", "n_pieces", "lossless")
     names = docs.columns
     schema = StructType([*docs.schema.fields, StructField("piece_ids", ArrayType(IntegerType())), StructField("n_pieces", LongType()),
@@ -340,10 +344,15 @@ def encode(docs: DataFrame, path: str = MODEL, alpha: float = ALPHA, seed: int =
                 else:
                     same = [raw[at[i]:at[i + 1]].tobytes() == whole[block.bounds[i]:block.bounds[i + 1]] for i in range(block.n)]
                 null = np.asarray(block.rows.column(names.index(text)).is_null())
+                columns = list(block.rows.columns)
+                if spell:
+                    spelled = pa.array([None if null[i] else raw[at[i]:at[i + 1]].tobytes().decode("utf-8", "surrogatepass")
+                                        for i in range(block.n)], pa.string())
+                    columns[names.index(text)] = spelled.cast(block.rows.schema.field(names.index(text)).type)
                 number = np.diff(cuts)
                 held = np.concatenate([[0], np.cumsum(np.where(null, 0, number))])    # a null row holds no ids
                 lists = pa.ListArray.from_arrays(pa.array(held, pa.int32(), mask=np.append(null, False)), pa.array(ids[~np.repeat(null, number)]))
-                yield pa.RecordBatch.from_arrays([*block.rows.columns, lists, pa.array(number, pa.int64(), mask=null),
+                yield pa.RecordBatch.from_arrays([*columns, lists, pa.array(number, pa.int64(), mask=null),
                                                   pa.array(same, pa.bool_(), mask=null)], [*names, "piece_ids", "n_pieces", "lossless"])
 
     return map_arrow(docs, run, schema)
