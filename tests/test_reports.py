@@ -59,6 +59,7 @@ def test_misfits_are_null_and_listed_or_raise(spark):
     assert (staged.safety_report_version, staged.patient_age, staged.reaction_onset_date) == (None,) * 3
     assert rows(R.cast_errors(table), "file_id", "column_name", "value") == [
         (1, "patient_age", "old"), (1, "reaction_onset_date", "x"), (1, "safety_report_version", "1000")]
+    assert rows(R.cast_errors(table), "position") == [(None,)] * 3
     with pytest.raises(Exception, match="does not fit"):
         R.stage_reports(table, strict=True).collect()
 

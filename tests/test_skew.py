@@ -4,6 +4,8 @@ import duckdb
 import pytest
 
 import oracle
+from vigilspark.operators.tally import tally_children
+from vigilspark.operators.within import join_within, large_keys
 
 SOURCE = "/root/testdata/sf0.01"
 HOT = {
@@ -32,3 +34,20 @@ def skewed(tmp_path_factory):
 def test_hot_keys(spark, skewed, name):
     _, difference = oracle.compare(spark, oracle.connect(skewed), name, skewed)
     assert difference is None, difference
+
+
+def test_a_report_large_on_one_side_meets_no_window(spark):
+    """A third of all drug rows lie in a report without reactions."""
+    drugs = spark.range(9000).selectExpr("CASE WHEN id % 3 = 0 THEN -1 ELSE id % 500 END AS report_id", "concat('d', id % 7) AS drug_name")
+    reactions = spark.range(1000).selectExpr("id % 500 AS report_id", "concat('r', id % 5) AS reaction_term")
+    assert -1 in {r.report_id for r in large_keys(drugs, reactions, "report_id", 100).collect()}
+    want = sorted(map(tuple, tally_children(drugs, reactions, block=1 << 30).collect()))
+    assert sorted(map(tuple, tally_children(drugs, reactions, block=100).collect())) == want
+    joined = join_within(drugs, reactions, "report_id", block=100)
+    assert joined.count() == drugs.join(reactions, "report_id").count()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = join_within(drugs, reactions, "report_id", block=100)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "ENSURE_REQUIREMENTS" in plan

@@ -3,15 +3,16 @@
 import gzip
 import json
 import random
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
 
 from samples import doc, raw, rows, seeded_docs
 from vigilspark.functions.semistructured import path
-from vigilspark.operators.within import grid_join, large_keys
+from vigilspark.operators.within import grid_join, join_within, large_keys
 from vigilspark.plans import reports as R
-from vigilspark.plans.refresh import build_tables
+from vigilspark.plans.refresh import build_tables, read_mart
 from vigilspark.sources import raw as S
 from vigilspark.sources import tables as T
 from vigilspark.streaming import batches as B
@@ -43,24 +44,95 @@ def test_read_raw(spark, folder):
     assert rows(got, "file_id") == [(11,), (12,), (13,)]
 
 
-def test_large_arrays_are_taken_apart(spark, folder):
-    put(folder, "odd.json", [doc("o"), None, 7])
-    (folder / "in" / "bad_part.json").write_text('[{"a":1},{"b":1,"b":2}]')
-    files = S.read_files(spark, f"{folder}/in")
+@pytest.mark.parametrize("content, want", [
+    ('{"a":1}', ['{"a":1}']), (' [ {"a":1} ,\n{"b":2} ] ', ['{"a":1}', '{"b":2}']), ("[]", []),
+    ('[{"a":1},"plain text"]', ['{"a":1}', '"plain text"']), ('["{\\"a\\":1}"]', ['"{\\"a\\":1}"']),
+    ("[1.00000000000000000000000000001]", ["1.00000000000000000000000000001"]), ("[null]", ["null"]), ("7", ["7"]),
+    ('[[1],[2]]', ["[1]", "[2]"]), ('{"a":1}\n{"a":2}', None), ('{"a":1} }rest', None), ('[{"a":1}] [2]', None),
+    ('[{"a":1}],[{"a":2}]', None), ('{"a":1},{"a":2}', None), ('[{"a":1},{"b":1,"b":2}]', None), ('{"a":1,"a":2}', None),
+    ("{'a':1}", None), ('[{"a":NaN}]', None), ('{"a":1}/* */', None), ("[1,2", None), ("", None), (" ", None), (None, None)])
+@pytest.mark.parametrize("padding", [0, 40 * 1024 * 1024])
+def test_one_way_of_parsing(spark, content, want, padding):
+    """The same documents whatever the size of the file."""
+    if padding and content not in ('[{"a":1},"plain text"]', '{"a":1} }rest', '[1.00000000000000000000000000001]'):
+        pytest.skip("large ones: one of each kind")
+    files = spark.createDataFrame([("f.json", content, padding)], "file_name string, content string, n int").select(
+        "file_name", F.concat(F.repeat(F.lit(" "), F.col("n")), "content").alias("content"))
+    loaded = S.load_rows(files).orderBy("pos").select("outcome", F.to_json("raw_json")).collect()
+    if want is None:
+        assert [tuple(r) for r in loaded] == [("FAILED", None)]
+    else:
+        assert [tuple(r) for r in loaded] == ([("SUCCESS", w) for w in want] or [("SUCCESS", None)])
+    good, bad = S.split_valid(files)
+    assert (good.count(), bad.count()) == ((0, 1) if want is None else (1, 0))
+
+
+def test_compressed_and_nested_files(spark, tmp_path):
+    for name in ("a", "b c+d"):
+        (tmp_path / "in" / name).mkdir(parents=True)
+        (tmp_path / "in" / name / "x.json.gz").write_bytes(gzip.compress(json.dumps(doc(name)).encode()))
+    (tmp_path / "in" / "x.json").write_text("{")
+    names = ["a/x.json.gz", "b c+d/x.json.gz", "x.json"]
+    loaded = S.assign_file_id(S.load_rows(S.read_files(spark, f"{tmp_path}/in")))
+    assert rows(S.ingest_report(loaded).select("file_name", "status")) == list(zip(names, ["SUCCESS", "SUCCESS", "FAILED"]))
+    assert rows(S.read_raw(spark, f"{tmp_path}/in").select(R.report_id("raw_json"))) == [("a",), ("b c+d",)]
+    stream_ingest(spark, f"{tmp_path}/in", f"{tmp_path}/out", f"{tmp_path}/p").awaitTermination()
+    outcomes = B.outcomes_of(B.read_table(spark, f"{tmp_path}/out", "loads"))
+    assert rows(outcomes.select("file_name", "status")) == list(zip(names, ["SUCCESS", "SUCCESS", "FAILED"]))
+
+
+def test_a_batch_reads_no_earlier_loads(spark, tmp_path):
+    out = str(tmp_path)
+    for n in range(3):
+        files = spark.createDataFrame([(f"{n}.json", json.dumps([doc(f"{n}-{i}") for i in range(3)]))], "file_name string, content string")
+        B.load_batch(files, n, out)
+        if n:      # only the mark of the batch before is needed
+            shutil.rmtree(f"{out}/loads/batch_id={n - 1}")
+            kept.append(read)
+        read = rows(spark.read.parquet(f"{out}/loads/batch_id={n}"), "file_id")
+        if not n:
+            kept = []
+    kept.append(read)
+    ids = [i for k in kept for (i,) in k]
+    assert len(ids) == len(set(ids)) == 9 and [max(k) for k in kept] == sorted(max(k) for k in kept)
+
+
+def test_failure_between_staging_and_children(spark, tmp_path):
+    table = raw(spark, [doc("a", ["x"], ["r"]), doc("b", ["y"], ["r"])])
+    out = f"{tmp_path}/t"
+    B.stage_batch(table, 0, out)                      # and nothing more
+    for _ in range(2):
+        build_tables(spark, table, out, "incremental", min_reports=1)
+    staged = B.read_table(spark, out, "staged")
+    for name in B.CHILDREN:
+        assert B.current_children(B.read_table(spark, out, name), staged).count() == 2
+    assert read_mart(spark, out, "risk_signals").count() == 2
+
+
+def test_a_failed_full_refresh_can_be_repeated(spark, tmp_path):
+    table = raw(spark, [doc("a", ["x"], ["r"])])
+    B.stage_batch(table, 0, f"{tmp_path}/t")
+    build_tables(spark, table, f"{tmp_path}/t", min_reports=1)
+    assert read_mart(spark, f"{tmp_path}/t", "risk_signals").count() == 1
 
-    def outcome(whole):
-        loaded = S.load_rows(files, whole=whole)
-        return rows(loaded.select("file_name", "outcome", "pos", F.to_json("raw_json")))
 
-    assert outcome(0) == outcome(S.PARSE_WHOLE)
-    good, bad = S.split_valid(files, whole=0)
-    assert ("bad_part.json",) in rows(bad, "file_name") and ("odd.json",) in rows(good, "file_name")
+def test_equal_load_times_are_not_lost(spark, tmp_path):
+    table = raw(spark, [(doc("a", ["x"], ["r"]), "2024-02-01"), (doc("b", ["y"], ["r"]), "2024-02-01")])
+    out = f"{tmp_path}/t"
+    build_tables(spark, table.filter("file_id = 1"), out, "incremental", min_reports=1)
+    before = read_mart(spark, out, "risk_signals")
+    build_tables(spark, table, out, "incremental", min_reports=1)
+    assert rows(before, "drug_name") == [("x",)]          # a reader of the old marts is not disturbed
+    assert rows(read_mart(spark, out, "risk_signals"), "drug_name") == [("x",), ("y",)]
 
 
-def test_compressed_files_are_unpacked(spark, tmp_path):
-    (tmp_path / "x.json.gz").write_bytes(gzip.compress(json.dumps(doc("z")).encode()))
-    docs = S.documents(S.read_files(spark, str(tmp_path)))
-    assert rows(docs.select(R.report_id("raw_json"))) == [("z",)]
+def test_strict_reaches_children(spark, tmp_path):
+    d = doc("a", ["x"], ["r"])
+    d["safetyreport"][0]["patient"][0]["drug"][0]["drugcharacterization"] = "main"
+    build_tables(spark, raw(spark, [d]), f"{tmp_path}/lax", min_reports=1)
+    with pytest.raises(Exception, match="does not fit"):
+        build_tables(spark, raw(spark, [d]), f"{tmp_path}/strict", min_reports=1, strict=True)
+    assert rows(R.cast_errors(raw(spark, [d])), "column_name", "position", "value") == [("drug_characterization", 0, "main")]
 
 
 def test_validation_and_outcomes(spark, folder):
@@ -146,7 +218,7 @@ def test_a_batch_of_bad_files_and_an_empty_increment(spark, tmp_path):
     table = raw(spark, [doc("a", ["x"], ["r"])])
     for _ in range(2):
         build_tables(spark, table, f"{tmp_path}/tables", "incremental", min_reports=1)
-    assert spark.read.parquet(f"{tmp_path}/tables/risk_signals").count() == 1
+    assert read_mart(spark, f"{tmp_path}/tables", "risk_signals").count() == 1
 
 
 def test_a_repeated_batch_changes_nothing(spark, tmp_path):
@@ -182,13 +254,13 @@ def test_incremental_equals_full(spark, tmp_path, cuts):
     B.compact(spark, f"{tmp_path}/inc", f"{tmp_path}/compact")
     full, inc, compact = (f"{tmp_path}/{x}" for x in ("full", "inc", "compact"))
     for name in MARTS:
-        assert rows(spark.read.parquet(f"{full}/{name}")) == rows(spark.read.parquet(f"{inc}/{name}"))
+        assert rows(read_mart(spark, full, name)) == rows(read_mart(spark, inc, name))
     staged = {o: B.read_table(spark, o, "staged") for o in (full, inc, compact)}
     for name in B.CHILDREN:
         want = rows(B.read_table(spark, full, name).drop("batch_id"))
         for o in (inc, compact):
             assert rows(B.current_children(B.read_table(spark, o, name), staged[o])) == want
-    assert spark.read.parquet(f"{full}/risk_signals").count() > 0
+    assert read_mart(spark, full, "risk_signals").count() > 0
 
 
 def test_full_refresh_needs_a_new_folder(spark, tmp_path):
@@ -206,4 +278,6 @@ def test_grid_join_meets_every_pair_once(spark, l, r):
     assert (large is None) == (max(l, r) <= 10)
     if large is not None:
         got = rows(grid_join(left, right, "k", large).select("k", "a", "b"))
-        assert len(got) == len(set(got)) == l * r + 1
+        assert len(got) == len(set(got)) == l * r
+    got = rows(join_within(left, right, "k", block=10).select("k", "a", "b"))
+    assert len(got) == len(set(got)) == l * r + 1

@@ -48,18 +48,39 @@ def json_path_extract(spark, sf_dir):
 
 
 @query("cast_errors", f"""WITH {DOCS_SQL}
-  SELECT doc_key AS file_id, file_name, 'received_date' AS column_name, date_text AS value
+  SELECT doc_key AS file_id, file_name, 'received_date' AS column_name, NULL::INT AS position, date_text AS value
   FROM typed WHERE k % 13 = 0
   UNION ALL
-  SELECT doc_key, file_name, 'transmission_date', strftime(dt, '%Y-%m-%d') FROM typed WHERE k % 2 = 1
+  SELECT doc_key, file_name, 'transmission_date', NULL, strftime(dt, '%Y-%m-%d') FROM typed WHERE k % 2 = 1
   UNION ALL
-  SELECT doc_key, file_name, 'safety_report_version', 'n/a' FROM typed WHERE k % 23 = 0
+  SELECT doc_key, file_name, 'safety_report_version', NULL, 'n/a' FROM typed WHERE k % 23 = 0
   UNION ALL
-  SELECT doc_key, file_name, 'reaction_onset_date', 'unknown' FROM typed WHERE has_patient AND k % 4 = 1""")
+  SELECT doc_key, file_name, 'reaction_onset_date', NULL, 'unknown' FROM typed WHERE has_patient AND k % 4 = 1""")
 def cast_errors(spark, sf_dir):
     return R.cast_errors(raw(spark, sf_dir))
 
 
+@query("cast_errors_children", """SELECT event_id AS file_id, 'drug_characterization' AS column_name, 1 AS position, 'main' AS value
+  FROM events WHERE event_id % 3 = 0
+  UNION ALL SELECT event_id, 'cumulative_dose_value', 0, '1 cup' FROM events WHERE event_id % 4 = 0
+  UNION ALL SELECT event_id, 'outcome_code', 0, 'none' FROM events WHERE event_id % 5 = 0
+  UNION ALL SELECT event_id, 'reaction_onset_date', NULL, '2024' FROM events WHERE event_id % 7 = 0""")
+def cast_errors_children(spark, sf_dir):
+    """Reports with misfits planted in drugs and reactions, and a date that is only a year."""
+    report = """to_json(named_struct('id', cast(event_id AS string), 'patient', array(named_struct(
+      'onsetdate', array(IF(event_id % 7 = 0, '2024', '2024-01-02')),
+      'drug', array(
+        named_struct('medicinalproduct', event_type, 'drugcharacterization', '1',
+          'drugcumulativedose', array(named_struct('value', IF(event_id % 4 = 0, '1 cup', '1.5')))),
+        named_struct('medicinalproduct', 'other', 'drugcharacterization', IF(event_id % 3 = 0, 'main', '2'),
+          'drugcumulativedose', array(named_struct('value', '2')))),
+      'reaction', array(named_struct('reactionmeddrapt', event_type,
+        'reactionoutcome', array(named_struct('value', IF(event_id % 5 = 0, 'none', '1')))))))))"""
+    docs = table(spark, sf_dir, "events").selectExpr(
+        "event_id AS file_id", "'f' AS file_name", f"""parse_json(concat('{{"safetyreport":[', {report}, ']}}')) AS raw_json""")
+    return R.cast_errors(docs).drop("file_name")
+
+
 @query("json_coalesce_paths", f"""WITH {DOCS_SQL}
   SELECT doc_key, report_id, CASE WHEN n_drugs >= 1 THEN p END AS first_drug FROM docs""")
 def json_coalesce_paths(spark, sf_dir):

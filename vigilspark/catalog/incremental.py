@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.latest import dedupe_latest
-from ..plans.refresh import build_tables
+from ..plans.refresh import build_tables, read_mart
 from ..plans.reports import report_id
 from ..session import pin, scratch_path
+from ..sources import raw as S
 from ..sources import tables as T
 from ..streaming import batches as B
 from ..streaming.ingest import STEPS, stream_ingest
@@ -91,7 +92,35 @@ def refresh_full(spark, sf_dir):
     """All tables from the raw documents; the signal table of the run."""
     out = scratch_path(spark, "refresh")
     build_tables(spark, pin(raw(spark, sf_dir)), out)
-    return spark.read.parquet(f"{out}/risk_signals").drop("signal_generated_at")
+    return read_mart(spark, out, "risk_signals").drop("signal_generated_at")
+
+
+@query("refresh_after_failure", f"""WITH {DOCS_SQL}, {DOC_CHILDREN_SQL}, {MARTS_SQL}
+  SELECT drug_name, reaction_term, report_count, b_count, c_count, d_count, ror, prr, ror_simple,
+    signal_strength, is_significant_signal FROM sig""")
+def refresh_after_failure(spark, sf_dir):
+    """An increment breaks off after staging and is run again; the signals of the run."""
+    return read_mart(spark, broken_and_repeated(spark, sf_dir), "risk_signals").drop("signal_generated_at")
+
+
+@query("refresh_after_failure_drugs", f"""WITH {DOCS_SQL}, {DOC_CHILDREN_SQL}
+  SELECT report_id || '-' || drug_sequence AS report_drug_id, report_id, drug_name FROM drg""")
+def refresh_after_failure_drugs(spark, sf_dir):
+    """The drug rows of the same run."""
+    out = broken_and_repeated(spark, sf_dir)
+    drugs = B.current_children(_table(spark, out, "report_drugs"), _table(spark, out, "staged"))
+    return drugs.select("report_drug_id", "report_id", "drug_name")
+
+
+def broken_and_repeated(spark: SparkSession, sf_dir: str) -> str:
+    """A first increment, a second one that stops after staging, and the second one again."""
+    out = scratch_path(spark, "refresh")
+    documents = pin(raw(spark, sf_dir))
+    before = documents.filter(F.col("ingestion_timestamp") < F.lit("1998-06-01").cast("timestamp_ntz"))
+    build_tables(spark, before, out, "incremental")
+    B.stage_batch(B.after_done(documents, out), B.next_batch_id(spark, out, "done"), out)
+    build_tables(spark, documents, out, "incremental")
+    return out
 
 
 @query("refresh_incremental", f"""WITH {DOCS_SQL}, {DOC_CHILDREN_SQL}, {SUMMARY_SQL}
@@ -103,7 +132,7 @@ def refresh_incremental(spark, sf_dir):
     before = F.col("ingestion_timestamp") < F.lit("1998-06-01").cast("timestamp_ntz")
     for loaded in (documents.filter(before), documents):
         build_tables(spark, loaded, out, "incremental", children=())
-    return spark.read.parquet(f"{out}/drug_summary")
+    return read_mart(spark, out, "drug_summary")
 
 
 # --- file streams -------------------------------------------------------------
@@ -157,3 +186,21 @@ def stream_pairs(spark, sf_dir):
     out = streamed(spark, sf_dir)
     return B.current_children(_table(spark, out, "drug_reaction_pairs"),
                               _table(spark, out, "staged")).drop("src_ld_ts")
+
+
+@query("stream_outcomes", f"""WITH {DOCS_SQL} SELECT 'part=' || (doc_key % 3) AS folder, 'SUCCESS' AS status, count(*) AS n
+  FROM docs GROUP BY 1""")
+def stream_outcomes(spark, sf_dir):
+    """Documents in compressed files of several subfolders: documents per folder, as the stream and
+    the batch reader both load them."""
+    root = scratch_path(spark, "outcomes")
+    docs = documents(spark, sf_dir).select((F.col("doc_key") % 3).alias("part"), F.col("content").alias("value"))
+    many = docs.groupBy("part", F.expr("monotonically_increasing_id() div 2000").alias("chunk")).agg(
+        F.concat(F.lit("["), F.array_join(F.collect_list("value"), ","), F.lit("]")).alias("value"))
+    many.select("part", "value").write.partitionBy("part").option("maxRecordsPerFile", 1).option("compression", "gzip").text(f"{root}/in")
+    stream_ingest(spark, f"{root}/in", f"{root}/out", f"{root}/progress", ("load",), check_names=False).awaitTermination()
+    streamed = _table(spark, f"{root}/out", "loads").select("file_name", "outcome", "pos")
+    batch = S.load_rows(S.read_files(spark, f"{root}/in"), check_names=False).select("file_name", "outcome", "pos")
+    both = streamed.join(batch, ["file_name", "outcome", "pos"])
+    return both.groupBy(F.substring_index("file_name", "/", 1).alias("folder"), F.col("outcome").alias("status")).agg(
+        F.count("*").alias("n"))

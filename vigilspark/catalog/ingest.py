@@ -1,7 +1,8 @@
 """Queries over files: reading, validation, load metadata and ids.
 
 The file frame holds one file per document version, with every kind of trouble:
-wrong names, cut content, repeated keys, outer arrays and empty arrays.
+wrong names, cut content, repeated keys, text after the document, outer arrays
+with elements that are no documents, and empty arrays.
 """
 
 from __future__ import annotations
@@ -52,6 +53,9 @@ def files(spark: SparkSession, sf_dir: str) -> DataFrame:
         "concat('doc-', doc_key, CASE WHEN doc_key % 10 = 3 THEN '.txt' ELSE '.json' END) AS file_name",
         """CASE WHEN doc_key % 14 = 5 THEN substr(content, 1, 30)
                 WHEN doc_key % 22 = 7 THEN '{"safetyreport":[],"safetyreport":[]}'
+                WHEN doc_key % 34 = 11 THEN concat(content, '\\n', content)
+                WHEN doc_key % 38 = 15 THEN concat(content, ' }rest')
+                WHEN doc_key % 46 = 21 THEN concat('[', content, ',"plain text"]')
                 WHEN doc_key % 26 = 9 THEN '[]'
                 WHEN doc_key % 6 = 1 THEN concat('[', content, ',{"safetyreport":[{"id":"extra"}]}]')
                 ELSE content END AS content""")
@@ -59,9 +63,11 @@ def files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 FILES_SQL = f"""{DOCS_SQL},
 files AS (
-  SELECT doc_key, report_id, doc_key % 10 <> 3 AS named, NOT (doc_key % 14 = 5 OR doc_key % 22 = 7) AS parses,
+  SELECT doc_key, report_id, doc_key % 10 <> 3 AS named,
+    NOT (doc_key % 14 = 5 OR doc_key % 22 = 7 OR doc_key % 34 = 11 OR doc_key % 38 = 15) AS parses,
     'doc-' || doc_key || CASE WHEN doc_key % 10 = 3 THEN '.txt' ELSE '.json' END AS file_name,
-    CASE WHEN doc_key % 14 = 5 OR doc_key % 22 = 7 OR doc_key % 26 = 9 THEN 0
+    CASE WHEN doc_key % 14 = 5 OR doc_key % 22 = 7 OR doc_key % 34 = 11 OR doc_key % 38 = 15 THEN 0
+         WHEN doc_key % 46 = 21 THEN 2 WHEN doc_key % 26 = 9 THEN 0
          WHEN doc_key % 6 = 1 THEN 2 ELSE 1 END AS n_docs
   FROM docs),
 elems AS (SELECT *, pos FROM files JOIN (VALUES (0), (1)) v(pos) ON pos < n_docs)"""
@@ -75,7 +81,7 @@ def ingest_validate(spark, sf_dir):
 
 
 @query("skip_bad_file", f"""WITH {FILES_SQL} SELECT file_name, pos,
-  CASE WHEN pos = 1 THEN 'extra' ELSE report_id END AS report_id FROM elems""")
+  CASE WHEN pos = 0 THEN report_id WHEN doc_key % 46 <> 21 THEN 'extra' END AS report_id FROM elems""")
 def skip_bad_file(spark, sf_dir):
     return S.documents(files(spark, sf_dir)).select(
         "file_name", "pos", report_id("raw_json").alias("report_id"))
@@ -90,9 +96,9 @@ newest AS (SELECT file_name, max(CASE WHEN n_docs > 0 THEN id END) AS id FROM ro
 SELECT f.file_name,
   CASE WHEN NOT named THEN 'ERROR' WHEN NOT parses THEN 'FAILED' ELSE 'SUCCESS' END AS status,
   CASE WHEN named AND parses THEN coalesce(id, 0) END AS file_id,
-  CASE WHEN NOT named THEN 'Only .json files are supported.'
-       WHEN NOT parses THEN 'Invalid JSON structure'
-       ELSE 'Loaded with ID ' || coalesce(id, 0) END AS message
+  CASE WHEN NOT named THEN 'not named as a JSON file'
+       WHEN NOT parses THEN 'not one JSON document or array'
+       ELSE 'newest document: ' || coalesce(id, 0) END AS message
 FROM files f JOIN newest n ON f.file_name = n.file_name""")
 def ingest_report(spark, sf_dir):
     rows = S.load_rows(files(spark, sf_dir))

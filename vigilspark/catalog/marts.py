@@ -12,7 +12,7 @@ from ..plans import marts as M
 from ..session import pin
 from . import query
 from .bindings import (
-    DRUG, MARTS_SQL, REACTION, SUMMARY_SQL, TAILED_DRUG, children_sql, drugs,
+    DRUG, MARTS_SQL, REACTION, SPARSE_DRUG, SUMMARY_SQL, TAILED_DRUG, children_sql, drugs, reactions,
 )
 from .signals import PLAIN, tally
 
@@ -91,7 +91,7 @@ def top_pairs(spark, sf_dir):
 
 
 @query("semi_join_risk_drugs", f"""{TAILED_PAIRS} SELECT drug_name, reaction_term, report_count FROM pc
-  WHERE drug_name IN (SELECT drug_name FROM summary WHERE risk_level = 'HIGH')""")
+  WHERE EXISTS (SELECT 1 FROM summary s WHERE risk_level = 'HIGH' AND s.drug_name IS NOT DISTINCT FROM pc.drug_name)""")
 def semi_join_risk_drugs(spark, sf_dir):
     chosen = C.filter_risk_level(summary(spark, sf_dir), "HIGH")
     return C.semi_join_risk_drugs(pairs(spark, sf_dir, TAILED_DRUG), chosen)
@@ -99,8 +99,32 @@ def semi_join_risk_drugs(spark, sf_dir):
 
 @query("top_pairs_in_band", f"""{TAILED_PAIRS}, top AS (SELECT drug_name, reaction_term, report_count
   FROM pc {PAIR_ORDER} LIMIT 50)
-  SELECT * FROM top WHERE drug_name IN (SELECT drug_name FROM summary
-    WHERE risk_level = 'HIGH' AND total_reports >= 60) {PAIR_ORDER} LIMIT 15""")
+  SELECT * FROM top WHERE EXISTS (SELECT 1 FROM summary s
+    WHERE risk_level = 'HIGH' AND total_reports >= 60 AND s.drug_name IS NOT DISTINCT FROM top.drug_name)
+  {PAIR_ORDER} LIMIT 15""")
 def top_pairs_in_band(spark, sf_dir):
     counts = pin(pairs(spark, sf_dir, TAILED_DRUG))
     return C.top_pairs_in_band(counts, summary(spark, sf_dir), "HIGH", 60)
+
+
+SPARSE = f"WITH {children_sql(SPARSE_DRUG)}, {SUMMARY_SQL}, {MARTS_SQL}"
+
+
+@query("top_pairs_in_band_unnamed", f"""{SPARSE}, top AS (SELECT drug_name, reaction_term, report_count
+  FROM pc {PAIR_ORDER} LIMIT 50)
+  SELECT * FROM top WHERE EXISTS (SELECT 1 FROM summary s
+    WHERE risk_level = 'HIGH' AND s.drug_name IS NOT DISTINCT FROM top.drug_name) {PAIR_ORDER} LIMIT 15""")
+def top_pairs_in_band_unnamed(spark, sf_dir):
+    """A brand's drugs have no name: their group is kept like any other."""
+    counts = pin(pairs(spark, sf_dir, SPARSE_DRUG))
+    return C.top_pairs_in_band(counts, summary(spark, sf_dir, SPARSE_DRUG), "HIGH")
+
+
+@query("pair_report_counts_of_pairs", f"{PLAIN} SELECT drug_name, reaction_term, report_count FROM pc")
+def pair_report_counts_of_pairs(spark, sf_dir):
+    """The pair mart from a stored pair table (one row per report, drug and reaction, with repeats)."""
+    return M.pair_report_counts(pair_table(spark, sf_dir))
+
+
+def pair_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drugs(spark, sf_dir).join(reactions(spark, sf_dir), "report_id").select("report_id", "drug_name", "reaction_term")

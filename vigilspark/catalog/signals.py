@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import scalars as S
 from ..operators.numbering import number_rows
 from ..operators.tally import (
-    drug_counts, pair_counts, reaction_counts, tally_children, total_reports,
+    drug_counts, pair_counts, reaction_counts, tally_children, tally_pairs, total_reports,
 )
 from ..plans import consumers as C
 from ..plans import signals as P
@@ -199,3 +199,19 @@ def null_default(spark, sf_dir):
 @query("filter_min_reports", f"{SPARSE} SELECT {CELLS} FROM cells WHERE report_count >= 20")
 def filter_min_reports(spark, sf_dir):
     return C.filter_min_reports(cells(spark, sf_dir), 20, "report_count")
+
+
+@query("risk_signals_of_pairs", f"{PLAIN} SELECT {SIGNAL_SQL} FROM sig")
+def risk_signals_of_pairs(spark, sf_dir):
+    """Signals from a stored pair table instead of the child tables."""
+    pairs = drugs(spark, sf_dir).join(reactions(spark, sf_dir), "report_id").select("report_id", "drug_name", "reaction_term")
+    made = P.signals_from_tally(pin(tally_pairs(pairs)), reports(spark, sf_dir))
+    return P.order_signals(made).drop("signal_generated_at")
+
+
+@query("run_timestamp", f"""{PLAIN} SELECT drug_name, reaction_term, '2024-03-01 06:00:00' AS generated_at FROM sig""")
+def run_timestamp(spark, sf_dir):
+    """The time of the run next to every signal."""
+    made = P.signals_from_tally(pin(tally(spark, sf_dir)), reports(spark, sf_dir), as_of="2024-03-01 06:00:00")
+    return made.select("drug_name", "reaction_term",
+                       F.date_format("signal_generated_at", "yyyy-MM-dd HH:mm:ss").alias("generated_at"))

@@ -22,8 +22,13 @@ def parse_date(text: Column, *formats: str) -> Column:
 
 
 def fit(value: Column, type_: str, strict: bool = False) -> Column:
-    """Cast that yields NULL on a misfit, or raises when ``strict``."""
+    """Cast that yields NULL on a misfit, or raises when ``strict``.
+
+    A date must be written in full: Spark's cast would complete a year or a month.
+    """
     fitted = value.try_cast(type_)
+    if type_ == "date":
+        fitted = F.when(value.cast("string").rlike(r"^\d{4}-\d{2}-\d{2}$"), fitted)
     if not strict:
         return fitted
     misfit = F.concat(F.lit(f"does not fit {type_}: "), value.cast("string"))

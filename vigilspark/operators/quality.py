@@ -57,11 +57,14 @@ def dq_not_negative(df: DataFrame, col: str) -> DataFrame:
 
 
 def dq_fresh(df: DataFrame, ts: str, warn_h: int = 24, error_h: int = 48,
-             as_of: datetime | str | None = None) -> DataFrame:
-    """Age of the newest load in hours and PASS / WARN / ERROR; an empty table is an ERROR."""
-    newest = df.agg(F.max(F.col(ts).cast("timestamp")).alias("max_loaded_at"))
+             as_of: datetime | str | None = None, by: tuple[str, ...] = ()) -> DataFrame:
+    """Age of the newest load in hours and PASS / WARN / ERROR, for the table or each group ``by``.
+
+    An empty table is an ERROR.
+    """
+    newest = df.groupBy(*by).agg(F.max(F.col(ts).cast("timestamp")).alias("max_loaded_at"))
     age = (F.unix_micros(run_timestamp(as_of)) - F.unix_micros("max_loaded_at")) / F.lit(3_600_000_000)
-    return newest.select("max_loaded_at", age.alias("age_hours")).withColumn(
+    return newest.select(*by, "max_loaded_at", age.alias("age_hours")).withColumn(
         "status",
         F.when(F.col("age_hours").isNull() | (F.col("age_hours") > error_h), "ERROR")
         .when(F.col("age_hours") > warn_h, "WARN").otherwise("PASS"))

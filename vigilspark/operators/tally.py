@@ -81,9 +81,10 @@ def tally_children(drugs: DataFrame, reactions: DataFrame, block: int = BLOCK) -
     if large is None:
         return _sum_up(joined(d, r))
     small = joined(d.join(large, key, "left_anti"), r.join(large, key, "left_anti"))
+    paired = large.filter("left_stripes > 0 AND right_stripes > 0")     # others make no pairs
     hot = grid_join(
-        compared(d.join(large, key, "left_semi").distinct(), "drug_name", "first_drug"),
-        compared(r.join(large, key, "left_semi").distinct(), "reaction_term", "first_reaction"),
+        compared(d.join(paired, key, "left_semi").distinct(), "drug_name", "first_drug"),
+        compared(r.join(paired, key, "left_semi").distinct(), "reaction_term", "first_reaction"),
         key, large)
     return _sum_up(small.unionByName(hot))
 
@@ -128,6 +129,10 @@ def reaction_counts(tally: DataFrame) -> DataFrame:
     return tally.groupBy("reaction_term").agg(F.sum("reaction_share").alias("reports_with_reaction"))
 
 
-def total_reports(reports: DataFrame) -> DataFrame:
-    """Distinct reports in the universe, as one row."""
-    return reports.agg(F.countDistinct("report_id").alias("total_report_count"))
+def total_reports(reports: DataFrame, staged: bool = False) -> DataFrame:
+    """Distinct reports in the universe, as one row.
+
+    ``staged`` reports hold one row per id already: their ids are counted, not shuffled.
+    """
+    count = F.count("report_id") if staged else F.countDistinct("report_id")
+    return reports.agg(count.alias("total_report_count"))

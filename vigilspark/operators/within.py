@@ -22,9 +22,11 @@ MAX_BROADCAST_KEYS = 100_000
 def large_keys(left: DataFrame, right: DataFrame, key: str, block: int = BLOCK) -> DataFrame | None:
     """``(key, left_stripes, right_stripes)`` of the keys to split; None if there is none.
 
-    One aggregation over the key column counts them; only if there are any is the
-    list pinned.  It is marked for broadcast up to ``MAX_BROADCAST_KEYS`` rows and
-    joined by shuffle beyond.
+    A key that is large on one side and absent on the other is listed with 0
+    stripes there: it makes no pairs, but its rows must not meet in one task
+    either.  One aggregation over the key column finds the list, which is pinned
+    once.  It is marked for broadcast up to ``MAX_BROADCAST_KEYS`` rows and joined
+    by shuffle beyond.
     """
     one, zero = F.lit(1).cast("long"), F.lit(0).cast("long")
     sides = left.select(key, one.alias("l"), zero.alias("r")).unionAll(
@@ -33,27 +35,28 @@ def large_keys(left: DataFrame, right: DataFrame, key: str, block: int = BLOCK)
         sides.filter(F.col(key).isNotNull())
         .groupBy(key)
         .agg(F.sum("l").alias("l"), F.sum("r").alias("r"))
-        .filter((F.greatest("l", "r") > block) & (F.least("l", "r") > 0))
+        .filter(F.greatest("l", "r") > block)
         .select(key, F.ceil(F.col("l") / block).alias("left_stripes"),
                 F.ceil(F.col("r") / block).alias("right_stripes"))
     )
+    large = pin(large)
     n = large.count()
     if n == 0:
         return None
-    large = pin(large)
     return F.broadcast(large) if n <= MAX_BROADCAST_KEYS else large
 
 
 def grid_join(left: DataFrame, right: DataFrame, key: str, large: DataFrame) -> DataFrame:
-    """Inner join on ``key`` in which the rows of ``large`` keys are spread over their grid."""
+    """Inner join on the keys of ``large``, the rows of each spread over its grid."""
+    two_sided = large.filter("left_stripes > 0 AND right_stripes > 0")
 
     def laid_out(df: DataFrame, own: str, own_axis: str, other: str, other_axis: str) -> DataFrame:
         stripe = F.pmod(F.xxhash64(*df.columns), F.col(own))
         copies = F.sequence(F.lit(0).cast("long"), F.col(other) - 1)
         return (
-            df.join(large, key, "left")
-            .withColumn(own_axis, F.coalesce(stripe, F.lit(0).cast("long")))
-            .withColumn(other_axis, F.explode(F.coalesce(copies, F.array(F.lit(0).cast("long")))))
+            df.join(two_sided, key)
+            .withColumn(own_axis, stripe)
+            .withColumn(other_axis, F.explode(copies))
             .drop("left_stripes", "right_stripes")
         )
 
@@ -104,4 +107,8 @@ def array_grid(df: DataFrame, left: str, right: str, volume: str, key: str,
 def join_within(left: DataFrame, right: DataFrame, key: str, block: int = BLOCK) -> DataFrame:
     """Every left x right combination inside ``key``."""
     large = large_keys(left, right, key, block)
-    return left.join(right, key) if large is None else grid_join(left, right, key, large)
+    if large is None:
+        return left.join(right, key)
+    # ordinary keys keep the join that Spark plans and sizes for them
+    small = left.join(large, key, "left_anti").join(right.join(large, key, "left_anti"), key)
+    return small.unionByName(grid_join(left, right, key, large))

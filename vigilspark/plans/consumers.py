@@ -98,8 +98,9 @@ def top_pairs(pairs: DataFrame, k: int = 30, show: int = 15) -> DataFrame:
 
 
 def semi_join_risk_drugs(pairs: DataFrame, drugs: DataFrame) -> DataFrame:
-    """Pairs whose drug is in the given drug list."""
-    return pairs.join(drugs.select("drug_name"), "drug_name", "left_semi")
+    """Pairs whose drug is in the given drug list; the drug without a name is one of them."""
+    chosen = drugs.select(F.col("drug_name").alias("_chosen"))
+    return pairs.join(chosen, F.col("drug_name").eqNullSafe(F.col("_chosen")), "left_semi")
 
 
 def top_pairs_in_band(pairs: DataFrame, summary: DataFrame, level: str = "All", min_reports: int = 0,

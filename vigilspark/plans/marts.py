@@ -58,12 +58,13 @@ def _mean(total: Column, n: Column) -> Column:
     return F.when(n > 0, total.cast("double") / n)
 
 
-def summarise_drugs(stats: DataFrame, high: int = HIGH_REPORTS, medium: int = MEDIUM_REPORTS) -> DataFrame:
-    """Drug mart: missing mean age shown as 0, and the risk band."""
-    return stats.select(
+def summarise_drugs(stats: DataFrame, high: int = HIGH_REPORTS, medium: int = MEDIUM_REPORTS,
+                    ordered: bool = True) -> DataFrame:
+    """Drug mart: missing mean age shown as 0, and the risk band; ``ordered`` for display."""
+    summary = stats.select(
         "drug_name", "total_reports", F.coalesce("avg_age", F.lit(0.0)).alias("avg_age"),
-        risk_band(F.col("total_reports"), high, medium).alias("risk_level"),
-    ).orderBy(F.desc("total_reports"), "drug_name")
+        risk_band(F.col("total_reports"), high, medium).alias("risk_level"))
+    return summary.orderBy(F.desc("total_reports"), "drug_name") if ordered else summary
 
 
 def drug_summary(drugs: DataFrame) -> DataFrame:

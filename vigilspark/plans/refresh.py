@@ -1,12 +1,16 @@
 """All tables of a run, in dependency order, as a full refresh or an increment.
 
-``staged`` and the child tables are kept per batch (see ``streaming.batches``);
-the marts are rewritten from the current reports each time.  The pair tally is
-stored once and feeds the pair mart, both margins and the signals.
+``staged`` and the child tables are kept per batch (see ``streaming.batches``).
+A batch counts once its ``done`` mark is written, after the children; a run that
+breaks off before is repeated with the same batch id and the same documents.
+The marts are rewritten from the current reports, each time in a folder of their
+own, and a row in ``published`` is added last: readers (:func:`read_mart`) see
+the last complete marts, never half of the next.
 """
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,9 +18,10 @@ from pyspark.sql import functions as F
 
 from ..operators.tally import pair_counts, tally_reports
 from ..schemas import MIN_PAIR_REPORTS
-from ..sources.tables import newer_than_target, write_table
+from ..sources.tables import write_table
 from ..streaming.batches import (
-    CHILDREN, batch_path, children_batch, current_reports, next_batch_id, read_table, stage_batch,
+    CHILDREN, after_done, batch_path, children_batch, close_batch, current_reports, next_batch_id,
+    read_table, stage_batch,
 )
 from .marts import drug_stats_of_reports, summarise_drugs
 from .signals import signals_from_tally
@@ -24,35 +29,46 @@ from .signals import signals_from_tally
 
 def build_tables(spark: SparkSession, raw: DataFrame, out: str, mode: str = "full",
                  children: tuple[str, ...] = tuple(CHILDREN), min_reports: int = MIN_PAIR_REPORTS,
-                 as_of: datetime | str | None = None) -> None:
+                 as_of: datetime | str | None = None, strict: bool = False) -> None:
     """Stage, explode and aggregate ``raw`` below ``out``.
 
-    ``full`` expects a new folder; ``incremental`` stages only documents loaded
-    after everything staged so far (strictly: see ``newer_than_target``).
+    ``full`` expects a folder without complete batches; ``incremental`` stages
+    only documents beyond what the complete batches hold.
     """
     if mode not in ("full", "incremental"):
         raise ValueError("mode is full or incremental")
-    staged = read_table(spark, out, "staged")
-    if mode == "full" and staged is not None:
+    batch_id = next_batch_id(spark, out, "done")
+    if mode == "full" and batch_id > 0:
         raise ValueError(f"{out} already holds tables; a full refresh goes to a new folder")
-    if staged is not None:
-        loaded = staged.select(F.col("src_ld_ts").alias("ingestion_timestamp"))
-        raw = newer_than_target(raw, loaded, "ingestion_timestamp")
-    batch_id = next_batch_id(spark, out)
-    stage_batch(raw, batch_id, out)
-    children_batch(spark.read.parquet(batch_path(out, "staged", batch_id)), batch_id, out, children)
+    raw = after_done(raw, out)
+    stage_batch(raw, batch_id, out, strict)
+    children_batch(spark.read.parquet(batch_path(out, "staged", batch_id)), batch_id, out, children, strict)
+    close_batch(raw, batch_id, out)
     build_marts(spark, out, min_reports, as_of)
 
 
 def build_marts(spark: SparkSession, out: str, min_reports: int = MIN_PAIR_REPORTS,
                 as_of: datetime | str | None = None) -> None:
     """Pair tally, pair mart, drug mart and signals of the current reports."""
-    reports = current_reports(read_table(spark, out, "staged"))
-    needed = reports.select("report_id", "patient_age", "drug_names", "reaction_terms", "pair_volume")
-    write_table(needed, f"{out}/current_reports")
-    current = spark.read.parquet(f"{out}/current_reports")
-    write_table(tally_reports(current), f"{out}/pair_tally")
-    tally = spark.read.parquet(f"{out}/pair_tally")
-    write_table(pair_counts(tally), f"{out}/pair_report_counts")
-    write_table(summarise_drugs(drug_stats_of_reports(current)), f"{out}/drug_summary")
-    write_table(signals_from_tally(tally, current, min_reports, as_of=as_of), f"{out}/risk_signals")
+    run = uuid.uuid4().hex
+    at = f"{out}/marts/{run}"
+    staged = read_table(spark, out, "staged")
+    complete = staged.filter(F.col("batch_id") < next_batch_id(spark, out, "done"))
+    needed = current_reports(complete).select(
+        "report_id", "patient_age", "drug_names", "reaction_terms", "pair_volume")
+    write_table(needed, f"{at}/current_reports")
+    current = spark.read.parquet(f"{at}/current_reports")
+    write_table(tally_reports(current), f"{at}/pair_tally")
+    tally = spark.read.parquet(f"{at}/pair_tally")
+    write_table(pair_counts(tally), f"{at}/pair_report_counts")
+    write_table(summarise_drugs(drug_stats_of_reports(current), ordered=False), f"{at}/drug_summary")
+    write_table(signals_from_tally(tally, current, min_reports, as_of=as_of, staged=True), f"{at}/risk_signals")
+    published = read_table(spark, out, "published")
+    number = 0 if published is None else published.agg(F.coalesce(F.max("number") + 1, F.lit(0))).first()[0]
+    spark.createDataFrame([(number, run)], "number long, run string").coalesce(1).write.mode("append").parquet(f"{out}/published")
+
+
+def read_mart(spark: SparkSession, out: str, name: str) -> DataFrame:
+    """A mart of the last complete run."""
+    last = spark.read.parquet(f"{out}/published").orderBy(F.desc("number"), "run").first()
+    return spark.read.parquet(f"{out}/marts/{last['run']}/{name}")

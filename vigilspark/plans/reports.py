@@ -106,12 +106,29 @@ def extract_report(raw: DataFrame, strict: bool = False) -> DataFrame:
 
 
 def cast_errors(raw: DataFrame) -> DataFrame:
-    """``(file_id, file_name, column_name, value)`` of report values that are present but do not fit."""
-    found = F.array(*[
-        F.when(text.isNotNull() & _typed(c, text).isNull(),
-               F.struct(F.lit(c).alias("column_name"), text.alias("value")))
-        for c, text in _texts().items()])
-    return _report(raw).select("file_id", "file_name", F.inline(F.array_compact(found)))
+    """``(file_id, file_name, column_name, position, value)`` of values that are present but do not fit.
+
+    ``position`` is that of the drug or reaction in its array, NULL for a value of the report.
+    """
+    def misfit(column: str, text: Column, typed: Column, position: Column) -> Column:
+        return F.when(text.isNotNull() & typed.isNull(), F.struct(
+            F.lit(column).alias("column_name"), position.cast("int").alias("position"), text.alias("value")))
+
+    found = F.array(*[misfit(c, text, _typed(c, text), F.lit(None)) for c, text in _texts().items()])
+    patient = F.get(F.col("_report")["patient"], 0)
+
+    def of(array: str, texts: dict, fields) -> Column:
+        each = F.transform(patient[array], lambda x, i: F.array(*[misfit(c, text(x), fields(x)[c], i) for c, text in texts.items()]))
+        return F.coalesce(F.flatten(each), F.array().cast(_MISFITS))
+
+    drugs = of("drug", {
+        "drug_characterization": lambda d: d["drugcharacterization"],
+        "cumulative_dose_value": lambda d: F.get(d["drugcumulativedose"], 0)["value"]}, drug_fields)
+    reactions = of("reaction", {"outcome_code": lambda r: F.get(r["reactionoutcome"], 0)["value"]}, reaction_fields)
+    return _report(raw).select("file_id", "file_name", F.inline(F.array_compact(F.concat(found, drugs, reactions))))
+
+
+_MISFITS = "array<struct<column_name: string, position: int, value: string>>"
 
 
 def stage_reports(raw: DataFrame, strict: bool = False) -> DataFrame:
@@ -218,7 +235,7 @@ def drug_reaction_pairs(drugs: DataFrame, reactions: DataFrame, block: int = BLO
     )
 
 
-def pairs_of_reports(staged: DataFrame, block: int = BLOCK) -> DataFrame:
+def pairs_of_reports(staged: DataFrame, block: int = BLOCK, strict: bool = False) -> DataFrame:
     """The same pair rows straight from staged reports: two explodes in a row, no shuffle
     but for reports with very many pairs."""
     # elements keep their position in the document, which the filters would lose
@@ -229,7 +246,7 @@ def pairs_of_reports(staged: DataFrame, block: int = BLOCK) -> DataFrame:
     cells = array_grid(arrays, "_drugs", "_reactions", "pair_volume", "report_id", block)
     rows = cells.select("report_id", "src_ld_ts", "_reactions", F.explode("_drugs").alias("_d"))
     rows = rows.select("report_id", "src_ld_ts", "_d", F.explode("_reactions").alias("_r"))
-    fields = drug_fields(F.col("_d.value"))
+    fields = drug_fields(F.col("_d.value"), strict)
     return (
         rows.select(
             "report_id", "src_ld_ts", fields["drug_name"].alias("drug_name"),

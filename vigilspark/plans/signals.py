@@ -40,8 +40,9 @@ def cross_join_total(df: DataFrame, total: DataFrame) -> DataFrame:
     return df.crossJoin(F.broadcast(total))
 
 
-def contingency_cells(tally: DataFrame, reports: DataFrame, min_reports: int = 0) -> DataFrame:
-    """A, B, C, D per named pair.
+def contingency_cells(tally: DataFrame, reports: DataFrame, min_reports: int = 0,
+                      staged: bool = False) -> DataFrame:
+    """A, B, C, D per named pair; ``staged`` reports have one row per id.
 
     ``min_reports`` drops rare pairs before the margin joins; the margins
     themselves always see every pair.
@@ -53,7 +54,7 @@ def contingency_cells(tally: DataFrame, reports: DataFrame, min_reports: int = 0
     joined = join_reaction_margin(join_drug_margin(pairs, named_drugs), reaction_counts(tally))
     a, dn, rn = F.col("report_count"), F.col("reports_with_drug"), F.col("reports_with_reaction")
     n = F.col("total_report_count")
-    return cross_join_total(joined, total_reports(reports)).select(
+    return cross_join_total(joined, total_reports(reports, staged)).select(
         "drug_name", "reaction_term", "report_count",
         (dn - a).alias("b_count"), (rn - a).alias("c_count"), (n - dn - rn + a).alias("d_count"))
 
@@ -68,10 +69,10 @@ def with_metrics(cells: DataFrame) -> DataFrame:
 def signals_from_tally(tally: DataFrame, reports: DataFrame, min_reports: int = MIN_PAIR_REPORTS,
                        high: float = HIGH_PRR, elevated: float = ELEVATED_PRR,
                        significant_reports: int = MIN_PAIR_REPORTS,
-                       as_of: datetime | str | None = None) -> DataFrame:
+                       as_of: datetime | str | None = None, staged: bool = False) -> DataFrame:
     """Signal table, unordered.  The tally is read for pairs and both margins:
     pass a stored or pinned one."""
-    metrics = with_metrics(contingency_cells(tally, reports, min_reports))
+    metrics = with_metrics(contingency_cells(tally, reports, min_reports, staged))
     return metrics.withColumns({
         "signal_strength": S.signal_band(F.col("prr"), high, elevated),
         "is_significant_signal": S.significant(
@@ -102,4 +103,4 @@ def risk_signals_of_reports(staged: DataFrame, min_reports: int = MIN_PAIR_REPOR
                             as_of: datetime | str | None = None) -> DataFrame:
     """Ordered signals straight from staged reports, which are read twice: pass stored ones."""
     tally = pin(tally_reports(staged))
-    return order_signals(signals_from_tally(tally, staged, min_reports, as_of=as_of))
+    return order_signals(signals_from_tally(tally, staged, min_reports, as_of=as_of, staged=True))

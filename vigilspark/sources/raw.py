@@ -14,80 +14,90 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalars import run_timestamp
-from ..functions.semistructured import elements, parse
+from ..functions.semistructured import parse
 from ..operators.numbering import number_rows
 from ..schemas import RAW_COLUMNS
 
-PARSE_WHOLE = 32 * 1024 * 1024
+# the compressions Spark's text source unpacks by name
+_JSON_NAME = r"\.json(\.(gz|bz2|deflate|lz4|snappy|zst))?$"
+_STRICT_JSON = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
+MAX_FILES = 10_000
+
 
 def read_files(spark: SparkSession, path: str) -> DataFrame:
     """All files below ``path`` as ``(file_name, content)``; compressed files are unpacked.
 
-    Spark's file sources leave out files of zero length; they hold nothing to
-    load and so get no outcome row either.
+    ``file_name`` is the path below ``path``.  Spark's file sources leave out
+    files of zero length; they hold nothing to load and so get no outcome row
+    either.
     """
-    return _named_files(spark.read.option("recursiveFileLookup", True).text(path, wholetext=True))
+    return _named_files(spark.read.option("recursiveFileLookup", True).text(path, wholetext=True), path)
 
 
-def stream_files(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    """The same frame as a file stream that picks up new files."""
-    reader = spark.readStream.format("text").option("wholetext", True)
+def stream_files(spark: SparkSession, path: str, max_files: int | None = MAX_FILES) -> DataFrame:
+    """The same frame, subfolders included, as a file stream that picks up new files."""
+    reader = spark.readStream.format("text").option("wholetext", True).option("recursiveFileLookup", True)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return _named_files(reader.load(path))
+    return _named_files(reader.load(path), path)
 
 
-def _named_files(files: DataFrame) -> DataFrame:
-    return files.select(F.col("_metadata.file_name").alias("file_name"),
-                        F.col("value").alias("content"))
+def _named_files(files: DataFrame, path: str) -> DataFrame:
+    """Names relative to ``path``; for a path with wildcards, the bare file names."""
+    encoded = F.regexp_replace(F.col("_metadata.file_path"), r"\+", "%2B")   # a plus is no space here
+    full = F.url_decode(encoded)
+    root = f"{path.split(':', 1)[-1].lstrip('/').rstrip('/')}/"
+    at = F.instr(full, F.lit(root))
+    name = F.when(at > 0, F.substr(full, at + F.lit(len(root)))).otherwise(F.col("_metadata.file_name"))
+    return files.select(name.alias("file_name"), F.col("value").alias("content"))
 
 
 def is_json_name(name: Column | str) -> Column:
-    return F.endswith(name, F.lit(".json"))
+    return F.rlike(name, F.lit(_JSON_NAME))
 
 
-def _parsed(files: DataFrame, whole: int) -> DataFrame:
-    """Adds ``_ok``, ``_doc`` (a file parsed whole) and ``_parts`` (an array parsed by element).
+def _parsed(files: DataFrame) -> DataFrame:
+    """Adds ``_items``: the documents of a file as an array; NULL where the content does not parse.
 
-    A semi-structured value has a size limit, so the array of a file of more
-    than ``whole`` bytes is taken apart as text before its elements are parsed.
+    The content is parsed as the only element of an array, so that anything
+    after the first value makes it malformed.  The elements of an outer array
+    are parsed one by one, each into a value of its own: Spark's size limit for
+    semi-structured values holds for a document, not for a file.
     """
-    large = F.octet_length("content") > whole
-    parsed = (
-        files.withColumn("_texts", F.when(large, F.from_json("content", "array<string>")))
-        .withColumn("_doc", F.when(F.col("_texts").isNull(), parse("content")))
-        .withColumn("_parts", F.transform(
-            "_texts", lambda x: parse(F.coalesce(x, F.lit("null")))))
-    )
-    by_part = F.col("_texts").isNotNull() & ~F.exists("_parts", lambda x: x.isNull())
-    return parsed.withColumn("_ok", F.col("_doc").isNotNull() | F.coalesce(by_part, F.lit(False)))
+    wrapped = F.concat(F.lit("["), "content", F.lit("]"))
+    is_array = F.col("content").rlike(r"^[ \t\r\n]*\[")
+    parsed = files.withColumns({
+        "_many": F.when(is_array, F.from_json(wrapped, "array<array<variant>>", _STRICT_JSON)),
+        "_one": F.when(~is_array, F.from_json(wrapped, "array<variant>", _STRICT_JSON))})
+    found = F.when(F.size("_many") == 1, F.get("_many", 0)).when(F.size("_one") == 1, F.col("_one"))
+    null = parse(F.lit("null"))
+    return parsed.withColumn("_items", F.transform(found, lambda x: F.coalesce(x, null))).drop("_many", "_one")
 
 
-def split_valid(files: DataFrame, whole: int = PARSE_WHOLE) -> tuple[DataFrame, DataFrame]:
-    """Files with a ``.json`` name and parseable content, and the rest.
+def split_valid(files: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Files with a JSON name and parseable content, and the rest.
 
-    Repeated object keys count as malformed.
+    Repeated object keys and text after the document count as malformed.
     """
-    judged = _parsed(files, whole).withColumn("_ok", F.col("_ok") & is_json_name(F.col("file_name")))
+    judged = _parsed(files).withColumn("_ok", F.col("_items").isNotNull() & is_json_name(F.col("file_name")))
     return (judged.filter("_ok").select(*files.columns),
             judged.filter("NOT _ok").select(*files.columns))
 
 
-def load_rows(files: DataFrame, check_names: bool = True, whole: int = PARSE_WHOLE) -> DataFrame:
+def load_rows(files: DataFrame, check_names: bool = True) -> DataFrame:
     """``(…, outcome, pos, raw_json)`` from one pass over the files.
 
     One row per document with outer arrays stripped, and one row without a
     document for a file that is rejected or holds an empty array.  ``outcome`` is
-    SUCCESS, FAILED (content does not parse) or ERROR (not a ``.json`` name).
+    SUCCESS, FAILED (content does not parse) or ERROR (not a JSON name).
     All columns but ``content`` are carried along.
     """
     carried = [c for c in files.columns if c != "content"]
     named = is_json_name(F.col("file_name")) if check_names else F.lit(True)
-    outcome = F.when(~named, "ERROR").when(~F.col("_ok"), "FAILED").otherwise("SUCCESS")
-    whole_file = F.when(F.col("_doc").isNotNull(), F.coalesce(elements("_doc"), F.array("_doc")))
-    items = F.when(F.col("outcome") == "SUCCESS", F.coalesce(whole_file, "_parts"))
+    outcome = F.when(~named, "ERROR").when(F.col("_items").isNull(), "FAILED").otherwise("SUCCESS")
+    items = F.when(F.col("outcome") == "SUCCESS", F.col("_items"))
     return (
-        _parsed(files, whole).withColumn("outcome", outcome)
+        _parsed(files).withColumn("outcome", outcome)
         .select(*carried, "outcome", F.posexplode_outer(items).alias("pos", "raw_json"))
     )
 
@@ -153,9 +163,9 @@ def ingest_report(loaded: DataFrame) -> DataFrame:
         .agg(F.coalesce(newest, F.lit(0)).alias("_id"))
         .select(
             "file_name", "status", F.when(ok, F.col("_id")).alias("file_id"),
-            F.when(ok, F.concat(F.lit("Loaded with ID "), F.col("_id").cast("string")))
-            .when(F.col("status") == "ERROR", "Only .json files are supported.")
-            .otherwise("Invalid JSON structure").alias("message"))
+            F.when(ok, F.concat(F.lit("newest document: "), F.col("_id").cast("string")))
+            .when(F.col("status") == "ERROR", "not named as a JSON file")
+            .otherwise("not one JSON document or array").alias("message"))
     )
 
 

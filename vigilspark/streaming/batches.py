@@ -43,6 +43,11 @@ def read_table(spark: SparkSession, out: str, table: str) -> DataFrame | None:
         raise
 
 
+def read_batch(spark: SparkSession, out: str, table: str, batch_id: int) -> DataFrame | None:
+    """One batch of a table; None if it was never written."""
+    return read_table(spark, out, f"{table}/batch_id={batch_id}")
+
+
 def _number(df: DataFrame | None, expression: str) -> int:
     """One aggregate number of a table, 0 for a missing or empty one."""
     value = None if df is None else df.selectExpr(expression).first()[0]
@@ -51,14 +56,18 @@ def _number(df: DataFrame | None, expression: str) -> int:
 
 def load_batch(files: DataFrame, batch_id: int, out: str, as_of: datetime | str | None = None,
                check_names: bool = True) -> None:
-    """Files of a batch to ``loads``: documents and rejected files from one pass."""
+    """Files of a batch to ``loads``: documents and rejected files from one pass.
+
+    The newest id goes to ``load_marks``, one row per batch, so that the next
+    batch need not look at earlier loads.
+    """
     spark = files.sparkSession
-    earlier = read_table(spark, out, "loads")
-    if earlier is not None:
-        earlier = earlier.filter(F.col("batch_id") < batch_id)
+    last = _number(read_batch(spark, out, "load_marks", batch_id - 1), "max(file_id)")
     rows = with_load_metadata(load_rows(files, check_names), "PROCESSED", as_of)
-    spaced_file_id(rows, start=_number(earlier, "max(file_id)")).write.mode("overwrite").parquet(
-        batch_path(out, "loads", batch_id))
+    spaced_file_id(rows, start=last).write.mode("overwrite").parquet(batch_path(out, "loads", batch_id))
+    written = spark.read.parquet(batch_path(out, "loads", batch_id))
+    written.agg(F.coalesce(F.max("file_id"), F.lit(last)).alias("file_id")).write.mode("overwrite").parquet(
+        batch_path(out, "load_marks", batch_id))
 
 
 def raw_of(loads: DataFrame) -> DataFrame:
@@ -83,10 +92,44 @@ def stage_batch(raw: DataFrame, batch_id: int, out: str, strict: bool = False) -
 
 
 def children_batch(staged: DataFrame, batch_id: int, out: str,
-                   tables: tuple[str, ...] = tuple(CHILDREN)) -> None:
-    """Child and pair rows of the reports a batch staged.  No shuffle: each is an explode."""
+                   tables: tuple[str, ...] = tuple(CHILDREN), strict: bool = False) -> None:
+    """Child and pair rows of the reports a batch staged.
+
+    Each is an explode; reactions alone are shuffled, to lie by report and sequence.
+    """
     for name in tables:
-        CHILDREN[name](staged).write.mode("overwrite").parquet(batch_path(out, name, batch_id))
+        rows = CHILDREN[name](staged, strict=strict)
+        if name == "report_reactions":
+            keys = ["report_id", "reaction_sequence"]
+            rows = rows.repartitionByRange(*keys).sortWithinPartitions(*keys)
+        rows.write.mode("overwrite").parquet(batch_path(out, name, batch_id))
+
+
+def close_batch(raw: DataFrame, batch_id: int, out: str) -> None:
+    """Mark a batch as completely written: its newest (load time, ``file_id``), or the mark before."""
+    spark = raw.sparkSession
+    newest = raw.agg(F.max(F.struct("ingestion_timestamp", "file_id")).alias("mark"))
+    before = read_batch(spark, out, "done", batch_id - 1)
+    if before is not None:
+        newest = newest.unionByName(before.select("mark")).agg(F.max("mark").alias("mark"))
+    newest.write.mode("overwrite").parquet(batch_path(out, "done", batch_id))
+
+
+def after_done(raw: DataFrame, out: str) -> DataFrame:
+    """Documents beyond the mark of the complete batches.
+
+    The mark is a pair, so documents that share a load time with it but have a
+    higher ``file_id`` still come.
+    """
+    done = read_table(raw.sparkSession, out, "done")
+    if done is None:
+        return raw
+    mark = done.agg(F.max("mark").alias("m")).first()["m"]
+    if mark is None:
+        return raw
+    time = F.lit(mark["ingestion_timestamp"]).cast(raw.schema["ingestion_timestamp"].dataType)
+    return raw.filter((F.col("ingestion_timestamp") > time)
+                      | ((F.col("ingestion_timestamp") == time) & (F.col("file_id") > mark["file_id"])))
 
 
 def current_reports(staged: DataFrame) -> DataFrame:
@@ -107,6 +150,9 @@ def next_batch_id(spark: SparkSession, out: str, table: str = "staged") -> int:
 
 def compact(spark: SparkSession, source: str, target: str) -> None:
     """Current state of ``source`` as the single batch 0 of a new folder ``target``."""
+    done = read_table(spark, source, "done")
     staged = current_reports(read_table(spark, source, "staged")).drop("batch_id")
     staged.write.mode("overwrite").parquet(batch_path(target, "staged", 0))
     children_batch(spark.read.parquet(batch_path(target, "staged", 0)), 0, target)
+    if done is not None:
+        done.agg(F.max("mark").alias("mark")).write.mode("overwrite").parquet(batch_path(target, "done", 0))
