@@ -221,7 +221,11 @@ def _window_hashes(span: int):
 
 
 def repeated_spans(keyed: DataFrame, span: int = SPAN, gram: int = GRAM, max_bucket: int = MAX_BUCKET) -> DataFrame:
-    """key, a, b: byte ranges made of repeated windows, for texts (key, text)."""
+    """key, a, b: byte ranges made of repeated windows, for texts (key, text, and any other columns).
+
+    Other columns travel with the text, so that a later join of the same rows by key finds
+    them shuffled already.
+    """
     places = map_arrow(keyed, _anchor_rows(span, gram), "hash long, key long, n int")   # twice: cheaper than keeping it
     shared = (places.groupBy("hash").agg(F.sum("n").alias("n"), F.count("*").alias("texts")).where("n > 1")
               .select("hash", (F.col("texts") > max_bucket).alias("large")))
@@ -271,7 +275,7 @@ _NAMES = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
 def without_repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, max_bucket: int = MAX_BUCKET) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and the kept bytes (``kept``) of every document."""
     rows = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("key"), "text")
-    found = repeated_spans(rows.select("key", "text"), span, gram, max_bucket)
+    found = repeated_spans(rows, span, gram, max_bucket)
     spans = found.groupBy("key").agg(F.collect_set(F.struct("a", "b")).alias("spans"))      # of one text each
     joined = rows.join(spans, "key", "left").select("doc_id", "text", "spans")
     kind = docs.schema["doc_id"].dataType.simpleString()
