@@ -98,3 +98,23 @@ def test_pieces_cover_the_notice():
     for notice, _ in license_notices.NOTICES:
         parts = license_notices.split(notice)
         assert "".join(p for _, p in parts) == notice and len(parts) == license_notices.errors(len(notice)) + 1
+
+
+def edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        new = [i]
+        for j, y in enumerate(b, 1):
+            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+        row = new
+    return row[-1]
+
+
+def test_near_ends_equal_the_table_of_distances():
+    rng = random.Random(8)
+    for _ in range(30):
+        notice = "".join(rng.choice("abc ") for _ in range(24))
+        text = "".join(rng.choice("abc ") for _ in range(30)) + notice[:10] + rng.choice("xb") + notice[10:] + "abca"
+        most = license_notices.errors(len(notice))
+        got = {e for a, b in license_notices.near_ends(notice, text, 3, len(text)) for e in range(a, b + 1)}
+        assert got == {e for e in range(3, len(text) + 1) if min(edits(notice, text[s:e]) for s in range(3, e + 1)) <= most and e > 3}

@@ -77,10 +77,37 @@ def searcher():
     for piece, uses in seeds.items():
         automaton.add_word(piece, (len(piece), uses))
     automaton.make_automaton()
-    patterns = [regex.compile(f"(?be)(?:{regex.escape(n, literal_spaces=True)}){{e<={errors(len(n))}}}") for n, _ in NOTICES]
+    patterns = [regex.compile(f"(?e)(?:{regex.escape(n, literal_spaces=True)}){{e<={errors(len(n))}}}") for n, _ in NOTICES]
     return automaton, patterns
 
 
+def near_ends(notice: str, words: str, lo: int, hi: int) -> Iterator[tuple[int, int]]:
+    """Runs (first, last) of places in words[lo:hi] at which a spelling of the notice within its edits ends.
+
+    Edit distances to all beginnings at once in the bits of an integer, one step a character:
+    it keeps the regex library, whose cost is steep in the edits, from stretches without a match.
+    """
+    full, top, most = (1 << len(notice)) - 1, 1 << (len(notice) - 1), errors(len(notice))
+    equal: dict[str, int] = {}
+    for j, c in enumerate(notice):
+        equal[c] = equal.get(c, 0) | 1 << j
+    more, less, score, first = full, 0, len(notice), None
+    for at in range(lo, hi):
+        eq = equal.get(words[at], 0)
+        same = (((eq & more) + more) ^ more) | eq
+        up, down = (less | ~(same | more)) & full, more & same
+        score += bool(up & top) - bool(down & top)
+        up, down, cross = up << 1 & full, down << 1 & full, eq | less
+        more, less = (down | ~(cross | up)) & full, up & cross
+        if score <= most:
+            first = at + 1 if first is None else first
+        elif first is not None:
+            yield first, at
+            first = None
+    if first is not None:
+        yield first, hi
+
+
 def fuzzy(words: str) -> list[tuple[int, int, int, int]]:
     """(notice, start, end, edits) of verified notices in a reduced text."""
     automaton, patterns = searcher()
@@ -98,12 +125,15 @@ def fuzzy(words: str) -> list[tuple[int, int, int, int]]:
                 of.append([lo, hi])
     found = set()
     for i, of in windows.items():
-        done = -1
+        notice, done = NOTICES[i][0], 0
+        reach = len(notice) + errors(len(notice))
         for lo, hi in sorted(of):
-            for m in patterns[i].finditer(words, max(lo, done), hi):
-                if m.end() > m.start():
-                    found.add((i, m.start(), m.end(), sum(m.fuzzy_counts)))
-                    done = max(done, m.end())
+            for first, last in near_ends(notice, words, lo, min(hi, len(words))):
+                at = max(0, done, first - reach)
+                for m in patterns[i].finditer(words[at:last]):
+                    if m.end() > m.start():
+                        found.add((i, at + m.start(), at + m.end(), sum(m.fuzzy_counts)))
+                        done = max(done, at + m.end())
     return sorted(found)
 
 
