@@ -11,7 +11,7 @@ from ..operators.tally import tally_reports
 from ..plans import reports as R
 from ..plans.marts import drug_stats_of_reports, summarise_drugs
 from ..plans.signals import risk_signals_of_reports
-from ..session import pin
+from ..session import stored
 from ..schemas import (
     DRUG_ARRAY_PATH, PAIR_COLUMNS, REACTION_ARRAY_PATH, REPORT_ID_PATHS,
 )
@@ -153,7 +153,7 @@ def lateral_flatten_join(spark, sf_dir):
   SELECT count(*) AS documents, count(report_id) AS with_id, count(DISTINCT report_id) AS reports FROM docs""")
 def filter_report_id(spark, sf_dir):
     """Documents, those with an id, and the reports that staging keeps."""
-    documents = pin(raw(spark, sf_dir))
+    documents = stored(raw(spark, sf_dir), "raw")
     kept = R.stage_reports(documents).agg(F.count("*").alias("reports"))
     return documents.agg(
         F.count("*").alias("documents"), F.count(R.report_id("raw_json")).alias("with_id")
@@ -213,7 +213,7 @@ def dedupe_latest_events(spark, sf_dir):
 @query("join_raw_to_staged", f"""WITH {DOCS_SQL} SELECT report_id, doc_key AS file_id, received_date::VARCHAR AS received_date,
   patient_sex, patient_age, loaded_at AS src_ld_ts FROM stg""")
 def join_raw_to_staged(spark, sf_dir):
-    documents = pin(raw(spark, sf_dir))
+    documents = stored(raw(spark, sf_dir), "raw")
     joined = R.join_raw_to_staged(documents, R.stage_reports(documents))
     return plain(joined.select("report_id", "file_id", "received_date", "patient_sex", "patient_age",
                                "src_ld_ts"))
@@ -241,13 +241,13 @@ PAIRS_SQL = f"""WITH {DOCS_SQL}, {DOC_CHILDREN_SQL}
 
 @query("drug_reaction_pairs", PAIRS_SQL)
 def drug_reaction_pairs(spark, sf_dir):
-    return R.pairs_of_reports(pin(staged(spark, sf_dir))).select(*PAIR_COLUMNS)
+    return R.pairs_of_reports(stored(staged(spark, sf_dir), "staged")).select(*PAIR_COLUMNS)
 
 
 @query("report_pairs", PAIRS_SQL)
 def report_pairs(spark, sf_dir):
     """The same pairs by joining the two child tables."""
-    reports = pin(staged(spark, sf_dir))
+    reports = stored(staged(spark, sf_dir), "staged")
     return R.drug_reaction_pairs(R.report_drugs(reports), R.report_reactions(reports))
 
 
@@ -271,7 +271,7 @@ def filter_reaction_present(spark, sf_dir):
 @query("pair_tally_of_reports", f"""WITH {DOCS_SQL}, {DOC_CHILDREN_SQL}, {MARTS_SQL}
   SELECT drug_name, reaction_term, report_count FROM pc""")
 def pair_tally_of_reports(spark, sf_dir):
-    return tally_reports(pin(staged(spark, sf_dir))).select("drug_name", "reaction_term", "report_count")
+    return tally_reports(stored(staged(spark, sf_dir), "staged")).select("drug_name", "reaction_term", "report_count")
 
 
 @query("drug_summary_of_reports", f"""WITH {DOCS_SQL}, {DOC_CHILDREN_SQL}, {SUMMARY_SQL}
@@ -285,4 +285,4 @@ def drug_summary_of_reports(spark, sf_dir):
     signal_strength, is_significant_signal FROM sig""")
 def signals_of_reports(spark, sf_dir):
     needed = staged(spark, sf_dir).select("report_id", "drug_names", "reaction_terms", "pair_volume")
-    return risk_signals_of_reports(pin(needed)).drop("signal_generated_at")
+    return risk_signals_of_reports(stored(needed, "needed")).drop("signal_generated_at")
