@@ -1,24 +1,17 @@
-"""Tables, folds and intermediate storage of the operators."""
+"""Tables, folds and learning rows of the operators."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import stored  # noqa: F401  shared with the rest of the library
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """``df`` as Parquet in the shared folder: lineage ends here, any executor can read it again."""
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def held_out(doc_id: Column) -> Column:
     """The fold never learnt from: crc32(doc_id as text) mod 5 = 0."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
@@ -36,7 +29,3 @@ def learning_rows(docs: DataFrame, labels: DataFrame, label: str, limit: int) ->
               .where("y = _y").drop("_y"))
     chosen = usable.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
     return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-
-
-def code_points_sha(col: Column) -> Column:
-    return F.sha2(col.cast("binary"), 256)
