@@ -20,11 +20,14 @@ def parse_date_multi(spark, sf_dir):
         "o_orderkey", S.parse_date(text, "yyyyMMdd", "yyyy-MM-dd").alias("parsed"))
 
 
-@query("cast_date_strict", "SELECT o_orderkey, o_orderdate::DATE::VARCHAR AS onset FROM orders")
+@query("cast_date_strict", """SELECT o_orderkey, CASE WHEN o_orderkey % 5 > 1 THEN o_orderdate::DATE::VARCHAR END AS onset
+  FROM orders""")
 def cast_date_strict(spark, sf_dir):
-    doc = parse(F.to_json(F.struct(F.date_format("o_orderdate", "yyyy-MM-dd").alias("d"))), strict=True)
-    return table(spark, sf_dir, "orders").select(
-        "o_orderkey", path(doc, "$.d", "date", strict=True).alias("onset"))
+    """A date must be written in full: a year alone, or a time after the day, is no date."""
+    text = F.expr("""CASE o_orderkey % 5 WHEN 0 THEN date_format(o_orderdate, 'yyyy')
+      WHEN 1 THEN concat(date_format(o_orderdate, 'yyyy-MM-dd'), 'T99') ELSE date_format(o_orderdate, 'yyyy-MM-dd') END""")
+    doc = parse(F.to_json(F.struct(text.alias("d"))), strict=True)
+    return table(spark, sf_dir, "orders").select("o_orderkey", S.fit(path(doc, "$.d"), "date").alias("onset"))
 
 
 @query("cast_decimal", """SELECT event_id,
