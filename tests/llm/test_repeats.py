@@ -38,7 +38,7 @@ def drawn(seed):
     return rows + [(100, "ab" * 300), (101, "z" * 500), (102, "z" * 199), (103, "q" * 200), (104, "q" * 201)]
 
 
-@pytest.mark.parametrize("span, gram, max_bucket", [(40, 10, 50_000), (40, 10, 3), (200, 48, 50_000), (33, 33, 2)])
+@pytest.mark.parametrize("span, gram, max_bucket", [(40, 10, 50_000), (40, 10, 3), (200, 48, 50_000), (200, 48, 4), (33, 33, 2)])
 def test_equals_brute_force(spark, span, gram, max_bucket):
     rows = [*drawn(span), *cases.ROWS]
     got = repeat_columns.without_repeats(cases.odd(spark, rows), span, gram, max_bucket).drop("kept").collect()
@@ -58,5 +58,19 @@ def test_blocks_of_buckets(spark, monkeypatch):
     assert windows(few) == windows(many)
 
 
+def test_large_buckets_are_halved(spark, monkeypatch):
+    """Many different texts around one passage: their buckets stay too large until the windows' distances part."""
+    rng = random.Random(3)
+    passage = "the one passage of them all, which every text here quotes in full"
+    text = lambda n: "".join(rng.choice("abcdef ") for _ in range(n))
+    rows = [(i, text(60) + passage + text(60)) for i in range(30)] + [(50 + i, rng.choice("xy") + passage * 2) for i in range(6)]
+    deep = []
+    children = repeat_columns._children
+    monkeypatch.setattr(repeat_columns, "_children", lambda *a: deep.append(1) or children(*a))
+    got = repeat_columns.without_repeats(cases.odd(spark, rows), 40, 10, 3).drop("kept").collect()
+    assert sorted(map(tuple, got), key=str) == brute(rows, 40)
+    assert len(deep) > 2
+
+
 def test_empty(spark):
     assert repeat_columns.without_repeats(cases.empty(spark)).count() == 0

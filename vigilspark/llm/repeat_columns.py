@@ -14,8 +14,9 @@ the order of suffixes after the column into that from it on (the sorted column i
 collection's Burrows-Wheeler transform there), and common prefixes of neighbours follow from
 range minima.  A window whose suffix shares SPAN bytes or more with a neighbour is repeated.
 A task reads its buckets one after another from sorted shuffle files and holds one block of
-them; rounds are bounded by the span.  Buckets beyond ``MAX_BUCKET`` segments are split by
-the windows' contents: each window's 128-bit hash is counted, combined before the shuffle.
+them; rounds are bounded by the span.  In buckets beyond ``MAX_BUCKET`` segments equal ones
+are put together first; if too many stay, windows nearer to the anchor and farther from it
+part, each under the hash of the longer stretch they have in common (``spans_of_large``).
 
 Null texts are empty.  Texts are compared as UTF-8 bytes; matches never cross texts.  A
 repeated row is another place, so its bytes are repeated.
@@ -168,7 +169,7 @@ def _ordered(span: int):
     def spans(rows: pa.Table) -> Iterator[pa.RecordBatch]:
         segments = rows["segment"].to_pylist()
         bucket, place = rows["hash"].to_numpy(), rows["place"].to_numpy().astype(np.int64)
-        keys, starts = rows["key"].to_numpy(), rows["starts"].to_pylist()
+        starts = rows["starts"].to_pylist()
         times = np.fromiter(map(len, starts), np.int64, len(starts))
         who, window = repeated_windows(bucket, place, segments, span)
         many = np.flatnonzero(times > 1)                      # equal segments within one text
@@ -176,14 +177,14 @@ def _ordered(span: int):
         alone = times[who] == 1
         who, a, b = who[alone], a[alone], b[alone]
         base = np.array([s[0] for s in starts], np.int64)
-        out_key, out_a, out_b = [keys[who]], [base[who] + a], [base[who] + b]
+        out_row, out_a, out_b = [who], [base[who] + a], [base[who] + b]
         for i in many:
             s = np.array(starts[i], np.int64)
-            out_key.append(np.full(len(s), keys[i]))
+            out_row.append(np.full(len(s), i))
             out_a.append(s)
             out_b.append(s + len(segments[i]))
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_key)), pa.array(np.concatenate(out_a)), pa.array(np.concatenate(out_b))],
-                                         ["key", "a", "b"])
+        keys = rows["key"].take(pa.array(np.concatenate(out_row))).combine_chunks()
+        yield pa.RecordBatch.from_arrays([keys, pa.array(np.concatenate(out_a)), pa.array(np.concatenate(out_b))], ["key", "a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
@@ -204,20 +205,60 @@ def _ordered(span: int):
     return run
 
 
-def _window_hashes(span: int):
-    """h1, h2, key, a: two hashes of every window of a large bucket's segments (a: start in the text)."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for h, segment, key, starts in zip(*(batch.column(c).to_pylist() for c in ("hash", "segment", "key", "starts")), strict=True):
-                windows = len(segment) - span + 1
-                salt = h.to_bytes(8, "little", signed=True)
-                digest = b"".join(hashlib.blake2b(segment[i:i + span], digest_size=16, key=salt).digest() for i in range(windows))
-                halves = np.tile(np.frombuffer(digest, np.int64).reshape(-1, 2), (len(starts), 1))
-                at = (np.array(starts, np.int64)[:, None] + np.arange(windows)).ravel()
-                yield pa.RecordBatch.from_arrays([pa.array(halves[:, 0]), pa.array(halves[:, 1]), pa.array(np.full(len(at), key)), pa.array(at)],
-                                                 ["h1", "h2", "key", "a"])
+_BUCKET = ["hash", "lo", "hi"]
+_CLASS = [*_BUCKET, "place", "segment"]
 
-    return run
+
+def _children(classes: DataFrame, span: int) -> DataFrame:
+    """Segments of both halves of each bucket's range of distances, under the hash of the bytes a half has in common.
+
+    A window that starts d bytes before the anchor, lo <= d <= hi, holds the bytes from lo before the anchor to
+    span - hi after it.  ``key`` is the class a segment was cut from, ``starts`` its place there.
+    """
+    halves = F.inline(F.array(F.struct(F.col("lo").alias("_lo"), F.expr("int((lo + hi) div 2)").alias("_hi")),
+                              F.struct(F.expr("int((lo + hi) div 2 + 1)").alias("_lo"), F.col("hi").alias("_hi"))))
+    cut = (classes.select("*", halves)
+           .withColumn("_first", F.expr("greatest(0, place - _hi)"))
+           .withColumn("_last", F.expr(f"least(length(segment) - {span}, place - _lo)")).where("_first <= _last"))
+    common = F.xxhash64("hash", F.expr(f"substring(segment, int(place - _lo + 1), int({span} - _hi + _lo))"))
+    return cut.select(
+        common.alias("hash"), F.col("_lo").alias("lo"), F.col("_hi").alias("hi"), (F.col("place") - F.col("_first")).alias("place"),
+        F.expr(f"substring(segment, _first + 1, _last - _first + {span})").alias("segment"),
+        F.col("id").alias("key"), F.array("_first").alias("starts"), "n")
+
+
+def _in_buckets(segments: DataFrame, span: int) -> DataFrame:
+    kind = segments.schema["key"].dataType.simpleString()
+    return map_arrow(segments.repartition("hash").sortWithinPartitions("hash"), _ordered(span), f"key {kind}, a long, b long")
+
+
+def spans_of_large(segments: DataFrame, span: int, gram: int, max_bucket: int) -> DataFrame:
+    """key, a, b of buckets with too many segments for one task, by the same ordering.
+
+    Equal segments become one class and its number of places, combined before the shuffle.
+    Buckets that still have too many classes are halved by the windows' distance from the
+    anchor, until they are small: at the end a bucket is one distance, thus one window, thus
+    one class.  What is found in a class is then handed back to the segments it stands for.
+    """
+    level = segments.select("*", F.lit(0).alias("lo"), F.lit(span - gram).alias("hi"), F.size("starts").cast("long").alias("n"))
+    levels = []
+    while True:
+        members = stored(level.withColumn("id", F.md5(F.concat("segment", F.concat_ws(":", "hash", "lo", "hi", "place").cast("binary")))), "members")
+        classes = stored(members.groupBy("id", *_CLASS).agg(F.sum("n").alias("n")), "classes")
+        large = stored(classes.groupBy(_BUCKET).count().where(F.col("count") > max_bucket).drop("count"), "large-buckets")
+        small = classes.join(large, _BUCKET, "left_anti").select(
+            F.xxhash64(*_BUCKET).alias("hash"), "place", "segment", F.col("id").alias("key"),
+            F.expr("array_repeat(0, int(least(n, 2)))").alias("starts"))      # repeated segments: twice
+        levels.append((members.select("id", "key", "starts"), _in_buckets(small, span)))
+        if large.isEmpty():
+            break
+        level = _children(classes.join(large, _BUCKET, "left_semi"), span)
+    found = None
+    for members, here in reversed(levels):
+        of = (here if found is None else here.union(found)).distinct().withColumnRenamed("key", "id")
+        found = members.join(of, "id").select("key", F.explode("starts").alias("_at"), "a", "b").select(
+            "key", (F.col("_at") + F.col("a")).alias("a"), (F.col("_at") + F.col("b")).alias("b"))
+    return found
 
 
 def repeated_spans(keyed: DataFrame, span: int = SPAN, gram: int = GRAM, max_bucket: int = MAX_BUCKET) -> DataFrame:
@@ -235,16 +276,10 @@ def repeated_spans(keyed: DataFrame, span: int = SPAN, gram: int = GRAM, max_buc
                          "hash long, place int, segment binary, key long, starts array<int>")
     large = shared.where("large").select("hash")
     if large.isEmpty():
-        common, rest = segments, None
-    else:
-        segments = stored(segments, "segments")
-        common, rest = segments.join(large, "hash", "left_anti"), segments.join(large, "hash", "left_semi")
-    found = map_arrow(common.repartition("hash").sortWithinPartitions("hash"), _ordered(span), "key long, a long, b long")
-    if rest is None:
-        return found
-    windows = stored(map_arrow(rest, _window_hashes(span), "h1 long, h2 long, key long, a long"), "windows")
-    twice = windows.groupBy("h1", "h2").count().where("count > 1").drop("count")
-    return found.union(windows.join(twice, ["h1", "h2"], "left_semi").select("key", "a", (F.col("a") + span).alias("b")))
+        return _in_buckets(segments, span)
+    segments = stored(segments, "segments")
+    return _in_buckets(segments.join(large, "hash", "left_anti"), span).union(
+        spans_of_large(segments.join(large, "hash", "left_semi"), span, gram, max_bucket))
 
 
 def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
