@@ -387,8 +387,7 @@ def block_spans(block: tb.Block, model: Model) -> Iterator[tuple[list, list]]:
         lo, hi = block.bounds[i], block.bounds[i + 1]
         base = base_spans(block.buf[lo:hi].tobytes()) if marks[hi] > marks[lo] else []
         more = [(int(starts[j] - lo), int(kinds[j]), int(ends[j] - lo)) for j in range(cut[i], cut[i + 1])]
-        if base:
-            more = [m for m in more if not any(b[0] < m[2] and m[0] < b[2] for b in base)]
+        more = tb.apart(more, base)
         in_points = lambda spans: [(int(points[lo + a] - points[lo]), k, int(points[lo + b] - points[lo])) for a, k, b in spans]
         yield in_points(base), in_points(sorted(base + more))
 

@@ -8,8 +8,10 @@ n-grams are hashed without a Python loop.  A null text counts as an empty one.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -144,3 +146,10 @@ def per_doc(values: np.ndarray, first: np.ndarray) -> np.ndarray:
     sums = np.zeros(len(values) + 1)
     np.cumsum(values, out=sums[1:])
     return sums[first[1:]] - sums[first[:-1]]
+
+
+def apart(spans: list[tuple[int, int, int]], taken: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """The spans (start, kind, end) that overlap none of ``taken``, which is sorted by start."""
+    starts = [t[0] for t in taken]
+    reach = list(accumulate((t[2] for t in taken), max, initial=-1))   # furthest end of the first i
+    return [s for s in spans if reach[bisect_left(starts, s[2])] <= s[0]]
