@@ -133,6 +133,12 @@ def test_strict_reaches_children(spark, tmp_path):
     with pytest.raises(Exception, match="does not fit"):
         build_tables(spark, raw(spark, [d]), f"{tmp_path}/strict", min_reports=1, strict=True)
     assert rows(R.cast_errors(raw(spark, [d])), "column_name", "position", "value") == [("drug_characterization", 0, "main")]
+    (tmp_path / "in").mkdir()
+    put(tmp_path, "a.json", d)
+    stream_ingest(spark, f"{tmp_path}/in", f"{tmp_path}/lax-stream", f"{tmp_path}/p1").awaitTermination()
+    assert rows(spark.read.parquet(f"{tmp_path}/lax-stream/report_drugs"), "drug_characterization") == [(None,)]
+    with pytest.raises(Exception, match="does not fit"):
+        stream_ingest(spark, f"{tmp_path}/in", f"{tmp_path}/strict-stream", f"{tmp_path}/p2", strict=True).awaitTermination()
 
 
 def test_validation_and_outcomes(spark, folder):
