@@ -72,5 +72,33 @@ def test_large_buckets_are_halved(spark, monkeypatch):
     assert len(deep) > 2
 
 
+def test_buckets_are_large_by_segments_not_texts(spark, monkeypatch):
+    """Two texts that repeat one line among changing neighbours: few texts, many segments."""
+    rng = random.Random(5)
+    line = "one line that two long texts repeat again and again"
+    text = lambda n: "".join(rng.choice("abcdef ") for _ in range(n))
+    rows = [(i, "".join(text(40) + line + text(40) for _ in range(12))) for i in range(2)] + [(9, text(300))]
+    entered = []
+    of_large = repeat_columns.spans_of_large
+    monkeypatch.setattr(repeat_columns, "spans_of_large", lambda *a: entered.append(1) or of_large(*a))
+    got = repeat_columns.without_repeats(cases.odd(spark, rows), 40, 10, 5).drop("kept").collect()
+    assert entered
+    assert sorted(map(tuple, got), key=str) == brute(rows, 40)
+    assert any(r[2] for r in brute(rows, 40))
+
+
 def test_empty(spark):
     assert repeat_columns.without_repeats(cases.empty(spark)).count() == 0
+
+
+def test_segments_are_counted_as_ordered(spark):
+    """Segments by anchor, equal ones of a text once, as the rows that a bucket is made of."""
+    rows = [(k, t) for k, (_, t) in enumerate([*drawn(40), *cases.ROWS])]
+    keyed = cases.odd(spark, rows).selectExpr("doc_id AS key", "text")
+    counted = {(r.hash, r.key): r.segments for r in repeat_columns.map_arrow(
+        keyed, repeat_columns._anchor_rows(40, 10), "hash long, key long, n int, segments int").collect()}
+    wanted = spark.createDataFrame([(k, [h for h, x in counted if x == k]) for k in {x for _, x in counted}], "key long, hashes array<long>")
+    made = Counter((r.hash, r.key) for r in repeat_columns.map_arrow(
+        keyed.join(wanted, "key"), repeat_columns._segment_rows(40, 10),
+        "hash long, place int, segment binary, key long, starts array<int>").select("hash", "key").collect())
+    assert counted == dict(made)

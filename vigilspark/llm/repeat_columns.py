@@ -71,18 +71,30 @@ def anchors(data: np.ndarray, span: int, gram: int) -> tuple[np.ndarray, np.ndar
 
 
 def _anchor_rows(span: int, gram: int):
+    """Anchor hashes of each text, the places of each (``n``) and its segments, equal ones once (``segments``)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block in tb.blocks(batch):
-                hashes, rows, times = [], [], []
+                hashes, rows, times, different = [], [], [], []
                 for i in range(block.n):
-                    h, n = np.unique(anchors(block.buf[block.bounds[i]:block.bounds[i + 1]], span, gram)[0], return_counts=True)
+                    data = block.buf[block.bounds[i]:block.bounds[i + 1]]
+                    each, p, a, b = anchors(data, span, gram)
+                    h, which, n = np.unique(each, return_inverse=True, return_counts=True)
+                    unlike = n.copy()
+                    at = np.flatnonzero(n[which] > 1)
+                    if len(at):
+                        segment = tb.range_hash(tb.prefix_sums(data), a[at], b[at] + span)
+                        place = tb.mix((p[at] - a[at]).astype(np.uint64))
+                        _, one = np.unique(tb.pair_hash(tb.pair_hash(each[at], segment), place), return_index=True)
+                        unlike = np.where(n > 1, np.bincount(which[at[one]], minlength=len(h)), n)
                     hashes.append(h)
                     times.append(n)
+                    different.append(unlike)
                     rows.append(np.full(len(h), i))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(hashes).view(np.int64)), block.rows.column("key").take(pa.array(np.concatenate(rows))),
-                     pa.array(np.concatenate(times).astype(np.int32))], ["hash", "key", "n"])
+                     pa.array(np.concatenate(times).astype(np.int32)), pa.array(np.concatenate(different).astype(np.int32))],
+                    ["hash", "key", "n", "segments"])
 
     return run
 
@@ -267,9 +279,9 @@ def repeated_spans(keyed: DataFrame, span: int = SPAN, gram: int = GRAM, max_buc
     Other columns travel with the text, so that a later join of the same rows by key finds
     them shuffled already.
     """
-    places = map_arrow(keyed, _anchor_rows(span, gram), "hash long, key long, n int")   # twice: cheaper than keeping it
-    shared = (places.groupBy("hash").agg(F.sum("n").alias("n"), F.count("*").alias("texts")).where("n > 1")
-              .select("hash", (F.col("texts") > max_bucket).alias("large")))
+    places = map_arrow(keyed, _anchor_rows(span, gram), "hash long, key long, n int, segments int")   # twice: cheaper than keeping it
+    shared = (places.groupBy("hash").agg(F.sum("n").alias("n"), F.sum("segments").alias("segments")).where("n > 1")
+              .select("hash", (F.col("segments") > max_bucket).alias("large")))
     shared = stored(shared, "shared-anchors")
     wanted = places.join(shared, "hash").groupBy("key").agg(F.collect_set("hash").alias("hashes"))   # of one text each
     segments = map_arrow(keyed.join(wanted, "key"), _segment_rows(span, gram),
