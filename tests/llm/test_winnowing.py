@@ -56,6 +56,20 @@ def test_equals_brute_force(spark, monkeypatch, broadcast, drop_short):
     assert sorted(map(tuple, got), key=str) == brute(rows, items)
 
 
+@pytest.mark.parametrize("limit", [64 << 20, 2_000])
+def test_items_are_broadcast_by_bytes(spark, monkeypatch, limit):
+    """Few items with many words are not broadcast, though their rows are few."""
+    monkeypatch.setattr(winnowing, "BROADCAST_BYTES", limit, raising=False)
+    sent = []
+    broadcast = winnowing.F.broadcast
+    monkeypatch.setattr(winnowing.F, "broadcast", lambda df: sent.append(df.columns) or broadcast(df))
+    docs, items = drawn(6)
+    items = [*items, (50, docs[0][1] + " zz" * 3000)]
+    got = winnowing.contamination(cases.odd(spark, docs), cases.bench(spark, items)).drop("_key").collect()
+    assert sorted(map(tuple, got), key=str) == brute(docs, items)
+    assert any("_words" in columns for columns in sent) == (limit > 2_000)
+
+
 def test_empty_tables_and_keep_clean(spark):
     docs = cases.odd(spark)
     nothing = cases.bench(spark, [])

@@ -22,7 +22,9 @@ from .tables import stored
 
 WINDOW = 13
 MIN_SHARE = 20          # contaminated: at least 1 word in 20 hit
-BROADCAST_ROWS = 500_000
+BROADCAST_ROWS = 500_000           # of hashes and keys
+BROADCAST_BYTES = 64 << 20         # of items with their words
+_WORD_BYTES = 24                   # a word's place in a row, besides its text
 
 
 def gram_size(n: int) -> int:
@@ -71,11 +73,14 @@ def runs(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFra
                   .select("doc_id", "_key", "_item", "n", (F.col("place") - F.col("_at")).alias("shift")).distinct(), "hits")
     # the words of hit documents only
     touched = hits.select("_key").distinct()
-    n_touched, n_items = touched.count(), items.count()
+    n_touched = touched.count()
+    n_items, n_bytes = items.agg(F.count("*"), F.coalesce(F.sum(
+        F.octet_length("item") + F.octet_length(F.array_join("_words", "")) + F.size("_words").cast("long") * _WORD_BYTES), F.lit(0))).first()
+    by_item = maybe_broadcast(items, n_items) if n_bytes <= BROADCAST_BYTES else items      # else Spark sizes the join
     of_docs = docs.join(maybe_broadcast(touched, n_touched), "_key", "left_semi").dropDuplicates(["_key", "doc_id"]).select(
         F.col("_key").alias("_k"), F.col("doc_id").alias("_d"), wc.alnum_words(F.col("text")).alias("_text"))
     laid = (hits.join(of_docs, (F.col("_key") == F.col("_k")) & F.col("doc_id").eqNullSafe(F.col("_d"))).drop("_k", "_d")
-            .join(maybe_broadcast(items, n_items), "_item"))
+            .join(by_item, "_item"))
     equal = laid.withColumn("_equal", F.transform(wc.upto(F.size("_words")), lambda j: F.coalesce(
         F.get(F.col("_text"), F.col("shift") + j) == F.get(F.col("_words"), j), F.lit(False)))).drop("_text")
     found = equal.withColumn("_starts", F.filter(
