@@ -76,6 +76,17 @@ def test_viterbi_equals_enumeration():
         assert tuple(got[first[s]:first[s + 1]]) == max(product(range(n), repeat=k), key=value)
 
 
+def test_words_beside_a_pattern_are_kept(monkeypatch):
+    """One run of phone words, the first of them a pattern's: the rest is a span of its own."""
+    phone = crf_pii.STATES.index("phone")
+    monkeypatch.setattr(crf_pii, "viterbi", lambda model, emit, first: np.full(len(emit), phone, np.int8))
+    texts = ["é +1 (017) 555-7713, 030 1234567", "030 1234567 +1 (017) 555-7713x 040 7654321", "", "030 1234567"]
+    got = list(crf_pii.block_spans(crf_pii.text_block(texts), MODEL))
+    assert [b for b, _ in got] == [plain(t) for t in texts]
+    added = [[(t[a:b], k) for a, k, b in spans if (a, k, b) not in base] for t, (base, spans) in zip(texts, got, strict=True)]
+    assert added == [[("030 1234567", 3)], [("030 1234567", 3), ("040 7654321", 3)], [], [("030 1234567", 3)]]
+
+
 def test_find(spark):
     rows = [*cases.ROWS, (20, "é mail a.b@c.de. call +1 (017) 555-7713 or 4111 1111 1111 1111, host 10.0.0.256 10.0.0.1"),
             (21, "Please call (555) 123-4567 today"), (22, "nothing here at all, version 2.0 of 2024")]

@@ -4,7 +4,7 @@ The patterns find e-mail and IP addresses, card numbers (Luhn) and international
 numbers.  The field labels the words of every sentence of every whole text from the shapes
 of the word and its neighbours and the words before it; it is trained on a small labelled
 table (``labelled``) and decoded by Viterbi over all sentences of a block at once.  Its spans
-are added where they overlap no pattern's span; none is taken away.
+are added from the words that no pattern's span touches; none is taken away.
 
 Null and empty texts have no spans.  Sentences end at line ends and after . ! ? and have no
 length limit.  Positions are code points, ends exclusive.  One result per input row.
@@ -351,13 +351,22 @@ def viterbi(model: Model, emit: np.ndarray, first: np.ndarray) -> np.ndarray:
     return best
 
 
-def added_spans(block: tb.Block, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(row, start, kind, end) of the field's spans in block bytes: words of one kind in a row, outer punctuation cut off."""
+def added_spans(block: tb.Block, model: Model, taken: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(row, start, kind, end) of the field's spans in block bytes: words of one kind in a row, outer punctuation cut off.
+
+    Words that a stretch of ``taken`` touches belong to no span and part the words around them.
+    """
     s = sentences(block)
     w = s.words
     if not len(w.start):
         return (np.zeros(0, np.int64),) * 4
     state = viterbi(model, model.scores(features(block, s)), s.first)
+    if taken:
+        a, b = np.array(taken, np.int64).T
+        touched = np.zeros(len(state) + 1, np.int64)
+        np.add.at(touched, np.searchsorted(w.end, a, "right"), 1)
+        np.add.at(touched, np.searchsorted(w.start, b, "left"), -1)
+        state[np.cumsum(touched)[:-1] > 0] = 0
     opens = np.ones(len(state), bool)
     opens[1:] = state[1:] != state[:-1]
     opens[s.first[:-1]] = True
@@ -377,17 +386,17 @@ def added_spans(block: tb.Block, model: Model) -> tuple[np.ndarray, np.ndarray,
 
 def block_spans(block: tb.Block, model: Model) -> Iterator[tuple[list, list]]:
     """For each row: pattern spans and all spans, as (start, kind, end) in code points."""
-    rows, starts, kinds, ends = added_spans(block, model)
-    cut = np.searchsorted(rows, np.arange(block.n + 1))
     marks = np.zeros(len(block.buf) + 1, np.int32)
     np.cumsum(_DIGIT[block.buf] | (block.buf == 64), out=marks[1:])
     points = np.zeros(len(block.buf) + 1, np.int64)
     np.cumsum((block.buf & 0xC0) != 0x80, out=points[1:])
-    for i in range(block.n):
-        lo, hi = block.bounds[i], block.bounds[i + 1]
-        base = base_spans(block.buf[lo:hi].tobytes()) if marks[hi] > marks[lo] else []
+    bounds = block.bounds.tolist()
+    bases = [base_spans(block.buf[lo:hi].tobytes()) if marks[hi] > marks[lo] else [] for lo, hi in zip(bounds, bounds[1:])]
+    rows, starts, kinds, ends = added_spans(block, model, [(lo + a, lo + b) for lo, base in zip(bounds, bases) for a, _, b in base])
+    cut = np.searchsorted(rows, np.arange(block.n + 1))
+    for i, base in enumerate(bases):
+        lo = bounds[i]
         more = [(int(starts[j] - lo), int(kinds[j]), int(ends[j] - lo)) for j in range(cut[i], cut[i + 1])]
-        more = tb.apart(more, base)
         in_points = lambda spans: [(int(points[lo + a] - points[lo]), k, int(points[lo + b] - points[lo])) for a, k, b in spans]
         yield in_points(base), in_points(sorted(base + more))
 
