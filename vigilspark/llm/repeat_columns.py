@@ -10,9 +10,8 @@ segments whose anchor hash occurs twice or more are kept, and meet by hash.
 
 Segments of a bucket are laid side by side on their anchors, and one symbol of each is
 inserted per round, from the last column to the first: a stable partition by the symbol turns
-the order of suffixes after the column into that from it on (the sorted column is the
-collection's Burrows-Wheeler transform there), and common prefixes of neighbours follow from
-range minima.  A window whose suffix shares SPAN bytes or more with a neighbour is repeated.
+the order of suffixes after the column into that from it on, and common prefixes of neighbours
+follow from range minima; no Burrows-Wheeler transform of the collection is kept.  A window whose suffix shares SPAN bytes or more with a neighbour is repeated.
 A task reads its buckets one after another from sorted shuffle files and holds one block of
 them; rounds are bounded by the span.  In buckets beyond ``MAX_BUCKET`` segments equal ones
 are put together first; if too many stay, windows nearer to the anchor and farther from it
