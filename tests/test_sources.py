@@ -97,6 +97,17 @@ def test_a_batch_reads_no_earlier_loads(spark, tmp_path):
     assert len(ids) == len(set(ids)) == 9 and [max(k) for k in kept] == sorted(max(k) for k in kept)
 
 
+def test_loads_without_marks_go_on(spark, tmp_path):
+    out = str(tmp_path)
+    for n in (0, 1, 2, 2):      # the last batch twice
+        files = spark.createDataFrame([(f"{n}.json", json.dumps([doc(f"{n}-{i}") for i in range(3)]))], "file_name string, content string")
+        shutil.rmtree(f"{out}/load_marks", ignore_errors=True)
+        B.load_batch(files, n, out)
+    ids = rows(B.read_table(spark, out, "loads"), "batch_id", "file_id")
+    assert len({i for _, i in ids}) == len(ids) == 9
+    assert [i for _, i in sorted(ids)] == sorted(i for _, i in ids)
+
+
 def test_failure_between_staging_and_children(spark, tmp_path):
     table = raw(spark, [doc("a", ["x"], ["r"]), doc("b", ["y"], ["r"])])
     out = f"{tmp_path}/t"

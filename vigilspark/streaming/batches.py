@@ -59,10 +59,15 @@ def load_batch(files: DataFrame, batch_id: int, out: str, as_of: datetime | str
     """Files of a batch to ``loads``: documents and rejected files from one pass.
 
     The newest id goes to ``load_marks``, one row per batch, so that the next
-    batch need not look at earlier loads.
+    batch need not look at earlier loads.  Only where that row is missing, as
+    in folders older than the marks, are the earlier loads read.
     """
     spark = files.sparkSession
-    last = _number(read_batch(spark, out, "load_marks", batch_id - 1), "max(file_id)")
+    before = read_batch(spark, out, "load_marks", batch_id - 1)
+    if before is None and batch_id > 0:
+        loads = read_table(spark, out, "loads")
+        before = None if loads is None else loads.where(F.col("batch_id") < batch_id)
+    last = _number(before, "max(file_id)")
     rows = with_load_metadata(load_rows(files, check_names), "PROCESSED", as_of)
     spaced_file_id(rows, start=last).write.mode("overwrite").parquet(batch_path(out, "loads", batch_id))
     written = spark.read.parquet(batch_path(out, "loads", batch_id))
