@@ -30,3 +30,11 @@ def test_query_matches_sql(spark, con, name):
 def test_entry(spark):
     df = entry.entry(spark)
     assert df.count() > 0 and "prr" in df.columns
+
+
+def test_a_registered_query_casts_strictly(spark, monkeypatch):
+    from vigilspark.catalog import scalars
+
+    monkeypatch.setattr(scalars, "table", lambda *_: spark.sql("SELECT 1L AS o_orderkey, make_date(12345, 1, 1) AS o_orderdate"))
+    with pytest.raises(Exception, match="does not fit date"):
+        catalog.QUERIES["cast_date_strict_raises"](spark, SF).collect()

@@ -30,6 +30,13 @@ def cast_date_strict(spark, sf_dir):
     return table(spark, sf_dir, "orders").select("o_orderkey", S.fit(path(doc, "$.d"), "date").alias("onset"))
 
 
+@query("cast_date_strict_raises", "SELECT o_orderkey, o_orderdate::DATE::VARCHAR AS onset FROM orders")
+def cast_date_strict_raises(spark, sf_dir):
+    """The strict cast over full dates; it raises on anything else, where ``cast_date_strict`` gives NULL."""
+    doc = parse(F.to_json(F.struct(F.date_format("o_orderdate", "yyyy-MM-dd").alias("d"))), strict=True)
+    return table(spark, sf_dir, "orders").select("o_orderkey", S.fit(path(doc, "$.d"), "date", strict=True).alias("onset"))
+
+
 @query("cast_decimal", """SELECT event_id,
   cast(round(cast(value AS DECIMAL(12,2)), 1) AS DOUBLE) AS one_digit,
   cast(round(cast(value AS DECIMAL(12,2)), 0) AS INTEGER) AS whole,
