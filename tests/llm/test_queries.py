@@ -10,11 +10,11 @@ SF = "/root/testdata/sf0.001"
 
 def test_names():
     names = set(entry.queries())
-    assert {f"op{n}_" for n in range(1, 11)} <= {q.split("_")[0] + "_" for q in names}
+    assert {f"op{n}_" for n in range(1, 14)} <= {q.split("_")[0] + "_" for q in names}
     assert "pipeline" in names
 
 
-@pytest.mark.parametrize("name", ["op3_decontamination", "op4_quality_rules"])
+@pytest.mark.parametrize("name", ["op3_decontamination", "op4_quality_rules", "op13_prefix_trie"])
 def test_matches_sql(spark, name):
     _, difference = oracle.compare(spark, oracle.connect(SF), name, SF)
     assert difference is None, difference
