@@ -20,7 +20,7 @@ def test_matches_sql(spark, name):
     assert difference is None, difference
 
 
-@pytest.mark.parametrize("name", ["op1_pii", "op2_sentencepiece", "op5_simhash", "op7_suffix_dedup", "op8_secrets", "op10_licenses"])
+@pytest.mark.parametrize("name", ["op1_pii", "op2_sentencepiece", "op5_simhash", "op7_suffix_dedup", "op8_secrets", "op10_licenses", "op12_lm_scoring"])
 def test_one_row_per_document(spark, name):
     df = entry.queries()[name](spark, SF)
     n = spark.read.parquet(f"{SF}/documents.parquet").count()

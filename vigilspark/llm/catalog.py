@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (crf_pii, license_notices, piece_sampling, prefix_trie, quality_ftrl, repeat_columns, rule_ledger, secret_automata, simhash_trie,
-               toxicity, whitening, winnowing)
+from . import (crf_pii, license_notices, piece_sampling, pitman_yor, prefix_trie, quality_ftrl, repeat_columns, rule_ledger,
+               secret_automata, simhash_trie, toxicity, whitening, winnowing)
 from .tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,11 +58,15 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.report(table(spark, sf_dir, "embeddings"))
 
 
+def op12_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pitman_yor.report(table(spark, sf_dir, "documents"))
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.report(table(spark, sf_dir, "conversations"))
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_pii, op2_sentencepiece, op3_decontamination, op4_quality_rules, op5_simhash, op6_toxicity, op7_suffix_dedup, op8_secrets, op9_quality,
-    op10_licenses, op11_whitening, op13_prefix_trie)}
+    op10_licenses, op11_whitening, op12_lm_scoring, op13_prefix_trie)}
 ORACLES = {"op3_decontamination": winnowing.SQL, "op4_quality_rules": rule_ledger.SQL, "op13_prefix_trie": prefix_trie.SQL}
