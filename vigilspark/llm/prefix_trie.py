@@ -6,6 +6,7 @@ key at the edge's two-fattest depth (its handle), so that a sequence of L turns
 leaves the trie at by a fat binary search of log2 L lookups, each a join of all sequences that
 still search.  Distinct sequences are inserted in batches, each as large as all before:
 
+* the first batch meets an empty trie, so all of it leaves at the root;
 * a sequence that leaves an edge midway cuts it there, all cuts of an edge at once;
 * depths beyond the place of leaving become nodes where the batch branches or a sequence ends,
   told by one aggregation over the new depths alone.
@@ -37,11 +38,10 @@ from pyspark.sql import functions as F
 from .shipping import map_arrow
 from .tables import stored
 
-#: Batches by an eighth of the hash: each as large as all before.
-BATCHES = [(0, 1), (1, 2), (2, 4), (4, 8)]
+#: Batches by an eighth of the hash: each as large as all before, or larger.
+BATCHES = [(0, 2), (2, 4), (4, 8)]
 GROUP, MOST_SHARED = 5, 9
 ID_BITS = 16
-NODE = "low long, high long, ea long, eb long, edge array<struct<a:long,b:long,c:long>>"
 KEY = ["high", "ea", "eb"]
 
 
@@ -187,8 +187,10 @@ def _branches(batch: DataFrame) -> DataFrame:
     return _nodes(rows.select("low", F.col("depth").alias("high"), _slice(F.col("path"), F.col("low"), F.col("depth")).alias("edge")))
 
 
-def insert(trie: DataFrame, seqs: DataFrame, longest: int) -> DataFrame:
-    """The trie with a batch of distinct sequences in it."""
+def insert(trie: DataFrame | None, seqs: DataFrame, longest: int) -> DataFrame:
+    """The trie with a batch of distinct sequences in it; None is the trie without any."""
+    if trie is None:
+        return stored(_branches(seqs.withColumn("left", F.lit(0).cast("long"))), "trie")
     batch = stored(locate(seqs, trie, longest), "trie-batch")
     cuts = (batch.where("node IS NOT NULL AND left < node.high").select(*[F.col(f"node.{k}").alias(k) for k in KEY], "left")
             .groupBy(*KEY).agg(F.collect_set("left").alias("cuts")))
@@ -199,7 +201,7 @@ def insert(trie: DataFrame, seqs: DataFrame, longest: int) -> DataFrame:
 def build(seqs: DataFrame) -> tuple[DataFrame, int]:
     """The trie of all sequences (without its root, which has no edge) and the depth of the longest."""
     longest = seqs.agg(F.max("high")).first()[0] or 0
-    trie = seqs.sparkSession.createDataFrame([], NODE)
+    trie = None
     part = F.pmod(F.xxhash64("ea", "eb"), F.lit(8))
     for low, high in BATCHES:
         trie = insert(trie, seqs.where((part >= low) & (part < high) & (F.col("high") > 0)), longest)
