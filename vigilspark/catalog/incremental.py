@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.latest import dedupe_latest
-from ..plans.refresh import build_tables, read_mart
+from ..plans.refresh import build_marts, build_tables, read_mart
 from ..plans.reports import report_id
 from ..session import pin, scratch_path
+from ..sources import keyed as K
 from ..sources import raw as S
 from ..sources import tables as T
 from ..streaming import batches as B
@@ -85,9 +88,12 @@ def clustered_layout(spark, sf_dir):
 # --- refresh of all tables ------------------------------------------------------
 
 
-@query("refresh_full", f"""WITH {DOCS_SQL}, {DOC_CHILDREN_SQL}, {MARTS_SQL}
+SIGNALS_SQL = f"""WITH {DOCS_SQL}, {DOC_CHILDREN_SQL}, {MARTS_SQL}
   SELECT drug_name, reaction_term, report_count, b_count, c_count, d_count, ror, prr, ror_simple,
-    signal_strength, is_significant_signal FROM sig""")
+    signal_strength, is_significant_signal FROM sig"""
+
+
+@query("refresh_full", SIGNALS_SQL)
 def refresh_full(spark, sf_dir):
     """All tables from the raw documents; the signal table of the run."""
     out = scratch_path(spark, "refresh")
@@ -95,9 +101,7 @@ def refresh_full(spark, sf_dir):
     return read_mart(spark, out, "risk_signals").drop("signal_generated_at")
 
 
-@query("refresh_after_failure", f"""WITH {DOCS_SQL}, {DOC_CHILDREN_SQL}, {MARTS_SQL}
-  SELECT drug_name, reaction_term, report_count, b_count, c_count, d_count, ror, prr, ror_simple,
-    signal_strength, is_significant_signal FROM sig""")
+@query("refresh_after_failure", SIGNALS_SQL)
 def refresh_after_failure(spark, sf_dir):
     """An increment breaks off after staging and is run again; the signals of the run."""
     return read_mart(spark, broken_and_repeated(spark, sf_dir), "risk_signals").drop("signal_generated_at")
@@ -108,8 +112,7 @@ def refresh_after_failure(spark, sf_dir):
 def refresh_after_failure_drugs(spark, sf_dir):
     """The drug rows of the same run."""
     out = broken_and_repeated(spark, sf_dir)
-    drugs = B.current_children(_table(spark, out, "report_drugs"), _table(spark, out, "staged"))
-    return drugs.select("report_drug_id", "report_id", "drug_name")
+    return B.read_current(spark, out, "report_drugs").select("report_drug_id", "report_id", "drug_name")
 
 
 def broken_and_repeated(spark: SparkSession, sf_dir: str) -> str:
@@ -118,7 +121,7 @@ def broken_and_repeated(spark: SparkSession, sf_dir: str) -> str:
     documents = pin(raw(spark, sf_dir))
     before = documents.filter(F.col("ingestion_timestamp") < F.lit("1998-06-01").cast("timestamp_ntz"))
     build_tables(spark, before, out, "incremental")
-    B.stage_batch(B.after_done(documents, out), B.next_batch_id(spark, out, "done"), out)
+    B.stage_batch(B.after_done(documents, out), B.open_batch(spark, out), out)
     build_tables(spark, documents, out, "incremental")
     return out
 
@@ -138,7 +141,7 @@ def refresh_incremental(spark, sf_dir):
 # --- file streams -------------------------------------------------------------
 
 
-def streamed(spark: SparkSession, sf_dir: str, steps: tuple[str, ...] = STEPS) -> str:
+def streamed(spark: SparkSession, sf_dir: str, steps: tuple[str, ...] = STEPS, after: Callable[[str], None] = lambda out: None) -> str:
     """First versions arrive and are streamed, then second versions; the folder with the tables."""
     root = scratch_path(spark, "stream")
     docs = documents(spark, sf_dir)
@@ -146,11 +149,12 @@ def streamed(spark: SparkSession, sf_dir: str, steps: tuple[str, ...] = STEPS) -
         write_files(docs.filter(F.col("doc_key") % 2 == version % 2), f"{root}/in")
         stream_ingest(spark, f"{root}/in", f"{root}/out", f"{root}/progress", steps, as_of=day,
                       check_names=False).awaitTermination()
+        after(f"{root}/out")
     return f"{root}/out"
 
 
 def _table(spark: SparkSession, out: str, name: str) -> DataFrame:
-    return B.read_table(spark, out, name)
+    return B.read_closed(spark, out, name)
 
 
 @query("stream_ingest", f"""WITH {DOCS_SQL}
@@ -164,8 +168,8 @@ def stream_ingest_documents(spark, sf_dir):
 @query("stream_stage_upsert", f"""WITH {DOCS_SQL} SELECT * EXCLUDE (src_ld_ts, src_ld_date, source_file)
   FROM (SELECT {REPORT_SQL} FROM stg)""")
 def stream_stage_upsert(spark, sf_dir):
-    staged = _table(spark, streamed(spark, sf_dir, ("load", "stage")), "staged")
-    return plain(B.current_reports(staged).drop(
+    staged = B.read_current(spark, streamed(spark, sf_dir, ("load", "stage")))
+    return plain(staged.drop(
         "src_ld_ts", "src_ld_date", "source_file", "file_id", "batch_id", "drugs", "reactions",
         "drug_names", "reaction_terms", "pair_volume"))
 
@@ -174,18 +178,119 @@ def stream_stage_upsert(spark, sf_dir):
   SELECT report_id || '-' || drug_sequence AS report_drug_id, report_id, received_date::VARCHAR AS received_date, patient_sex,
     patient_age, {DRUG_SQL} FROM drg""")
 def stream_children(spark, sf_dir):
-    out = streamed(spark, sf_dir)
-    drugs = B.current_children(_table(spark, out, "report_drugs"), _table(spark, out, "staged"))
-    return plain(drugs.drop("src_ld_ts", "src_ld_date"))
+    return plain(B.read_current(spark, streamed(spark, sf_dir), "report_drugs").drop("src_ld_ts", "src_ld_date"))
 
 
 @query("stream_pairs", f"""WITH {DOCS_SQL}, {DOC_CHILDREN_SQL}
   SELECT report_id || '-' || report_drug_id || '-' || report_reaction_id AS drug_reaction_pair_id,
     * EXCLUDE (src_ld_ts) FROM allpairs""")
 def stream_pairs(spark, sf_dir):
-    out = streamed(spark, sf_dir)
-    return B.current_children(_table(spark, out, "drug_reaction_pairs"),
-                              _table(spark, out, "staged")).drop("src_ld_ts")
+    return B.read_current(spark, streamed(spark, sf_dir), "drug_reaction_pairs").drop("src_ld_ts")
+
+
+@query("stream_signals", SIGNALS_SQL)
+def stream_signals(spark, sf_dir):
+    """Two streamed loads, the marts built after each: the second from the reports that changed."""
+    out = streamed(spark, sf_dir, after=lambda at: build_marts(spark, at))
+    return read_mart(spark, out, "risk_signals").drop("signal_generated_at")
+
+
+def streamed_after_compaction(spark: SparkSession, sf_dir: str) -> str:
+    """First versions are streamed and compacted; second versions come into the new folder by a stream of its own."""
+    root = scratch_path(spark, "stream")
+    docs = documents(spark, sf_dir)
+    for version, out in ((1, "first"), (2, "compact")):
+        write_files(docs.filter(F.col("doc_key") % 2 == version % 2), f"{root}/in-{version}")
+        stream_ingest(spark, f"{root}/in-{version}", f"{root}/{out}", f"{root}/progress-{version}", as_of=f"2024-02-0{version}",
+                      check_names=False).awaitTermination()
+        if version == 1:
+            B.compact(spark, f"{root}/first", f"{root}/compact")
+    return f"{root}/compact"
+
+
+@query("stream_after_compact", SIGNALS_SQL)
+def stream_after_compact(spark, sf_dir):
+    """The signals of a compacted folder that another stream went on with."""
+    out = streamed_after_compaction(spark, sf_dir)
+    build_marts(spark, out)
+    return read_mart(spark, out, "risk_signals").drop("signal_generated_at")
+
+
+@query("stream_after_compact_ids", f"""WITH {DOCS_SQL} SELECT count(*) AS documents, count(*) AS ids, true AS ascending FROM docs""")
+def stream_after_compact_ids(spark, sf_dir):
+    """The loads of both streams: documents, distinct ids, and whether all ids of the second are above those of the first."""
+    loads = B.raw_of(B.read_closed(spark, streamed_after_compaction(spark, sf_dir), "loads"))
+    first = F.to_date("ingestion_timestamp") == F.lit("2024-02-01").cast("date")
+    return loads.agg(F.count("*").alias("documents"), F.countDistinct("file_id").alias("ids"),
+                     (F.max(F.when(first, F.col("file_id"))) < F.min(F.when(~first, F.col("file_id")))).alias("ascending"))
+
+
+# --- marts by changes, stored upserts and purges ----------------------------------
+
+
+@query("marts_by_changes", f"""WITH {DOCS_SQL}, {DOC_CHILDREN_SQL}, {MARTS_SQL} SELECT drug_name, reaction_term, report_count FROM pc""")
+def marts_by_changes(spark, sf_dir):
+    """Three increments; later versions of a report have a drug less, so pairs are taken off again."""
+    out = scratch_path(spark, "changes")
+    documents = pin(raw(spark, sf_dir))
+    for until in ("1995-01-01", "1998-06-01", "2100-01-01"):
+        build_tables(spark, documents.filter(F.col("ingestion_timestamp") < F.lit(until).cast("timestamp_ntz")), out, "incremental", children=())
+    return read_mart(spark, out, "pair_report_counts")
+
+
+@query("merge_upsert_stored", """SELECT user_id, event_id, event_type FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events)
+  WHERE rn = 1""")
+def merge_upsert_stored(spark, sf_dir):
+    """The same upsert into a stored table: only the partitions of the updated users are written again."""
+    events = table(spark, sf_dir, "events")
+    cut, newest = F.lit(CUT).cast("timestamp_ntz"), ("ts", "event_id")
+    columns = ["user_id", "event_id", "event_type"]
+    path = scratch_path(spark, "keyed")
+    K.write_keyed(dedupe_latest(events.filter(F.col("ts") < cut), "user_id", newest).select(*columns), path, "user_id", buckets=16)
+    K.upsert_keyed(spark, path, dedupe_latest(events.filter(F.col("ts") >= cut), "user_id", newest).select(*columns))
+    return K.read_keyed(spark, path)
+
+
+PURGED = ("load-1996%", "reload-1997%")
+PURGED_DOCS_SQL = DOCS_SQL.replace(
+    "  FROM docs),", "  FROM docs WHERE NOT (" + " OR ".join(f"file_name LIKE '{p}'" for p in PURGED) + ")),")
+
+
+def purged(spark: SparkSession, sf_dir: str) -> str:
+    """Two increments with their marts, then two purges by file name and the marts again."""
+    out = scratch_path(spark, "purge")
+    documents = pin(raw(spark, sf_dir))
+    before = documents.filter(F.col("ingestion_timestamp") < F.lit("1997-02-01").cast("timestamp_ntz"))
+    for loaded in (before, documents):
+        build_tables(spark, loaded, out, "incremental")
+    for pattern in PURGED:
+        B.purge(spark, out, pattern, documents)
+    build_marts(spark, out)
+    return out
+
+
+@query("purge_stored", SIGNALS_SQL.replace(DOCS_SQL, PURGED_DOCS_SQL))
+def purge_stored(spark, sf_dir):
+    """The signals without what the purged files brought; reports fall back to the versions of other files."""
+    return read_mart(spark, purged(spark, sf_dir), "risk_signals").drop("signal_generated_at")
+
+
+PURGED_DRUGS_SQL = f"""WITH {PURGED_DOCS_SQL}, {DOC_CHILDREN_SQL}
+  SELECT report_id || '-' || drug_sequence AS report_drug_id, report_id, drug_name FROM drg"""
+
+
+@query("purge_stored_drugs", PURGED_DRUGS_SQL)
+def purge_stored_drugs(spark, sf_dir):
+    return B.read_current(spark, purged(spark, sf_dir), "report_drugs").select("report_drug_id", "report_id", "drug_name")
+
+
+@query("purge_then_compact", PURGED_DRUGS_SQL)
+def purge_then_compact(spark, sf_dir):
+    """The same rows from the compacted folder, where the purged ones are no longer stored."""
+    out = purged(spark, sf_dir)
+    B.compact(spark, out, f"{out}-compact")
+    return spark.read.parquet(B.batch_path(f"{out}-compact", "report_drugs", 0)).select("report_drug_id", "report_id", "drug_name")
 
 
 @query("stream_outcomes", f"""WITH {DOCS_SQL} SELECT 'part=' || (doc_key % 3) AS folder, 'SUCCESS' AS status, count(*) AS n

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from .within import BLOCK, array_grid, grid_join, large_keys
 
 PAIR = ["drug_name", "reaction_term"]
+COUNTS = ["report_count", "drug_share", "reaction_share"]
 
 
 def _sum_up(pairs: DataFrame) -> DataFrame:
@@ -114,6 +115,19 @@ def tally_pairs(pairs: DataFrame) -> DataFrame:
     return _sum_up(flagged)
 
 
+def tally_change(stored: DataFrame | None, added: DataFrame, removed: DataFrame) -> DataFrame:
+    """A stored tally with the tally of new report versions added and that of the versions they replace taken off.
+
+    Every column is a sum over reports, so the result is the tally of the reports as they are now; pairs
+    without a report left drop out.
+    """
+    signed = added.unionByName(removed.select(*PAIR, *[(-F.col(c)).alias(c) for c in COUNTS]))
+    if stored is not None:
+        signed = stored.unionByName(signed)
+    sums = signed.groupBy(*PAIR).agg(*[F.sum(c).alias(c) for c in COUNTS])
+    return sums.where("report_count <> 0")
+
+
 def pair_counts(tally: DataFrame) -> DataFrame:
     """Distinct reports per pair."""
     return tally.select(*PAIR, "report_count")

@@ -38,11 +38,11 @@ def drug_stats(drugs: DataFrame) -> DataFrame:
         _mean(F.sum("patient_age"), F.count("patient_age")).alias("avg_age"))
 
 
-def drug_stats_of_reports(staged: DataFrame) -> DataFrame:
-    """The same from staged reports: one scan and one combined shuffle.
+def drug_totals(staged: DataFrame) -> DataFrame:
+    """What the drug statistics of staged reports are made of: (drug_name, total_reports, age_sum, age_rows), all additive.
 
-    Each report sends a row per distinct drug (counted) and a row per listed
-    drug (averaged).
+    One scan and one combined shuffle: each report sends a row per distinct drug (counted) and a row per
+    listed drug (averaged).
     """
     listed = F.transform("drug_names", lambda n: F.struct(
         n.alias("drug_name"), F.lit(0).cast("long").alias("report")))
@@ -51,7 +51,16 @@ def drug_stats_of_reports(staged: DataFrame) -> DataFrame:
     rows = staged.select("patient_age", F.inline(F.concat(distinct, listed)))
     age = F.when(F.col("report") == 0, F.col("patient_age"))
     return rows.groupBy("drug_name").agg(
-        F.sum("report").alias("total_reports"), _mean(F.sum(age), F.count(age)).alias("avg_age"))
+        F.sum("report").alias("total_reports"), F.sum(age).alias("age_sum"), F.count(age).alias("age_rows"))
+
+
+def drug_stats_of_totals(totals: DataFrame) -> DataFrame:
+    return totals.select("drug_name", "total_reports", _mean(F.col("age_sum"), F.col("age_rows")).alias("avg_age"))
+
+
+def drug_stats_of_reports(staged: DataFrame) -> DataFrame:
+    """Reports and mean age per drug, from staged reports."""
+    return drug_stats_of_totals(drug_totals(staged))
 
 
 def _mean(total: Column, n: Column) -> Column:

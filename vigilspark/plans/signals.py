@@ -40,10 +40,11 @@ def cross_join_total(df: DataFrame, total: DataFrame) -> DataFrame:
     return df.crossJoin(F.broadcast(total))
 
 
-def contingency_cells(tally: DataFrame, reports: DataFrame, min_reports: int = 0,
-                      staged: bool = False) -> DataFrame:
+def contingency_cells(tally: DataFrame, reports: DataFrame | None, min_reports: int = 0,
+                      staged: bool = False, total: DataFrame | None = None) -> DataFrame:
     """A, B, C, D per named pair; ``staged`` reports have one row per id.
 
+    ``total`` is a stored count of the reports (one row), used instead of counting them.
     ``min_reports`` drops rare pairs before the margin joins; the margins
     themselves always see every pair.
     """
@@ -54,7 +55,7 @@ def contingency_cells(tally: DataFrame, reports: DataFrame, min_reports: int = 0
     joined = join_reaction_margin(join_drug_margin(pairs, named_drugs), reaction_counts(tally))
     a, dn, rn = F.col("report_count"), F.col("reports_with_drug"), F.col("reports_with_reaction")
     n = F.col("total_report_count")
-    return cross_join_total(joined, total_reports(reports, staged)).select(
+    return cross_join_total(joined, total_reports(reports, staged) if total is None else total).select(
         "drug_name", "reaction_term", "report_count",
         (dn - a).alias("b_count"), (rn - a).alias("c_count"), (n - dn - rn + a).alias("d_count"))
 
@@ -66,13 +67,14 @@ def with_metrics(cells: DataFrame) -> DataFrame:
         "ror": S.ror(*abcd), "prr": S.prr(*abcd), "ror_simple": S.ror_simple(*abcd)})
 
 
-def signals_from_tally(tally: DataFrame, reports: DataFrame, min_reports: int = MIN_PAIR_REPORTS,
+def signals_from_tally(tally: DataFrame, reports: DataFrame | None, min_reports: int = MIN_PAIR_REPORTS,
                        high: float = HIGH_PRR, elevated: float = ELEVATED_PRR,
                        significant_reports: int = MIN_PAIR_REPORTS,
-                       as_of: datetime | str | None = None, staged: bool = False) -> DataFrame:
+                       as_of: datetime | str | None = None, staged: bool = False,
+                       total: DataFrame | None = None) -> DataFrame:
     """Signal table, unordered.  The tally is read for pairs and both margins:
     pass a stored or pinned one."""
-    metrics = with_metrics(contingency_cells(tally, reports, min_reports, staged))
+    metrics = with_metrics(contingency_cells(tally, reports, min_reports, staged, total))
     return metrics.withColumns({
         "signal_strength": S.signal_band(F.col("prr"), high, elevated),
         "is_significant_signal": S.significant(

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 
 def local_session(cpus: int | str = 8, app: str = "vigilspark", **conf: str) -> SparkSession:
@@ -45,6 +45,11 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/vigilspark/{label}-{uuid.uuid4().hex}"
 
 
+def one_row(spark: SparkSession, **values: Column) -> DataFrame:
+    """A table of one row, made without a Python worker."""
+    return spark.range(0, 1, 1, 1).select(*[v.alias(name) for name, v in values.items()])
+
+
 def pin(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared folder so that later stages can reuse it
     and a lost executor does not recompute it."""

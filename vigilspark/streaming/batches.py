@@ -1,11 +1,25 @@
-"""Incremental maintenance: append one folder per batch, resolve the newest on read.
+"""One history of a run's tables, shared by streams, batches and compaction.
 
 Every table of a run is a folder ``<out>/<table>/batch_id=<n>``.  A batch writes
 only its own folders, so its cost follows the batch and not the table, and a
-batch that is run again overwrites exactly what it wrote before.  The current
-state of a report is its newest row over all batches; its children are the rows
-its batch wrote.  A new version with fewer drugs therefore leaves nothing
-behind, and the result does not depend on how the input was cut into batches.
+batch that is run again overwrites exactly what it wrote before.
+
+* **Numbers come from the folder.**  :func:`open_batch` gives a batch the next
+  free number, whoever asks: a stream with an old or a new checkpoint, a batch
+  increment, a purge.  A step that broke off gets its number again; a
+  micro-batch that was closed before and is delivered once more gets none.
+* **Only closed batches count.**  :func:`close_batch` writes the ``done`` row
+  after everything else; :func:`read_closed` sees closed batches alone, so
+  reports never appear without their children.
+* **Ids go on.**  ``file_id`` and the marks of what was loaded carry over to the
+  folder that :func:`compact` writes.
+* **Purged files** are a small table of names; their rows are left out on
+  reading and gone after compaction.
+
+The current state of a report is its newest row over all closed batches; its
+children are the rows its batch wrote.  A new version with fewer drugs therefore
+leaves nothing behind, and the result does not depend on how the input was cut
+into batches.  A folder has one writer at a time.
 """
 
 from __future__ import annotations
@@ -18,8 +32,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.latest import dedupe_latest
-from ..plans.reports import pairs_of_reports, report_drugs, report_reactions, stage_reports
+from ..plans.reports import pairs_of_reports, report_drugs, report_id, report_reactions, stage_reports
 from ..schemas import RAW_COLUMNS
+from ..session import one_row
 from ..sources.raw import ingest_report, load_rows, spaced_file_id, with_load_metadata
 
 CHILDREN: dict[str, Callable[[DataFrame], DataFrame]] = {
@@ -27,6 +42,10 @@ CHILDREN: dict[str, Callable[[DataFrame], DataFrame]] = {
     "report_reactions": report_reactions,
     "drug_reaction_pairs": pairs_of_reports,
 }
+#: Where a table names the file of a row.
+FILE_COLUMN = {"loads": "file_name", "staged": "source_file"}
+BATCH = "batch"
+MARK = "struct<ingestion_timestamp: timestamp, file_id: bigint>"
 
 
 def batch_path(out: str, table: str, batch_id: int) -> str:
@@ -34,7 +53,7 @@ def batch_path(out: str, table: str, batch_id: int) -> str:
 
 
 def read_table(spark: SparkSession, out: str, table: str) -> DataFrame | None:
-    """All batches of a table with their ``batch_id``; None before the first one."""
+    """All batches of a table with their ``batch_id``, closed or not; None before the first one."""
     try:
         return spark.read.parquet(f"{out}/{table}")
     except AnalysisException as error:
@@ -54,25 +73,117 @@ def _number(df: DataFrame | None, expression: str) -> int:
     return 0 if value is None else value
 
 
-def load_batch(files: DataFrame, batch_id: int, out: str, as_of: datetime | str | None = None,
-               check_names: bool = True) -> None:
-    """Files of a batch to ``loads``: documents and rejected files from one pass.
+# --- the history ----------------------------------------------------------------
+
+
+def _log(spark: SparkSession, out: str, table: str) -> DataFrame | None:
+    """``claims`` or ``done`` with (batch_id, source, micro); rows of older folders name no source."""
+    rows = read_table(spark, out, table)
+    if rows is None:
+        return None
+    for name, kind in (("source", "string"), ("micro", "long")):
+        if name not in rows.columns:
+            rows = rows.withColumn(name, F.lit(None).cast(kind))
+    return rows
+
+
+def open_batch(spark: SparkSession, out: str, source: str = BATCH, micro: int | None = None) -> int | None:
+    """The number of a batch to write, claimed for ``source`` (and its micro-batch); None if that micro-batch is closed.
 
-    The newest id goes to ``load_marks``, one row per batch, so that the next
-    batch need not look at earlier loads.  Only where that row is missing, as
-    in folders older than the marks, are the earlier loads read.
+    A batch that ``source`` opened and never closed is given again.
     """
-    spark = files.sparkSession
+    done, claims = _log(spark, out, "done"), _log(spark, out, "claims")
+    if done is None and claims is None and read_table(spark, out, "load_marks") is not None:
+        raise ValueError(f"{out} holds streamed batches without a history: call adopt() on it first")
+    mine = (F.col("source") == source) & F.col("micro").eqNullSafe(F.lit(micro))
+    if done is not None and micro is not None and done.where((F.col("source") == source) & (F.col("micro") >= micro)).limit(1).count():
+        return None
+    if claims is not None:
+        left = claims.where(mine)
+        if done is not None:
+            left = left.join(done.select("batch_id"), "batch_id", "left_anti")
+        again = left.agg(F.min("batch_id")).first()[0]
+        if again is not None:
+            return again
+    batch_id = max(_number(done, "max(batch_id) + 1"), _number(claims, "max(batch_id) + 1"))
+    claim = one_row(spark, source=F.lit(source), micro=F.lit(micro).cast("long"))
+    claim.write.mode("overwrite").parquet(batch_path(out, "claims", batch_id))
+    return batch_id
+
+
+def close_batch(raw: DataFrame, batch_id: int, out: str, source: str = BATCH, micro: int | None = None) -> None:
+    """Mark a batch as completely written, with the newest (load time, ``file_id``) of its documents."""
+    newest = raw.agg(F.max(F.struct("ingestion_timestamp", "file_id")).alias("mark"))
+    newest.select("mark", F.lit(source).alias("source"), F.lit(micro).cast("long").alias("micro")).write.mode(
+        "overwrite").parquet(batch_path(out, "done", batch_id))
+
+
+def closed_ids(spark: SparkSession, out: str) -> DataFrame | None:
+    done = read_table(spark, out, "done")
+    return None if done is None else done.select("batch_id").distinct()
+
+
+def read_closed(spark: SparkSession, out: str, table: str) -> DataFrame | None:
+    """Rows of the closed batches of a table, without those of purged files; None if there are none yet."""
+    rows, closed = read_table(spark, out, table), closed_ids(spark, out)
+    if rows is None or closed is None:
+        return None
+    rows = rows.join(closed, "batch_id", "left_semi")
+    return _unpurged(spark, out, rows, FILE_COLUMN[table]) if table in FILE_COLUMN else rows
+
+
+def _unpurged(spark: SparkSession, out: str, rows: DataFrame, file: str) -> DataFrame:
+    purged, closed = read_table(spark, out, "purged"), closed_ids(spark, out)
+    if purged is None:
+        return rows
+    names = purged.join(closed, "batch_id", "left_semi").select(F.col("name").alias(file), F.col("in_batch").alias("batch_id")).distinct()
+    return rows.join(names, [file, "batch_id"], "left_anti").select(*rows.columns)
+
+
+def adopt(spark: SparkSession, out: str) -> None:
+    """Close the batches of a folder that was streamed before batches were closed.
+
+    A batch counts if all its tables are there; the newest of them may be one that broke off, and is left open then.
+    """
+    there = [t for t in ("loads", "staged", *CHILDREN) if read_table(spark, out, t) is not None]
+    batches = None
+    for t in there:
+        ids = read_table(spark, out, t).select("batch_id").distinct()
+        batches = ids if batches is None else batches.join(ids, "batch_id", "left_semi")
+    for (batch_id,) in [] if batches is None else batches.orderBy("batch_id").collect():
+        close_batch(raw_of(read_batch(spark, out, "loads", batch_id)), batch_id, out, "adopted", batch_id)
+
+
+# --- the steps of a batch -----------------------------------------------------------
+
+
+def last_file_id(spark: SparkSession, out: str, batch_id: int) -> int:
+    """Highest ``file_id`` given before a batch: one row of the batch before, or else all earlier ones."""
     before = read_batch(spark, out, "load_marks", batch_id - 1)
-    if before is None and batch_id > 0:
-        loads = read_table(spark, out, "loads")
-        before = None if loads is None else loads.where(F.col("batch_id") < batch_id)
-    last = _number(before, "max(file_id)")
+    if before is not None:
+        return _number(before, "max(file_id)")
+    earlier = []
+    for table in ("load_marks", "loads", "staged"):
+        rows = read_table(spark, out, table)
+        if rows is not None:
+            earlier.append(_number(rows.where(F.col("batch_id") < batch_id), "max(file_id)"))
+    return max(earlier, default=0)
+
+
+def note_file_ids(rows: DataFrame, batch_id: int, out: str, last: int) -> None:
+    """The highest ``file_id`` after a batch, so that the next one need not look at earlier loads."""
+    rows.agg(F.greatest(F.max("file_id"), F.lit(last)).alias("file_id")).write.mode("overwrite").parquet(
+        batch_path(out, "load_marks", batch_id))
+
+
+def load_batch(files: DataFrame, batch_id: int, out: str, as_of: datetime | str | None = None,
+               check_names: bool = True) -> None:
+    """Files of a batch to ``loads``: documents and rejected files from one pass."""
+    spark = files.sparkSession
+    last = last_file_id(spark, out, batch_id)
     rows = with_load_metadata(load_rows(files, check_names), "PROCESSED", as_of)
     spaced_file_id(rows, start=last).write.mode("overwrite").parquet(batch_path(out, "loads", batch_id))
-    written = spark.read.parquet(batch_path(out, "loads", batch_id))
-    written.agg(F.coalesce(F.max("file_id"), F.lit(last)).alias("file_id")).write.mode("overwrite").parquet(
-        batch_path(out, "load_marks", batch_id))
+    note_file_ids(spark.read.parquet(batch_path(out, "loads", batch_id)), batch_id, out, last)
 
 
 def raw_of(loads: DataFrame) -> DataFrame:
@@ -91,45 +202,32 @@ def stage_batch(raw: DataFrame, batch_id: int, out: str, strict: bool = False) -
     The report id is part of the range key so that a frequent date spreads over
     several files.
     """
+    _write_staged(stage_reports(raw, strict), batch_id, out)
+
+
+def _write_staged(staged: DataFrame, batch_id: int, out: str) -> None:
     keys = ["received_date", "report_id"]
-    stage_reports(raw, strict).repartitionByRange(*keys).sortWithinPartitions(*keys).write.mode(
+    staged.repartitionByRange(*keys).sortWithinPartitions(*keys).write.mode(
         "overwrite").parquet(batch_path(out, "staged", batch_id))
 
 
 def children_batch(staged: DataFrame, batch_id: int, out: str,
                    tables: tuple[str, ...] = tuple(CHILDREN), strict: bool = False) -> None:
-    """Child and pair rows of the reports a batch staged.
-
-    Each is an explode; reactions alone are shuffled, to lie by report and sequence.
-    """
+    """Child and pair rows of the reports a batch staged: each is an explode of the staged rows, in their order."""
     for name in tables:
-        rows = CHILDREN[name](staged, strict=strict)
-        if name == "report_reactions":
-            keys = ["report_id", "reaction_sequence"]
-            rows = rows.repartitionByRange(*keys).sortWithinPartitions(*keys)
-        rows.write.mode("overwrite").parquet(batch_path(out, name, batch_id))
-
-
-def close_batch(raw: DataFrame, batch_id: int, out: str) -> None:
-    """Mark a batch as completely written: its newest (load time, ``file_id``), or the mark before."""
-    spark = raw.sparkSession
-    newest = raw.agg(F.max(F.struct("ingestion_timestamp", "file_id")).alias("mark"))
-    before = read_batch(spark, out, "done", batch_id - 1)
-    if before is not None:
-        newest = newest.unionByName(before.select("mark")).agg(F.max("mark").alias("mark"))
-    newest.write.mode("overwrite").parquet(batch_path(out, "done", batch_id))
+        CHILDREN[name](staged, strict=strict).write.mode("overwrite").parquet(batch_path(out, name, batch_id))
 
 
 def after_done(raw: DataFrame, out: str) -> DataFrame:
-    """Documents beyond the mark of the complete batches.
+    """Documents beyond the mark of the closed batch increments (streams keep their own progress).
 
     The mark is a pair, so documents that share a load time with it but have a
     higher ``file_id`` still come.
     """
-    done = read_table(raw.sparkSession, out, "done")
+    done = _log(raw.sparkSession, out, "done")
     if done is None:
         return raw
-    mark = done.agg(F.max("mark").alias("m")).first()["m"]
+    mark = done.where(F.coalesce(F.col("source") == BATCH, F.lit(True))).agg(F.max("mark").alias("m")).first()["m"]
     if mark is None:
         return raw
     time = F.lit(mark["ingestion_timestamp"]).cast(raw.schema["ingestion_timestamp"].dataType)
@@ -137,9 +235,13 @@ def after_done(raw: DataFrame, out: str) -> DataFrame:
                       | ((F.col("ingestion_timestamp") == time) & (F.col("file_id") > mark["file_id"])))
 
 
+# --- the current state ----------------------------------------------------------------
+
+
 def current_reports(staged: DataFrame) -> DataFrame:
-    """Newest version of every report over all batches."""
-    return dedupe_latest(staged)
+    """Newest version of every report over all batches in ``staged``."""
+    newest = ("src_ld_ts", "file_id")
+    return dedupe_latest(staged, newest=(*newest, "batch_id") if "batch_id" in staged.columns else newest)
 
 
 def current_children(children: DataFrame, staged: DataFrame) -> DataFrame:
@@ -149,15 +251,78 @@ def current_children(children: DataFrame, staged: DataFrame) -> DataFrame:
     return kept.select(*[c for c in children.columns if c != "batch_id"])
 
 
+def read_current(spark: SparkSession, out: str, table: str = "staged") -> DataFrame:
+    """The current rows of ``staged`` or a child table, over all closed batches."""
+    staged = read_closed(spark, out, "staged")
+    if staged is None:
+        raise ValueError(f"{out} holds no closed batch")
+    if table == "staged":
+        return current_reports(staged)
+    return current_children(read_closed(spark, out, table), staged)
+
+
 def next_batch_id(spark: SparkSession, out: str, table: str = "staged") -> int:
     return _number(read_table(spark, out, table), "max(batch_id) + 1")
 
 
-def compact(spark: SparkSession, source: str, target: str) -> None:
-    """Current state of ``source`` as the single batch 0 of a new folder ``target``."""
-    done = read_table(spark, source, "done")
-    staged = current_reports(read_table(spark, source, "staged")).drop("batch_id")
-    staged.write.mode("overwrite").parquet(batch_path(target, "staged", 0))
-    children_batch(spark.read.parquet(batch_path(target, "staged", 0)), 0, target)
-    if done is not None:
-        done.agg(F.max("mark").alias("mark")).write.mode("overwrite").parquet(batch_path(target, "done", 0))
+# --- purge and compaction ----------------------------------------------------------------
+
+
+def purge(spark: SparkSession, out: str, pattern: str, raw: DataFrame | None = None, strict: bool = False) -> None:
+    """Delete what the files loaded so far whose name matches the LIKE pattern have brought.
+
+    Names are resolved now, so a file of that name that is loaded later stays.  A report whose
+    current version goes gets the newest of its other versions back.  Those of other batches are
+    still staged; those of its own batch are staged again from ``raw``, by default the stored loads.
+    """
+    batch_id = open_batch(spark, out, f"purge {pattern}")
+    staged, loads = read_closed(spark, out, "staged"), read_closed(spark, out, "loads")
+    named = [t.select(F.col(FILE_COLUMN[n]).alias("name"), F.col("batch_id").alias("in_batch"))
+             for n, t in (("staged", staged), ("loads", loads)) if t is not None]
+    if not named:
+        raise ValueError(f"{out} holds no closed batch")
+    found = named[0] if len(named) == 1 else named[0].union(named[1])
+    found.where(F.col("name").like(pattern)).distinct().write.mode("overwrite").parquet(batch_path(out, "purged", batch_id))
+    names = read_batch(spark, out, "purged", batch_id)
+    if staged is not None:
+        hit = staged.join(names, (F.col("source_file") == F.col("name")) & (F.col("batch_id") == F.col("in_batch")), "left_semi")
+        hit.select("report_id").distinct().write.mode("overwrite").parquet(batch_path(out, "purged_reports", batch_id))
+        hit = read_batch(spark, out, "purged_reports", batch_id)
+        if raw is not None:
+            rest = raw.where(~F.coalesce(F.col("file_name").like(pattern), F.lit(False)))
+        elif loads is not None:
+            rest = raw_of(loads.join(names, (F.col("file_name") == F.col("name")) & (F.col("batch_id") == F.col("in_batch")), "left_anti"))
+        if raw is not None or loads is not None:
+            rest = rest.withColumn("_id", report_id("raw_json")).join(hit.withColumnRenamed("report_id", "_id"), "_id", "left_semi").drop("_id")
+            stage_batch(rest, batch_id, out, strict)
+            children_batch(read_batch(spark, out, "staged", batch_id), batch_id, out, strict=strict)
+    last = last_file_id(spark, out, batch_id)
+    note_file_ids(one_row(spark, file_id=F.lit(last).cast("long")), batch_id, out, last)
+    closing = one_row(spark, mark=F.lit(None).cast(MARK), source=F.lit(f"purge {pattern}"), micro=F.lit(None).cast("long"))
+    closing.write.mode("overwrite").parquet(batch_path(out, "done", batch_id))
+
+
+def compact(spark: SparkSession, source: str, target: str, keep_raw: bool = True) -> None:
+    """Current state of ``source`` as the single batch 0 of a new folder ``target``, clustered by received date again.
+
+    Loads come along (only their outcomes without ``keep_raw``), and so do the highest ``file_id``
+    and what each stream and increment has closed: a stream goes on in ``target`` with its old
+    checkpoint or a new one.  Purged rows, older versions and batches that were never closed stay
+    behind.  No stream may write to ``source`` meanwhile.
+    """
+    done = _log(spark, source, "done")
+    if done is None:
+        raise ValueError(f"{source} holds no closed batch")
+    loads, staged = read_closed(spark, source, "loads"), read_closed(spark, source, "staged")
+    if loads is not None:
+        if not keep_raw:
+            loads = loads.withColumn("raw_json", F.when(F.lit(False), F.col("raw_json")))
+        loads.drop("batch_id").write.mode("overwrite").parquet(batch_path(target, "loads", 0))
+    if staged is not None:
+        _write_staged(current_reports(staged).drop("batch_id"), 0, target)
+        children_batch(read_batch(spark, target, "staged", 0), 0, target,
+                       tuple(t for t in CHILDREN if read_table(spark, source, t) is not None))
+    last = last_file_id(spark, source, 1 << 62)
+    note_file_ids(one_row(spark, file_id=F.lit(last).cast("long")), 0, target, last)
+    done.groupBy("source").agg(F.max("mark").alias("mark"), F.max("micro").alias("micro")).write.mode("overwrite").parquet(
+        batch_path(target, "done", 0))
