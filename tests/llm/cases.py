@@ -7,7 +7,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 
 PROSE = "The quick brown fox jumps over the lazy dog while seven wizards brew very strange potions near an old stone bridge today"
-CLASHING = "score double, key long, spans string, hash long, u long, root long, _key long, label string, half int, n int, features string"
+CLASHING = "score double, key long, spans string, hash long, u long, root long, _key long, label string, half int, n int, features string, _k long, _d long, _id long, __key long, y int, text_ string"
 SCHEMA = f"doc_id long, text string, lang string, source string, n_chars long, {CLASHING}"
 ROWS = [
     (1, PROSE), (2, PROSE), (2, PROSE), (3, None), (4, ""), (5, "   \n\t "), (None, PROSE + " and more"), (None, None),
@@ -18,7 +18,7 @@ ROWS = [
 
 def odd(spark: SparkSession, rows=None) -> DataFrame:
     rows = ROWS if rows is None else rows
-    filler = (1.5, 7, "s", 8, 1, 2, 3, "l", 4, 5, "f")
+    filler = (1.5, 7, "s", 8, 1, 2, 3, "l", 4, 5, "f", 6, 9, 10, 11, 1, "t")
     return spark.createDataFrame([(i, t, "en", "src", len(t) if t else None, *filler) for i, t in rows], SCHEMA)
 
 

@@ -36,6 +36,8 @@ def test_odd_rows_pass_every_stage(spark, tmp_path):
             docs = corpus_pipeline.stored(stage(spark, docs, str(tmp_path)), "test")
             if name != corpus_pipeline.STAGES[-1][0]:
                 assert docs.columns == columns
+                others = docs.drop("doc_id", "text", "n_chars").distinct().collect()      # no column came back with other values
+                assert [tuple(r) for r in others] in ([], [("en", "src", 1.5, 7, "s", 8, 1, 2, 3, "l", 4, 5, "f", 6, 9, 10, 11, 1, "t")])
         docs.count()
 
 

@@ -67,7 +67,7 @@ def test_items_are_broadcast_by_bytes(spark, monkeypatch, limit):
     items = [*items, (50, docs[0][1] + " zz" * 3000)]
     got = winnowing.contamination(cases.odd(spark, docs), cases.bench(spark, items)).drop("_key").collect()
     assert sorted(map(tuple, got), key=str) == brute(docs, items)
-    assert any("_words" in columns for columns in sent) == (limit > 2_000)
+    assert any("words" in columns for columns in sent) == (limit > 2_000)
 
 
 def test_empty_tables_and_keep_clean(spark):
@@ -85,3 +85,17 @@ def test_empty_tables_and_keep_clean(spark):
 
 def brute_in_order(rows):
     return [brute([r], [(1, cases.PROSE)])[0] for r in sorted(rows, key=str)]
+
+
+def test_a_hot_phrase_proposes_nothing(spark, monkeypatch):
+    """200 documents and 300 items share ten words, and two of them a whole window."""
+    phrase = "one two three four five six seven eight nine ten"
+    docs = [(i, f"d{i} e{i} f{i} {phrase} g{i} h{i} j{i}") for i in range(200)]
+    items = [(i, f"q{i} r{i} s{i} {phrase} t{i} u{i} v{i}") for i in range(300)]
+    items.append((900, f"xx yy {docs[7][1]} zz"))
+    rows = []
+    keep = winnowing.stored
+    monkeypatch.setattr(winnowing, "stored", lambda df, label: rows.append((label, (out := keep(df, label)).count())) or out)
+    got = winnowing.contamination(cases.odd(spark, docs), cases.bench(spark, items)).drop("_key").collect()
+    assert sorted(map(tuple, got), key=str) == brute(docs, items)
+    assert dict(rows)["hit-windows"] == 4 and dict(rows)["hits"] <= 200       # 16 words hold four windows of 13

@@ -4,7 +4,7 @@ A document is the mean of its n-grams' indicator vectors in ``2 ** BITS`` hashed
 words, word pairs, word shapes, shape pairs, "same word as before" and "four words seen before
 in this text".  The score is the logistic of a sparse dot product, computed for every whole
 text in numpy blocks.  Weights come from FTRL-proximal updates over a bounded sample of
-labelled rows (``MAX_DOCS``); per-coordinate steps and an L1 term keep them sparse.
+labelled rows (``MAX_DOCS``, ``MAX_BYTES``); per-coordinate steps and an L1 term keep them sparse.
 
 Nulls and empty texts have no n-grams and score the logistic of the bias; with no usable
 label (an empty table, one class) every score is the share of label 1, or 0.5 without any.
@@ -28,6 +28,7 @@ from .tables import held_out, learning_rows
 
 BITS = 18
 MAX_DOCS = 4000
+MAX_BYTES = 64 << 20          # of their texts, which bounds the vectors on the driver
 EPOCHS = 4
 SCALE = 24.0
 THRESHOLD = 0.3
@@ -109,9 +110,10 @@ def ftrl(examples: list[tuple[np.ndarray, np.ndarray, int]], epochs: int = EPOCH
     return Model(w[:-1].astype(np.float32), float(w[-1]))
 
 
-def train(docs: DataFrame, labels: DataFrame, label: str = "quality", limit: int = MAX_DOCS) -> Model:
-    rows = map_arrow(learning_rows(docs, labels, label, limit).select("doc_id", "y", "text"), _vectors,
-                     "doc_id long, y int, dims array<int>, value array<float>").toArrow()
+def train(docs: DataFrame, labels: DataFrame, label: str = "quality", limit: int = MAX_DOCS, max_bytes: int = MAX_BYTES) -> Model:
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    rows = map_arrow(learning_rows(docs, labels, label, limit, max_bytes).select("doc_id", "y", "text"), _vectors,
+                     f"doc_id {kind}, y int, dims array<int>, value array<float>").toArrow()
     rows = rows.sort_by("doc_id").combine_chunks()   # arrival order must not matter
     y = rows["y"].to_numpy()
     examples = [(d.values.to_numpy().astype(np.int64), v.values.to_numpy().astype(float), int(t))

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from . import textblocks as tb
 from .components import components
 from .shipping import map_arrow
-from .tables import stored
+from .tables import free_names, stored
 
 SHINGLE = 4
 BITS = 4
@@ -265,8 +265,8 @@ def keep_one(docs: DataFrame, size: int = SHINGLE, bits: int = BITS, max_leaves:
     marked = stored(fingerprints(docs, size), "fingerprints")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_key")).alias("first")
     leaf = marked.groupBy("fp").agg(first).join(rooted(marked, bits, max_leaves), "fp")
-    kept = leaf.groupBy("root").agg(F.min("first").alias("first")).select(
-        F.col("first.doc_id").alias("_id"), F.col("first._key").alias("_k"))
-    rows = docs.withColumn("__key", F.xxhash64("text"))
-    one = rows.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("__key") == F.col("_k")), "left_semi")
-    return one.dropDuplicates(["doc_id", "__key"]).select(docs.columns)
+    key, k, d = free_names(docs, "key", "k", "d")
+    kept = leaf.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.doc_id").alias(d), F.col("first._key").alias(k))
+    rows = docs.withColumn(key, F.xxhash64("text"))
+    one = rows.join(kept, F.col("doc_id").eqNullSafe(F.col(d)) & (F.col(key) == F.col(k)), "left_semi")
+    return one.dropDuplicates(["doc_id", key]).select(*[F.col(f"`{c}`") for c in docs.columns])

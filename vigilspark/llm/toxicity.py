@@ -32,7 +32,6 @@ from .shipping import map_arrow
 from .tables import held_out, learning_rows, stored
 
 MAX_DOCS = 12_000
-MAX_LEXICON = 4_000
 BEGINNINGS = (4, 5, 6, 7, 8)     # bytes
 NEAR = 5                         # words
 SEED_LEXICON = ("idiot stupid moron loser scum trash clown pathetic worthless disgusting dumb fool imbecile hate garbage filth "
@@ -170,7 +169,7 @@ def learn_lexicons(rows: DataFrame) -> list[Lexicon]:
         z = (F.col("toxic") - share * F.col("docs")) / F.sqrt(F.col("docs") * share * (1 - share) + 1e-9)
         odds = F.log((F.col("toxic") + 0.5) / (F.col("docs") - F.col("toxic") + 0.5)) - float(np.log((t + 0.5) / (n - t + 0.5)))
         best = (of.select("term", z.alias("z"), odds.alias("odds")).where("z > 4 AND odds > 1.5")
-                .orderBy(F.desc("z"), "term").limit(MAX_LEXICON).collect())
+                .collect())      # as many as a bounded sample yields
         terms = np.array([r["term"] for r in best], np.int64).view(np.uint64)
         order = np.argsort(terms)
         out.append(Lexicon(terms[order], np.array([r["odds"] for r in best], float)[order]))

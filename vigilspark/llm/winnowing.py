@@ -2,9 +2,11 @@
 
 A benchmark window is ``window`` consecutive words of an item (a shorter item is one window).
 For windows of n words, texts and items keep the smallest hash of ``n - k + 1`` neighbouring
-k-grams, so that two texts sharing n words share a kept hash at the same place.  Kept hashes
-are joined; each hit is laid along both texts and extended word by word, and every run of n
-equal words or more counts.  Words are compared as words, hashes only propose.
+k-grams, so that two texts sharing n words share a kept hash at the same place.  A kept hash of
+a text that some item has kept, too, is a hit; it is extended over the windows of n words that
+it stands for, and those meet the items' windows as a whole: by hash, then word by word.  A
+phrase that many texts and items share thus proposes nothing unless the window around it is
+shared as well, and no row holds more than one text's words, or one window's.
 
 Null texts have no words; items without words are ignored; a null item_id is the item
 'null'.  Repeated rows get the same result each, repeated items count once.  With an empty
@@ -18,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from . import wordcols as wc
-from .tables import stored
+from .tables import free_names, stored
 
 WINDOW = 13
 MIN_SHARE = 20          # contaminated: at least 1 word in 20 hit
@@ -58,42 +60,54 @@ def maybe_broadcast(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
-def runs(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """_key, doc_id, item, start, end: every run of words of an item's windows in a document."""
+def item_windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
+    """item, n, words, hash: every window of every item (columns item, _words), repeated ones once."""
+    n = F.least(F.size("_words"), F.lit(window))
+    starts = items.select("item", "_words", n.alias("n"), F.explode(wc.upto(F.size("_words") - n + 1)).alias("_i"))
+    rows = starts.select("item", "n", F.slice("_words", F.col("_i") + 1, F.col("n")).alias("words"))
+    return rows.distinct().withColumn("hash", F.xxhash64("words"))
+
+
+def _reached(n: Column, places: Column, size: Column) -> Column:
+    """Starts of the windows of n words that hold a kept k-gram at one of the places."""
+    reach = n - F.when(n >= 10, 5).otherwise(F.floor((n + 1) / 2).cast("int"))        # n - gram_size(n)
+    around = F.transform(places, lambda p: F.sequence(F.greatest(p - reach, F.lit(0)), p))
+    return F.filter(F.array_distinct(F.flatten(around)), lambda i: i + n <= size)
+
+
+def shared_windows(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
+    """(_key, doc_id, start, end, window) of the items' windows in the documents, and (window, item)."""
     items = stored(benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item"),
                                     wc.alnum_words(F.col("text")).alias("_words"))
-                   .where(F.size("_words") > 0).distinct().withColumn("_item", F.xxhash64("item", "_words")), "items")
+                   .where(F.size("_words") > 0).distinct(), "items")
     length = F.least(F.size("_words"), F.lit(window))
     sizes = sorted(r[0] for r in items.select(length).distinct().collect()) or [window]   # ``window`` values at most
-    sides = stored(fingerprints(items.withColumn("_n", length), sizes, "_item", "_n").where("n = _n").drop("_n"), "item-hashes")
+    sides = stored(fingerprints(items.withColumn("_n", length), sizes, "_n").where("n = _n").select("n", "hash").distinct(), "item-hashes")
     docs = keyed(docs)
     kept = fingerprints(docs.select("doc_id", "_key", wc.alnum_words(F.col("text")).alias("_words")), sizes, "doc_id", "_key")
-    theirs = sides.select("_item", "n", F.col("place").alias("_at"), "hash")
-    hits = stored(kept.join(maybe_broadcast(theirs, sides.count()), ["n", "hash"])
-                  .select("doc_id", "_key", "_item", "n", (F.col("place") - F.col("_at")).alias("shift")).distinct(), "hits")
-    # the words of hit documents only
+    hits = stored(kept.join(maybe_broadcast(sides, sides.count()), ["n", "hash"], "left_semi")
+                  .groupBy("_key", "doc_id", "n").agg(F.collect_set("place").alias("places")), "hits")     # places of one text
+    # the words of hit documents only, each text once for every window size
     touched = hits.select("_key").distinct()
-    n_touched = touched.count()
-    n_items, n_bytes = items.agg(F.count("*"), F.coalesce(F.sum(
-        F.octet_length("item") + F.octet_length(F.array_join("_words", "")) + F.size("_words").cast("long") * _WORD_BYTES), F.lit(0))).first()
-    by_item = maybe_broadcast(items, n_items) if n_bytes <= BROADCAST_BYTES else items      # else Spark sizes the join
-    of_docs = docs.join(maybe_broadcast(touched, n_touched), "_key", "left_semi").dropDuplicates(["_key", "doc_id"]).select(
-        F.col("_key").alias("_k"), F.col("doc_id").alias("_d"), wc.alnum_words(F.col("text")).alias("_text"))
-    laid = (hits.join(of_docs, (F.col("_key") == F.col("_k")) & F.col("doc_id").eqNullSafe(F.col("_d"))).drop("_k", "_d")
-            .join(by_item, "_item"))
-    equal = laid.withColumn("_equal", F.transform(wc.upto(F.size("_words")), lambda j: F.coalesce(
-        F.get(F.col("_text"), F.col("shift") + j) == F.get(F.col("_words"), j), F.lit(False)))).drop("_text")
-    found = equal.withColumn("_starts", F.filter(
-        wc.upto(F.size("_words") - F.col("n") + 1),
-        lambda s: F.get(F.col("_equal"), s) & ~F.array_contains(F.slice(F.col("_equal"), s + 1, F.col("n")), False)))
-    first = F.array_except("_starts", F.transform("_starts", lambda s: s + 1))
-    last = F.array_except("_starts", F.transform("_starts", lambda s: s - 1))
-    return found.select("doc_id", "_key", "item", "n", "shift", F.inline(F.arrays_zip(first.alias("a"), last.alias("b")))).select(
-        "doc_id", "_key", "item", (F.col("shift") + F.col("a")).alias("start"), (F.col("shift") + F.col("b") + F.col("n")).alias("end"))
+    of_docs = docs.join(maybe_broadcast(touched, touched.count()), "_key", "left_semi").dropDuplicates(["_key", "doc_id"]).select(
+        F.col("_key").alias("_k"), F.col("doc_id").alias("_d"), "text")
+    laid = hits.join(of_docs, (F.col("_key") == F.col("_k")) & F.col("doc_id").eqNullSafe(F.col("_d"))).withColumn(
+        "_text", wc.alnum_words(F.col("text")))
+    found = laid.select("_key", "doc_id", "n", "_text", F.explode(_reached(F.col("n"), F.col("places"), F.size("_text"))).alias("start"))
+    found = found.select("_key", "doc_id", "n", "start", F.slice("_text", F.col("start") + 1, F.col("n")).alias("words"))
+    windows = stored(item_windows(items, window), "windows")
+    theirs = windows.select("n", "words", "hash").distinct()
+    rows, size = theirs.agg(F.count("*"), F.coalesce(F.sum(F.octet_length(F.array_join("words", "")) + F.col("n").cast("long") * _WORD_BYTES),
+                                                     F.lit(0))).first()
+    if size <= BROADCAST_BYTES:      # else Spark sizes the join
+        theirs = maybe_broadcast(theirs, rows)
+    met = stored(found.withColumn("hash", F.xxhash64("words")).join(theirs, ["n", "hash", "words"]).select(
+        "_key", "doc_id", "start", (F.col("start") + F.col("n")).alias("end"), "n", "hash", "words"), "hit-windows")
+    return met, windows
 
 
 def hit_words(found: DataFrame) -> DataFrame:
-    """_key, doc_id, n_hit: words covered by any run."""
+    """_key, doc_id, n_hit: words covered by any window."""
     ends = found.groupBy("_key", "doc_id", "start").agg(F.max("end").alias("end"))
     before = Window.partitionBy("_key", "doc_id").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
     new = F.col("end") - F.greatest("start", F.coalesce(F.max("end").over(before), F.lit(0)))
@@ -102,8 +116,9 @@ def hit_words(found: DataFrame) -> DataFrame:
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated of every document, and _key."""
-    found = stored(runs(docs, benchmark, window), "runs")
-    items = (found.groupBy("_key", "doc_id").agg(F.collect_set("item").alias("_items")))   # at most the benchmark's items
+    found, windows = shared_windows(docs, benchmark, window)
+    of_items = found.select("_key", "doc_id", "n", "hash", "words").distinct().join(windows, ["n", "hash", "words"])
+    items = of_items.groupBy("_key", "doc_id").agg(F.collect_set("item").alias("_items"))   # at most the benchmark's items
     hit = hit_words(found).alias("h").join(items.alias("i"), (F.col("h._key") == F.col("i._key")) & F.col("h.doc_id").eqNullSafe(F.col("i.doc_id"))) \
         .select(F.col("h._key").alias("_k"), F.col("h.doc_id").alias("_d"), "n_hit", "_items")
     all_docs = keyed(docs).select("doc_id", "_key", wc.count_alnum_words(F.col("text")).alias("n_words"))
@@ -117,12 +132,13 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """The rows of ``docs`` that are not contaminated, as they are."""
-    bad = stored(contamination(docs, benchmark, window).where("contaminated").select(F.col("_key").alias("_k"), F.col("doc_id").alias("_d"))
+    """The rows of ``docs`` that are not contaminated, as they are, whatever their other columns are called."""
+    key, k, d = free_names(docs, "key", "k", "d")
+    bad = stored(contamination(docs, benchmark, window).where("contaminated").select(F.col("_key").alias(k), F.col("doc_id").alias(d))
                  .distinct(), "contaminated")
-    rows = docs.withColumn("__key", F.xxhash64("doc_id", "text"))
-    return rows.join(maybe_broadcast(bad, bad.count()), (F.col("__key") == F.col("_k")) & F.col("doc_id").eqNullSafe(F.col("_d")),
-                     "left_anti").select(docs.columns)
+    rows = docs.withColumn(key, F.xxhash64("doc_id", "text"))
+    return rows.join(maybe_broadcast(bad, bad.count()), (F.col(key) == F.col(k)) & F.col("doc_id").eqNullSafe(F.col(d)),
+                     "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 SQL = r"""
