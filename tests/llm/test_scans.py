@@ -4,6 +4,8 @@ import hashlib
 import random
 import re
 
+import pytest
+
 import cases
 from vigilspark.llm import license_notices, secret_automata
 
@@ -48,6 +50,57 @@ def test_automata_tell_formats_from_words():
     assert sum(model.score(w)[0] >= secret_automata.MARGIN for w in words) <= 0.01 * len(words)
 
 
+WORDS = ("get set user factory provider manager request response handler config service client session cache index builder parser writer "
+         "reader stream buffer context event listener adapter controller repository entity value object list map string number date").split()
+
+
+def others(kind, rng):
+    """Tokens that the training generators do not draw: identifiers of English words, addresses, numbers."""
+    some = lambda n: [rng.choice(WORDS) for _ in range(n)]
+    digits = lambda *n: "-".join("".join(rng.choice("0123456789") for _ in range(k)) for k in n)
+    return {
+        "camel": lambda: "".join(w.capitalize() for w in some(rng.randint(4, 7))), "six": lambda: "".join(w.capitalize() for w in some(6)),
+        "snake": lambda: "_".join(some(5)), "constant": lambda: "_".join(some(4)).upper(), "path": lambda: "/".join(some(5)) + ".py",
+        "module": lambda: ".".join(some(5)), "address": lambda: f"www.{''.join(some(2))}.com/{some(1)[0]}/{rng.randrange(99999)}",
+        "code": lambda: "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789") for _ in range(24)), "isbn": lambda: digits(3, 1, 4, 4, 1),
+        "uuid": lambda: "-".join("".join(rng.choice("0123456789abcdef") for _ in range(k)) for k in (8, 4, 4, 4, 12)),
+        "compound": lambda: "".join(some(4)), "order": lambda: "ORD-" + digits(12),
+    }[kind]()
+
+
+KINDS_OF_OTHERS = ["camel", "six", "snake", "constant", "path", "module", "address", "code", "isbn", "uuid", "compound", "order"]
+
+
+@pytest.mark.parametrize("kind", KINDS_OF_OTHERS)
+def test_identifiers_are_no_secrets(kind):
+    rng, model = random.Random(kind), secret_automata.train()
+    tokens = [t for t in (others(kind, rng) for _ in range(300)) if len(t) >= secret_automata.MIN_LENGTH]
+    assert len(tokens) > 100 and sum(model.score(t)[0] >= model.margin for t in tokens) <= 0.01 * len(tokens)
+
+
+def test_credentials_are_found_with_document_tokens_learnt():
+    """Tokens of documents, credentials among them, make the background; held-out credentials still pass."""
+    rng = random.Random(9)
+    tokens = [others(k, rng) for k in KINDS_OF_OTHERS for _ in range(100)] + [s for _, s in secret_automata.labelled(1, 321)]
+    model = secret_automata.train(tuple(tokens))
+    held = secret_automata.labelled(40, seed=92)
+    assert sum(model.score(s)[0] >= model.margin for _, s in held) >= 0.97 * len(held)
+
+
+def test_parts_beside_a_pattern_are_scored():
+    key = next(s for n, s in secret_automata.labelled(1, 12) if n == "payment_key")
+    text = f"see {'0123456789abcdef' * 2}={key} end".encode()
+    base = secret_automata.base_spans(text)
+    added = secret_automata.added_spans(text, base, secret_automata.train(), {})
+    assert [text[a:b].decode() for a, _, b in added] == [key]
+
+
+def test_long_tokens_of_documents(spark):
+    docs = cases.odd(spark, [(i, f"a word and {others('camel', random.Random(i))} token = abcdefabcdefabcdefabcdef") for i in range(30)] + cases.ROWS)
+    tokens = secret_automata.long_tokens(docs)
+    assert len(tokens) >= 25 and not any("abcdefabcdef" in t for t in tokens) and secret_automata.long_tokens(docs) == tokens
+
+
 def test_automaton_merges_and_scores():
     a = secret_automata.Automaton(["ab" * k for k in range(1, 40)] * 5)
     assert a.log_likelihood("abababab") > a.log_likelihood("abababaa") + 3
@@ -82,9 +135,10 @@ def test_misspelt_notices():
         rng = random.Random(notice)
         for _ in range(5):
             chars = list(notice.upper().replace(" ", ", "))
+            fixed = {i for m in re.finditer("[A-Z]+", "".join(chars)) if m[0].lower() in license_notices.TELLING for i in range(*m.span())}
             for _ in range(license_notices.errors(len(notice))):
                 i = rng.randrange(1, len(chars) - 1)
-                while not chars[i].isalpha():
+                while not chars[i].isalpha() or i in fixed:      # the telling words take no edits
                     i = rng.randrange(1, len(chars) - 1)
                 chars[i] = "x"
             text = ("Some é text before; " + "".join(chars) + " and after").encode()
@@ -94,6 +148,29 @@ def test_misspelt_notices():
             assert text.decode()[int(span[1]):int(span[2])].startswith("".join(chars)[:3])
 
 
+def labels_of(text):
+    return {f[0] for f in license_notices.scan(text.encode())[2]}
+
+
+def test_each_notice_has_its_own_label_alone():
+    for notice, label in license_notices.NOTICES:
+        assert labels_of(f"some words before {notice} and some after") == {label}, notice
+
+
+def test_two_letters_are_the_whole_meaning():
+    for rights in ("", "-SA", "-ND", "-NC", "-NC-SA", "-NC-ND"):
+        want = "cc-by" + rights.lower()
+        assert labels_of(f"This text is licensed under CC BY{rights} 4.0.") == {want}
+        assert labels_of(f"This text is licenced undr CC BY{rights} 4.0.") == {want}            # misspelt elsewhere
+        assert labels_of(f"This text is licensed under CC BY{rights} 3.0.") == {want}
+    long = {"ShareAlike": "sa", "NoDerivatives": "nd", "NonCommercial": "nc", "NonCommercial-ShareAlike": "nc-sa", "NonCommercial-NoDerivatives": "nc-nd"}
+    for name, rights in long.items():
+        assert labels_of(f"Creative Commons Attribution-{name}") == {f"cc-by-{rights}"}
+    assert labels_of("under the terms of the GNU Lesser General Public License") == {"lgpl"}
+    assert labels_of("you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License") == {"lgpl"}
+    assert labels_of("you can redistribute it and/or modify it under the terms of the GNU Affero General Public License") == {"agpl"}
+
+
 def test_pieces_cover_the_notice():
     for notice, _ in license_notices.NOTICES:
         parts = license_notices.split(notice)

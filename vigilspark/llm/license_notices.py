@@ -4,10 +4,14 @@ Texts are reduced to lower-cased words with one space between.  A notice of m ch
 be misspelt by ``errors(m)`` edits; cut into one piece more than that, at least one piece
 stands unharmed in any such spelling (pigeonhole).  One automaton finds the pieces of all
 notices in one pass; around each hit the regex library's bounded-error matching checks the
-edits and gives the span.  Fixed phrases of whole words are looked for besides, exactly.
+edits and gives the span.  Words that tell one licence from another (``TELLING``: "nc", "lesser")
+take no edits: a spelling counts only if it holds exactly those of its notice, in order.  Of
+overlapping spellings of different licences the nearest wins: fewest edits, then the longest.
+Fixed phrases of whole words are looked for besides, exactly.
 
 Null and empty texts have no words, labels or spans, and score 0.  Word numbers start at 0,
-spans are code points of the original text, whole words, ends exclusive.
+spans are code points of the original text, whole words, ends exclusive.  One result per input
+row, repeated rows included; an empty table gives none; other columns are never read.
 """
 
 from __future__ import annotations
@@ -37,11 +41,19 @@ NOTICES = (
     ("under the terms of the gnu lesser general public license", "lgpl"),
     ("licensed under the apache license version 2 0", "apache"),
     ("you may not use this file except in compliance with the license", "apache"),
+    ("under the terms of the gnu affero general public license", "agpl"),
     ("licensed under cc by 4 0", "cc-by"),
+    ("licensed under cc by sa 4 0", "cc-by-sa"),
+    ("licensed under cc by nd 4 0", "cc-by-nd"),
     ("licensed under cc by nc 4 0", "cc-by-nc"),
-    ("creative commons attribution noncommercial", "cc-by-nc"),
-    ("creative commons attribution sharealike", "cc-by-sa"),
+    ("licensed under cc by nc sa 4 0", "cc-by-nc-sa"),
+    ("licensed under cc by nc nd 4 0", "cc-by-nc-nd"),
     ("creative commons attribution 4 0 international", "cc-by"),
+    ("creative commons attribution sharealike", "cc-by-sa"),
+    ("creative commons attribution noderivatives", "cc-by-nd"),
+    ("creative commons attribution noncommercial", "cc-by-nc"),
+    ("creative commons attribution noncommercial sharealike", "cc-by-nc-sa"),
+    ("creative commons attribution noncommercial noderivatives", "cc-by-nc-nd"),
     ("released under the mit license", "mit"),
     ("permission is hereby granted free of charge to any person obtaining a copy", "mit"),
     ("redistribution and use in source and binary forms with or without modification", "bsd"),
@@ -49,6 +61,8 @@ NOTICES = (
     ("free and unencumbered software released into the public domain", "unlicense"),
     ("permission to use copy modify and or distribute this software for any purpose", "isc"),
 )
+#: Words on which the licence hangs.
+TELLING = frozenset("by sa nd nc sharealike noderivatives noderivs noncommercial lesser affero".split())
 _BETWEEN = re.compile(rb"[^0-9a-z\x80-\xff]+")
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 
@@ -137,6 +151,28 @@ def fuzzy(words: str) -> list[tuple[int, int, int, int]]:
     return sorted(found)
 
 
+def telling(words: str) -> list[str]:
+    return [w for w in words.split(" ") if w in TELLING]
+
+
+def nearest(notices: list[tuple[str, int, int, int]]) -> list[tuple[str, int, int, int]]:
+    """The notices (label, first word, last word, edits) that no nearer one of another licence overlaps."""
+    out: list[tuple[str, int, int, int]] = []
+    together: list[tuple[str, int, int, int]] = []      # a stretch of notices that overlap in a row
+    reach = -1
+    for notice in [*sorted(notices, key=lambda n: (n[1], n)), ("", 1 << 62, 1 << 62, 0)]:
+        if notice[1] > reach:
+            kept: list[tuple[str, int, int, int]] = []
+            for label, a, b, e in sorted(together, key=lambda n: (n[3], n[1] - n[2], n)):
+                if all(b < c or d < a or label == other for other, c, d, _ in kept):
+                    kept.append((label, a, b, e))
+            out += sorted(kept, key=lambda n: (n[1], n))
+            together = []
+        together.append(notice)
+        reach = max(reach, notice[2])
+    return out
+
+
 def scan(text: bytes) -> tuple[int, list[tuple[int, str]], list[tuple[str, int, int, int]]]:
     """(words, [(first word, label) of phrases], [(label, first word, last word, edits) of notices])."""
     words = _BETWEEN.sub(b" ", text.lower()).strip(b" ")
@@ -151,9 +187,13 @@ def scan(text: bytes) -> tuple[int, list[tuple[int, str]], list[tuple[str, int,
         while at >= 0:
             places.append((number(at), label))
             at = padded.find(b" " + phrase + b" ", at + 1)
-    notices = [(NOTICES[i][1], number(a + (words[a:a + 1] == b" ")), number(max(a, b - 1 - (words[b - 1:b] == b" "))), e)
-               for i, a, b, e in fuzzy(words.decode("latin-1"))]
-    return words.count(b" ") + 1, sorted(places), notices
+    notices = []
+    for i, a, b, e in fuzzy(words.decode("latin-1")):
+        first, last = number(a + (words[a:a + 1] == b" ")), number(max(a, b - 1 - (words[b - 1:b] == b" ")))
+        spelt = padded[blanks[first] + 1:blanks[last + 1]].decode("latin-1")      # whole words
+        if telling(spelt) == telling(NOTICES[i][0]):
+            notices.append((NOTICES[i][1], first, last, e))
+    return words.count(b" ") + 1, sorted(places), nearest(notices)
 
 
 def spans(text: bytes, notices: list[tuple[str, int, int, int]]) -> str:
