@@ -3,11 +3,15 @@
 The patterns find e-mail and IP addresses, card numbers (Luhn) and international phone
 numbers.  The field labels the words of every sentence of every whole text from the shapes
 of the word and its neighbours and the words before it; it is trained on a small labelled
-table (``labelled``) and decoded by Viterbi over all sentences of a block at once.  Its spans
-are added from the words that no pattern's span touches; none is taken away.
-
-Null and empty texts have no spans.  Sentences end at line ends and after . ! ? and have no
-length limit.  Positions are code points, ends exclusive.  One result per input row.
+table (``labelled``), cut into sentences like any text, and decoded by Viterbi over all sentences
+of a block at once.  A state of its own begins a value right behind another of its kind.  Its
+spans are added from the words that no pattern's span touches, where they can be what they are
+called (``plausible``: digits of a phone, Luhn sum of a card); none is taken away.
+
+Null and empty texts have no spans.  Sentences end at line ends and after . ! ?, but not between
+a short abbreviation and a number ("no. 12"), and have no length limit.  Positions are code
+points, ends exclusive.  One result per input row, repeated rows included; an empty table gives
+none; ``find`` reads no other columns and ``mask`` keeps them.
 """
 
 from __future__ import annotations
@@ -26,7 +30,8 @@ from . import textblocks as tb
 from .shipping import map_arrow
 
 KINDS = ("email", "ip", "card", "phone", "id")
-STATES = ("O", *KINDS)
+#: A value's words, and the first word of a value that follows one of its kind at once.
+STATES = ("O", *KINDS, *(f"{k}^" for k in KINDS))
 
 # ---- patterns, over UTF-8 bytes: all of their characters are ASCII
 
@@ -80,8 +85,8 @@ def base_spans(text: bytes) -> list[tuple[int, int, int]]:
 
 # ---- the labelled table
 
-_FILL = ("the of and to in please we our was with for this that is on at der die und mit von le la les des et pour "
-         "el los del que con una thing ention hation heinger").split()
+_FILL = ("the of and to in please we our was with for this that is on at house water since many early paper der die und mit von "
+         "haus wasser le la les des et pour maison el los del que con una casa").split()
 #: Sentences with {kind} where personal data stands; {x} is anything else with digits.
 _TEMPLATES = """
 call me at {phone} today
@@ -97,6 +102,7 @@ llame al teléfono {phone} por favor
 write to {email} for details
 contact {email} or call {phone}
 mail {email}
+write to {email} please
 her address is {email} since may
 the host {ip} did not answer
 connect to {ip} port {x}
@@ -110,9 +116,33 @@ tarjeta {card}
 paid with card no. {card} yesterday
 ssn {id}
 her social security number is {id}
+{phone} {phone}
+my phones are {phone} {phone}
+numbers {phone} {phone} {phone}
+office {phone} {phone} home
+{card} {card}
+cards {card} {card} on file
+card {card} phone {phone}
 IBAN {id}
 passport no. {id}
+passport {id}
+card no. {card}
+tel. {phone} or {phone}
 in {x} the of and {x}
+in {year} {year} and {year} it grew
+{year} {year} {year}
+the sums {few} {few} {few} grew
+rows {few} {few} and {few}
+{few} {few} {few} {few}
+{one} {one} {one} {one} {one} {one} {one} {few}
+steps {one} {one} {one} {one}
+scores {x} {few} {x} {few}
+no. {few} of {x}
+fig. {x} and {x}
+vol. {few} no. {few} pp. {few}
+isbn {isbn}
+invoice no. {invoice} of {x}
+order {invoice} shipped
 version {x} of the text
 on {x} we met
 about {x} people came
@@ -130,8 +160,8 @@ the {long} of and
 released under license version {x}
 word {long} word {x}
 the of and to in was with
-THIS IS ALL CAPITALS!! AND!! MORE!!
-of%%% the&&& and$$$ was*** to###
+READ THIS NOW!! TODAY ONLY!!
+*** $$$ %%% ###
 one | two | three | four
 """.strip().splitlines()
 
@@ -155,12 +185,16 @@ def labelled(copies: int = 12, seed: int = 7) -> list[tuple[str, list[int]]]:
         "ip": lambda: pick(lambda: f"{number(2, 3)}.{number(1, 2)}.{number(1, 2)}.{number(2)}",
                            lambda: f"{hexes(4)}:{hexes(4)}::{hexes(4)}", lambda: ":".join(hexes(4) for _ in range(8))),
         "card": lambda: pick(lambda: " ".join(number(4) for _ in range(4)), lambda: "-".join(number(4) for _ in range(4)),
-                             lambda: number(16), lambda: ".".join(number(4) for _ in range(4)), lambda: f"{number(4)} {number(6)} {number(5)}"),
+                             lambda: number(16), lambda: ".".join(number(4) for _ in range(4)), lambda: "/".join(number(4) for _ in range(4)),
+                             lambda: f"{number(4)} {number(6)} {number(5)}"),
         "id": lambda: pick(lambda: f"{number(3)}-{number(2)}-{number(4)}", lambda: f"DE{number(20)}", lambda: f"{name()[:1].upper()}{number(8)}"),
         "x": lambda: pick(lambda: number(1, 2, 3, 4), lambda: f"20{number(2)}-{number(2)}-{number(2)}", lambda: f"{number(1)}.{number(1)}",
                           lambda: f"{number(1)},{number(3)}.{number(2)}", lambda: f"{number(2)}:{number(2)}", lambda: f"19{number(2)}",
                           lambda: f"{number(1)}.{number(1)}.{number(2)}", lambda: f"{number(2)}-{number(2)}", lambda: f"{number(2)}%",
                           lambda: f"{name()}{number(1, 2)}", lambda: f"{number(1)}-{number(1)}"),
+        "year": lambda: f"{rng.choice(['19', '20'])}{number(2)}", "few": lambda: number(2, 3, 3, 4), "one": lambda: number(1, 1, 2),
+        "isbn": lambda: pick(lambda: f"978-{number(1)}-{number(4)}-{number(4)}-{number(1)}", lambda: f"978{number(10)}", lambda: f"{number(1)}-{number(4)}-{number(4)}-{number(1)}"),
+        "invoice": lambda: pick(lambda: f"{number(4)}-{number(4, 6)}", lambda: f"R{number(5)}", lambda: f"{number(3)}/{number(4)}", lambda: f"20{number(2)}/{number(4)}"),
         "hex": lambda: hexes(rng.choice([16, 32, 40])),
         "long": lambda: number(7, 9, 10, 13, 15, 16, 17),
     }
@@ -172,8 +206,9 @@ def labelled(copies: int = 12, seed: int = 7) -> list[tuple[str, list[int]]]:
                 found = re.search(r"\{(\w+)\}", word)
                 value = word.replace(found[0], draw[found[1]]()) if found else word
                 kind = STATES.index(found[1]) if found and found[1] in KINDS else 0
+                again = kind and states and (states[-1] - kind) % len(KINDS) == 0 and states[-1]
                 parts += value.split()
-                states += [kind] * len(value.split())
+                states += [kind + len(KINDS) if again else kind] + [kind] * (len(value.split()) - 1)
             out.append((" ".join(parts), states))
     return out
 
@@ -203,6 +238,11 @@ def sentences(block: tb.Block) -> Sentences:
     ends = np.isin(block.buf[w.end - 1], list(b".!?"))
     lines = np.zeros(len(block.buf) + 1, np.int32)
     np.cumsum(block.buf == 10, out=lines[1:])
+    digits = np.zeros(len(block.buf) + 1, np.int32)
+    np.cumsum(_DIGIT[block.buf], out=digits[1:])
+    numeric = digits[w.end] > digits[w.start]
+    short = (w.end - w.start <= 5) & ~numeric & (block.buf[w.end - 1] == ord("."))
+    ends[:-1] &= ~(short[:-1] & numeric[1:])
     cut = np.ones(n, bool)
     cut[1:] = ends[:-1] | (w.doc[1:] != w.doc[:-1]) | (lines[w.start[1:]] != lines[w.end[:-1]])
     return Sentences(w, np.append(np.flatnonzero(cut), n))
@@ -264,25 +304,25 @@ def text_block(texts: list[str]) -> tb.Block:
     return tb.Block(None, np.frombuffer(b"".join(raw), np.uint8), np.concatenate([[0], np.cumsum([len(x) for x in raw])]))
 
 
-def train(table: list[tuple[str, list[int]]] | None = None, rounds: int = 120, l2: float = 0.02, rate: float = 0.15) -> Model:
+def train(table: list[tuple[str, list[int]]] | None = None, rounds: int = 90, l2: float = 0.02, rate: float = 0.2) -> Model:
     """Maximum likelihood with an L2 term, by Adam over all sentences at once."""
     table = table or labelled()
     block = text_block([t for t, _ in table])
-    w = tb.words(block, tb.NOT_SPACE)
-    s = Sentences(w, w.first)     # a row of the table is one sentence
+    s = sentences(block)          # as they are cut when texts are decoded
+    w = s.words
     hashes = features(block, s)
     keys = np.concatenate([[np.uint64(0)], np.unique(hashes)])
     # one feature to a slot
     _, first = np.unique(keys[1:] >> np.uint64(64 - _TABLE_BITS), return_index=True)
     keys = np.concatenate([keys[:1], keys[1:][first]])
-    S, n = len(STATES), len(table)
+    S, n = len(STATES), len(s.first) - 1
     model = Model(keys, np.zeros((len(keys), S)), np.zeros((S, S)), np.zeros(S))
     rows = model.rows(hashes)
-    length = np.diff(w.first)
+    length = np.diff(s.first)
     T = int(length.max())
     place = np.full((n, T), -1)
     for i in range(n):
-        place[i, :length[i]] = np.arange(w.first[i], w.first[i + 1])
+        place[i, :length[i]] = np.arange(s.first[i], s.first[i + 1])
     real = place >= 0
     y = np.concatenate([np.asarray(v) for _, v in table])
     yy = np.where(real, y[place], 0)
@@ -367,8 +407,10 @@ def added_spans(block: tb.Block, model: Model, taken: list[tuple[int, int]]) ->
         np.add.at(touched, np.searchsorted(w.end, a, "right"), 1)
         np.add.at(touched, np.searchsorted(w.start, b, "left"), -1)
         state[np.cumsum(touched)[:-1] > 0] = 0
+    follows = state > len(KINDS)
+    state = np.where(follows, state - len(KINDS), state)
     opens = np.ones(len(state), bool)
-    opens[1:] = state[1:] != state[:-1]
+    opens[1:] = (state[1:] != state[:-1]) | follows[1:]
     opens[s.first[:-1]] = True
     run = np.flatnonzero(opens)
     last = np.append(run[1:], len(state)) - 1
@@ -378,10 +420,24 @@ def added_spans(block: tb.Block, model: Model, taken: list[tuple[int, int]]) ->
     for _ in range(4):
         start += (start < end - 1) & _EDGE[block.buf[start]]
         end -= (start < end - 1) & _EDGE[block.buf[end - 1]]
-    marks = np.zeros(len(block.buf) + 1, np.int32)
-    np.cumsum(_DIGIT[block.buf] | (block.buf == 64) | (block.buf == 40), out=marks[1:])
-    real = marks[end] > marks[start]
-    return w.doc[run][real], start[real], state[run][real].astype(np.int64) - 1, end[real]
+    kind = state[run].astype(np.int64) - 1
+    real = plausible(block, start, kind, end)
+    return w.doc[run][real], start[real], kind[real], end[real]
+
+
+def plausible(block: tb.Block, start: np.ndarray, kind: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Spans that can be what they are called, by what is counted in them."""
+    def count(members: bytes) -> np.ndarray:
+        sums = np.zeros(len(block.buf) + 1, np.int32)
+        np.cumsum(tb.byte_set(members)[block.buf], out=sums[1:])
+        return sums[end] - sums[start]
+
+    digits = count(b"0123456789")
+    good = np.select([kind == KINDS.index(k) for k in ("email", "ip", "card", "phone")],
+                     [count(b"@([") > 0, count(b".:") > 1, (digits >= 12) & (digits <= 19), (digits >= 7) & (digits <= 15)], digits >= 6)
+    for i in np.flatnonzero(good & (kind == KINDS.index("card"))):
+        good[i] = luhn(_NOT_DIGIT.sub(b"", block.buf[start[i]:end[i]].tobytes()))
+    return good.astype(bool)
 
 
 def block_spans(block: tb.Block, model: Model) -> Iterator[tuple[list, list]]:
