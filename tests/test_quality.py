@@ -88,3 +88,24 @@ def test_freshness(spark, hours, status):
     df = spark.sql(f"SELECT timestamp'2024-02-01 00:00:00' - INTERVAL '{hours}' HOUR AS t")
     assert Q.dq_fresh(df, "t", as_of="2024-02-01 00:00:00").first().status == status
     assert Q.dq_fresh(df.limit(0), "t", as_of="2024-02-01").first().status == "ERROR"
+
+
+def test_row_local_rules_are_counted_while_a_table_is_written(clean, tmp_path):
+    """Same outcomes as by scans, planted violations among them, and no scan for them in the plan."""
+    for n, rule in enumerate([r for r in Q.RULES if r.bad is not None][::6]):
+        df = violate(rule, clean[rule.table])
+        path = f"{tmp_path}/{n}"
+        counts = Q.write_checked(df, path, rule.table)
+        written = df.sparkSession.read.schema(df.schema).parquet(path)
+        rules = [r for r in Q.RULES if r.bad is not None]
+        got = Q.dq_suite({rule.table: written}, rules=rules, counted={rule.table: counts}, as_of="2024-02-01")
+        assert rows(got) == rows(Q.dq_suite({rule.table: written}, rules=rules, as_of="2024-02-01"))
+        assert counts[f"{rule.kind} {rule.column}"] == 1
+        if rule.table != "raw":
+            assert "Scan parquet" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_uniqueness_by_hash(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), (None, 4), (None, 5), ("c", 6), ("c", 7), ("c", 8)], "k string, v int")
+    assert rows(Q.dq_unique_by_hash(df, "k")) == rows(Q.dq_unique(df, "k")) == [("a", 2), ("c", 3)]
+    assert rows(Q.dq_unique_by_hash(df, "k", "v > 1")) == [("c", 3)]

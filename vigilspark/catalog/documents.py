@@ -241,14 +241,14 @@ PAIRS_SQL = f"""WITH {DOCS_SQL}, {DOC_CHILDREN_SQL}
 
 @query("drug_reaction_pairs", PAIRS_SQL)
 def drug_reaction_pairs(spark, sf_dir):
-    return R.pairs_of_reports(stored(staged(spark, sf_dir), "staged")).select(*PAIR_COLUMNS)
+    return R.pairs_of_arrays(stored(R.pair_arrays(staged(spark, sf_dir)), "pair-arrays")).select(*PAIR_COLUMNS)
 
 
 @query("report_pairs", PAIRS_SQL)
 def report_pairs(spark, sf_dir):
     """The same pairs by joining the two child tables."""
     reports = stored(staged(spark, sf_dir), "staged")
-    return R.drug_reaction_pairs(R.report_drugs(reports), R.report_reactions(reports))
+    return R.drug_reaction_pairs(R.report_drugs(reports), R.report_reactions(reports), longest=R.longest_list(reports))
 
 
 @query("filter_named_drugs", f"""WITH {DOCS_SQL}, {DOC_CHILDREN_SQL}

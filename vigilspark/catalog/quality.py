@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import quality as Q
 from ..plans import reports as R
 from ..plans.signals import risk_signals_of_reports
-from ..session import stored
+from ..session import scratch_path
 from . import query
 from .bindings import DOC_CHILDREN_SQL, DOCS_SQL, MARTS_SQL, raw, table
 from .documents import REPORT_SQL, staged
@@ -105,10 +105,18 @@ SELECT 'freshness', 'raw', 'ingestion_timestamp', CASE WHEN h <= 24 THEN 0 ELSE
 
 @query("dq_suite", SUITE_SQL)
 def dq_suite(spark, sf_dir):
-    documents = stored(raw(spark, sf_dir), "raw")
-    reports = stored(R.stage_reports(documents), "reports")
-    children = {"report_drugs": R.report_drugs, "report_reactions": R.report_reactions, "pairs": R.pairs_of_reports}
-    return Q.dq_suite({
-        "raw": documents, "reports": reports, **{name: stored(make(reports), name) for name, make in children.items()},
-        "signals": stored(risk_signals_of_reports(reports), "signals"),
-    }, as_of=AS_OF)
+    """All rules over stored tables; the row-local ones are counted while the tables are written."""
+    tables, counted = {}, {}
+
+    def kept(name, df):
+        path = scratch_path(spark, name)
+        counted[name] = Q.write_checked(df, path, name)
+        tables[name] = spark.read.schema(df.schema).parquet(path)
+        return tables[name]
+
+    reports = kept("reports", R.stage_reports(kept("raw", raw(spark, sf_dir))))
+    kept("report_drugs", R.report_drugs(reports))
+    kept("report_reactions", R.report_reactions(reports))
+    kept("pairs", R.pairs_of_reports(reports))
+    kept("signals", risk_signals_of_reports(reports))
+    return Q.dq_suite(tables, as_of=AS_OF, counted=counted)

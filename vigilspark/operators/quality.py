@@ -7,11 +7,12 @@ from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalars import run_timestamp
 from ..schemas import FILE_STATUSES, MIN_PAIR_REPORTS, SIGNAL_STRENGTHS
+from ..session import one_row
 
 LOADED = "src_ld_ts > '1900-01-01'"
 
@@ -32,6 +33,14 @@ def dq_unique(df: DataFrame, col: str, where: str | None = None) -> DataFrame:
     )
 
 
+def dq_unique_by_hash(df: DataFrame, col: str, where: str | None = None) -> DataFrame:
+    """The same values, found by two scans: hashes travel, not the values, and only rows whose hash repeats are compared."""
+    rows = df.filter(where) if where else df
+    rows = rows.filter(F.col(col).isNotNull()).select(col, F.xxhash64(col).alias("_h"))
+    suspect = rows.groupBy("_h").agg(F.count("*").alias("_n")).filter("_n > 1").select("_h")
+    return dq_unique(rows.join(suspect, "_h", "left_semi"), col)
+
+
 def dq_accepted(df: DataFrame, col: str, values: list) -> DataFrame:
     """Rows with a value outside the list; NULL passes."""
     return df.filter(~F.col(col).isin(values))
@@ -145,24 +154,52 @@ def _row_local(df: DataFrame, table: str, rules: list[Rule]) -> DataFrame:
     return counts.select(F.inline(rows))
 
 
+def write_checked(df: DataFrame, path: str, table: str, rules: list[Rule] | None = None) -> dict[str, int]:
+    """Write ``df`` as the stored ``table`` and count the failures of its row-local rules on the way.
+
+    Returns ``{"kind column": failures}`` for :func:`dq_suite`: the rules cost no scan of their own.
+    The counts are those of the write's own job, so they hold for the rows that were written.
+    """
+    local = [r for r in (rules or RULES) if r.table == table and r.bad is not None]
+    if not local:
+        df.write.parquet(path)
+        return {}
+    seen = Observation(f"rules of {table}")
+    counts = [F.count_if(r.bad(r.column)).alias(f"_{i}") for i, r in enumerate(local)]
+    df.observe(seen, *counts).write.parquet(path)
+    return {_named(r): seen.get[f"_{i}"] for i, r in enumerate(local)}
+
+
+def _named(rule: Rule) -> str:
+    return f"{rule.kind} {rule.column}"
+
+
+def _counted(spark: SparkSession, table: str, rules: list[Rule], counts: dict[str, int]) -> DataFrame:
+    rows = [F.struct(*_outcome(F.lit(r.kind), table, F.lit(r.column), F.lit(counts[_named(r)]))) for r in rules]
+    return one_row(spark, rows=F.array(*rows)).select(F.inline("rows"))
+
+
 def dq_suite(tables: dict[str, DataFrame], as_of: datetime | str | None = None,
-             rules: list[Rule] | None = None) -> DataFrame:
+             rules: list[Rule] | None = None, counted: dict[str, dict[str, int]] | None = None) -> DataFrame:
     """``(rule, table_name, column_name, failures, status)`` over the given tables.
 
-    Tables absent from ``tables`` are left out together with their rules; the
+    ``counted`` holds, by table, the failures that :func:`write_checked` has counted; the row-local
+    rules of other tables take one scan each.  Tables absent from ``tables`` are left out together with their rules; the
     load-time rule runs when the raw table is given.
     """
     rules = [r for r in (rules or RULES) if r.table in tables]
     parts: list[DataFrame] = []
     for table, df in tables.items():
         local = [r for r in rules if r.table == table and r.bad is not None]
-        if local:
+        if local and table in (counted or {}):
+            parts.append(_counted(df.sparkSession, table, local, counted[table]))
+        elif local:
             parts.append(_row_local(df, table, local))
         for r in rules:
             if r.table != table or r.bad is not None:
                 continue
             if r.kind == "unique":
-                failing = dq_unique(df, r.column, r.where)
+                failing = dq_unique_by_hash(df, r.column, r.where)
             else:
                 parent, field = r.parent
                 if parent not in tables:

@@ -104,9 +104,13 @@ def array_grid(df: DataFrame, left: str, right: str, volume: str, key: str,
     return small.unionByName(spread(large, key, "left_from", "right_from"))
 
 
-def join_within(left: DataFrame, right: DataFrame, key: str, block: int = BLOCK) -> DataFrame:
-    """Every left x right combination inside ``key``."""
-    large = large_keys(left, right, key, block)
+def join_within(left: DataFrame, right: DataFrame, key: str, block: int = BLOCK, longest: int | None = None) -> DataFrame:
+    """Every left x right combination inside ``key``.
+
+    ``longest`` is the largest number of rows that a key has on a side, where the caller knows it
+    (staged reports do): at most ``block`` means that there is no large key to look for.
+    """
+    large = None if longest is not None and longest <= block else large_keys(left, right, key, block)
     if large is None:
         return left.join(right, key)
     # ordinary keys keep the join that Spark plans and sizes for them

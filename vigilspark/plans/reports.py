@@ -221,44 +221,62 @@ def report_reactions(staged: DataFrame, strict: bool = False) -> DataFrame:
     return filter_reaction_present(rows).select(*REPORT_REACTION_COLUMNS)
 
 
-def drug_reaction_pairs(drugs: DataFrame, reactions: DataFrame, block: int = BLOCK) -> DataFrame:
-    """Every drug row with every reaction row of the same report, from the child tables."""
+def longest_list(staged: DataFrame) -> int:
+    """Largest number of child rows that a staged report makes in one child table; two flat columns are read."""
+    named, terms = F.size("drug_names"), F.size("reaction_terms")
+    return staged.agg(F.coalesce(F.max(F.greatest(named, terms)), F.lit(0))).first()[0]
+
+
+def drug_reaction_pairs(drugs: DataFrame, reactions: DataFrame, block: int = BLOCK, longest: int | None = None) -> DataFrame:
+    """Every drug row with every reaction row of the same report, from the child tables (see ``join_within`` for ``longest``)."""
     d = drugs.select("report_id", "drug_name", "drug_characterization", "drug_sequence",
                      "report_drug_id", F.col("src_ld_ts").alias("_drug_ts"))
     r = reactions.select("report_id", "reaction_term", "reaction_sequence", "report_reaction_id",
                          F.col("src_ld_ts").alias("_reaction_ts"))
     return (
-        join_within(d, r, "report_id", block)
+        join_within(d, r, "report_id", block, longest)
         .withColumn("drug_reaction_pair_id", _pair_id())
         .withColumn("src_ld_ts", least_ts("_drug_ts", "_reaction_ts"))
         .select(*PAIR_COLUMNS)
     )
 
 
-def pairs_of_reports(staged: DataFrame, block: int = BLOCK, strict: bool = False) -> DataFrame:
-    """The same pair rows straight from staged reports: two explodes in a row, no shuffle
-    but for reports with very many pairs."""
-    # elements keep their position in the document, which the filters would lose
-    drugs = F.filter(_indexed("drugs"), lambda x: is_named(x["value"]))
-    reactions = F.filter(_indexed("reactions"), lambda x: x["value"]["reactionmeddrapt"].isNotNull())
-    arrays = staged.select("report_id", "src_ld_ts", "pair_volume", drugs.alias("_drugs"),
-                           reactions.alias("_reactions"))
+def pair_arrays(staged: DataFrame, strict: bool = False) -> DataFrame:
+    """What pairs need of a report: (report_id, src_ld_ts, pair_volume, _drugs, _reactions), the arrays narrow and filtered.
+
+    Elements keep their position in the document.
+    """
+    drugs = F.transform(F.filter(_indexed("drugs"), lambda x: is_named(x["value"])), lambda x: F.struct(
+        x["index"].alias("index"), drug_name(x["value"]).alias("name"),
+        fit(x["value"]["drugcharacterization"], "decimal(1,0)", strict).cast("int").alias("characterization")))
+    reactions = F.transform(F.filter(_indexed("reactions"), lambda x: x["value"]["reactionmeddrapt"].isNotNull()),
+                            lambda x: F.struct(x["index"].alias("index"), x["value"]["reactionmeddrapt"].alias("term")))
+    return staged.select("report_id", "src_ld_ts", "pair_volume", drugs.alias("_drugs"), reactions.alias("_reactions"))
+
+
+def pairs_of_arrays(arrays: DataFrame, block: int = BLOCK) -> DataFrame:
+    """Pair rows of :func:`pair_arrays`, which is read twice where it is not stored: two explodes in a row, no
+    shuffle but for reports with very many pairs."""
     cells = array_grid(arrays, "_drugs", "_reactions", "pair_volume", "report_id", block)
     rows = cells.select("report_id", "src_ld_ts", "_reactions", F.explode("_drugs").alias("_d"))
     rows = rows.select("report_id", "src_ld_ts", "_d", F.explode("_reactions").alias("_r"))
-    fields = drug_fields(F.col("_d.value"), strict)
     return (
         rows.select(
-            "report_id", "src_ld_ts", fields["drug_name"].alias("drug_name"),
-            fields["drug_characterization"].alias("drug_characterization"),
+            "report_id", "src_ld_ts", F.col("_d.name").alias("drug_name"),
+            F.col("_d.characterization").alias("drug_characterization"),
             F.col("_d.index").alias("drug_sequence"), _drug_id(F.col("_d.index")),
-            F.col("_r.value.reactionmeddrapt").alias("reaction_term"),
+            F.col("_r.term").alias("reaction_term"),
             F.col("_r.index").alias("reaction_sequence"), _reaction_id(F.col("_r.index")))
         .withColumn("drug_reaction_pair_id", _pair_id())
         .select(*PAIR_COLUMNS)
     )
 
 
+def pairs_of_reports(staged: DataFrame, block: int = BLOCK, strict: bool = False) -> DataFrame:
+    """The same pair rows straight from staged reports."""
+    return pairs_of_arrays(pair_arrays(staged, strict), block)
+
+
 def _indexed(array: str) -> Column:
     return F.transform(array, lambda x, i: F.struct(i.alias("index"), x.alias("value")))
 

@@ -112,12 +112,18 @@ def open_batch(spark: SparkSession, out: str, source: str = BATCH, micro: int |
 
 
 def close_batch(raw: DataFrame, batch_id: int, out: str, source: str = BATCH, micro: int | None = None) -> None:
-    """Mark a batch as completely written, with the newest (load time, ``file_id``) of its documents."""
+    """Mark a batch increment as completely written, with the newest (load time, ``file_id``) of its documents."""
     newest = raw.agg(F.max(F.struct("ingestion_timestamp", "file_id")).alias("mark"))
     newest.select("mark", F.lit(source).alias("source"), F.lit(micro).cast("long").alias("micro")).write.mode(
         "overwrite").parquet(batch_path(out, "done", batch_id))
 
 
+def close_unmarked(spark: SparkSession, batch_id: int, out: str, source: str, micro: int | None = None) -> None:
+    """Mark a batch of a source that keeps its own progress: nothing is read for it."""
+    closing = one_row(spark, mark=F.lit(None).cast(MARK), source=F.lit(source), micro=F.lit(micro).cast("long"))
+    closing.write.mode("overwrite").parquet(batch_path(out, "done", batch_id))
+
+
 def closed_ids(spark: SparkSession, out: str) -> DataFrame | None:
     done = read_table(spark, out, "done")
     return None if done is None else done.select("batch_id").distinct()
@@ -298,8 +304,7 @@ def purge(spark: SparkSession, out: str, pattern: str, raw: DataFrame | None = N
             children_batch(read_batch(spark, out, "staged", batch_id), batch_id, out, strict=strict)
     last = last_file_id(spark, out, batch_id)
     note_file_ids(one_row(spark, file_id=F.lit(last).cast("long")), batch_id, out, last)
-    closing = one_row(spark, mark=F.lit(None).cast(MARK), source=F.lit(f"purge {pattern}"), micro=F.lit(None).cast("long"))
-    closing.write.mode("overwrite").parquet(batch_path(out, "done", batch_id))
+    close_unmarked(spark, batch_id, out, f"purge {pattern}")
 
 
 def compact(spark: SparkSession, source: str, target: str, keep_raw: bool = True) -> None:
