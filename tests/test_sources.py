@@ -16,7 +16,7 @@ from vigilspark.plans.refresh import build_tables, read_mart
 from vigilspark.sources import raw as S
 from vigilspark.sources import tables as T
 from vigilspark.streaming import batches as B
-from vigilspark.streaming.ingest import stream_ingest
+from vigilspark.streaming.ingest import note_empty_files, stream_ingest
 
 
 @pytest.fixture
@@ -166,6 +166,30 @@ def test_validation_and_outcomes(spark, folder):
     assert outcome["many.json"][1] > 0
 
 
+def test_files_of_zero_length_have_an_outcome(spark, folder):
+    (folder / "in" / "sub").mkdir()
+    (folder / "in" / "sub" / "b c+d.json").write_text("")
+    files = S.read_files(spark, f"{folder}/in", empty=True)
+    assert {r.file_name for r in files.collect()} - {r.file_name for r in S.read_files(spark, f"{folder}/in").collect()} == {"zero.json", "sub/b c+d.json"}
+    report = {r.file_name: r.status for r in S.ingest_report(S.spaced_file_id(S.load_rows(files))).collect()}
+    assert report["zero.json"] == report["sub/b c+d.json"] == report["empty.json"] == "FAILED"
+    out = f"{folder}/out"
+    stream_ingest(spark, f"{folder}/in", out, f"{folder}/p", ("load",)).awaitTermination()
+    for _ in range(2):      # the second finds nothing new
+        note_empty_files(spark, f"{folder}/in", out)
+    assert {r.file_name: r.status for r in B.outcomes_of(B.read_closed(spark, out, "loads")).collect()} == report
+    assert B.closed_ids(spark, out).count() == 2
+
+
+def test_names_below_a_resolved_folder(spark, tmp_path):
+    """The folder's name also ends the name of a folder above it."""
+    (tmp_path / "main" / "in" / "sub").mkdir(parents=True)
+    (tmp_path / "main" / "in" / "sub" / "q.json").write_text("{}")
+    for path in (f"{tmp_path}/main/in", f"file:{tmp_path}/main/in/", f"file://{tmp_path}/main/in"):
+        assert rows(S.read_files(spark, path), "file_name") == [("sub/q.json",)]
+    assert rows(S.read_files(spark, f"{tmp_path}/main/*/sub"), "file_name") == [("q.json",)]
+
+
 def test_file_ids_are_dense_over_skewed_partitions(spark):
     docs = spark.range(0, 1000, 1, 5).filter("id < 20 OR id > 500").selectExpr("id AS pos", "'f' AS file_name")
     for order in (None, ["pos"]):

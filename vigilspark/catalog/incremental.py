@@ -15,7 +15,7 @@ from ..sources import keyed as K
 from ..sources import raw as S
 from ..sources import tables as T
 from ..streaming import batches as B
-from ..streaming.ingest import STEPS, stream_ingest
+from ..streaming.ingest import STEPS, note_empty_files, stream_ingest
 from . import query
 from .bindings import (
     DOC_CHILDREN_SQL, DOCS_SQL, MARTS_SQL, SUMMARY_SQL, documents, raw, table,
@@ -309,3 +309,22 @@ def stream_outcomes(spark, sf_dir):
     both = streamed.join(batch, ["file_name", "outcome", "pos"])
     return both.groupBy(F.substring_index("file_name", "/", 1).alias("folder"), F.col("outcome").alias("status")).agg(
         F.count("*").alias("n"))
+
+
+@query("outcomes_of_all_files", f"""WITH {DOCS_SQL}, files AS (
+  SELECT CASE WHEN doc_key % 3 = 0 THEN 'good' ELSE 'cut' END AS folder, CASE WHEN doc_key % 3 = 0 THEN 'SUCCESS' ELSE 'FAILED' END AS status
+  FROM docs WHERE doc_key % 50 < 2 UNION ALL SELECT 'zero', 'FAILED')
+  SELECT reader, folder, status, count(*) AS n FROM files CROSS JOIN (VALUES ('batch'), ('stream')) v(reader) GROUP BY ALL""")
+def outcomes_of_all_files(spark, sf_dir):
+    """A file a document, cut ones among them, and one of zero length: outcomes per folder by the batch reader and by a stream."""
+    root = scratch_path(spark, "all-files")
+    docs = documents(spark, sf_dir).where("doc_key % 50 < 2").select((F.col("doc_key") % 3 == 0).alias("good"), "content")
+    for name, rows in (("good", docs.where("good").select("content")), ("cut", docs.where("NOT good").select(F.substr("content", F.lit(1), F.lit(30))))):
+        rows.toDF("value").write.option("maxRecordsPerFile", 1).text(f"{root}/in/{name}")
+    spark.range(0).selectExpr("'' AS value").write.text(f"{root}/in/zero")      # Spark writes one file without a byte
+    stream_ingest(spark, f"{root}/in", f"{root}/out", f"{root}/progress", ("load",), check_names=False).awaitTermination()
+    note_empty_files(spark, f"{root}/in", f"{root}/out", check_names=False)
+    streamed = B.outcomes_of(_table(spark, f"{root}/out", "loads"))
+    batch = S.ingest_report(S.spaced_file_id(S.load_rows(S.read_files(spark, f"{root}/in", empty=True), check_names=False)))
+    both = streamed.withColumn("reader", F.lit("stream")).unionByName(batch.withColumn("reader", F.lit("batch")))
+    return both.groupBy("reader", F.substring_index("file_name", "/", 1).alias("folder"), "status").agg(F.count("*").alias("n"))

@@ -8,6 +8,7 @@ nothing and never stops the others.
 
 from __future__ import annotations
 
+import re
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,18 +25,36 @@ _STRICT_JSON = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
 MAX_FILES = 10_000
 
 
-def read_files(spark: SparkSession, path: str) -> DataFrame:
+def read_files(spark: SparkSession, path: str, empty: bool = False) -> DataFrame:
     """All files below ``path`` as ``(file_name, content)``; compressed files are unpacked.
 
-    ``file_name`` is the path below ``path``.  Spark's file sources leave out
-    files of zero length; they hold nothing to load and so get no outcome row
-    either.
+    ``file_name`` is the path below ``path``.  Spark's file sources leave out files of zero length;
+    with ``empty`` they come from :func:`empty_files`, so that they get an outcome, too.
     """
-    return _named_files(spark.read.option("recursiveFileLookup", True).text(path, wholetext=True), path)
+    found = _named_files(_text_reader(spark, path), path)
+    return found.unionByName(empty_files(spark, path)) if empty else found
+
+
+def _text_reader(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.option("recursiveFileLookup", True).text(path, wholetext=True)
+
+
+def empty_files(spark: SparkSession, path: str) -> DataFrame:
+    """Files of zero length below ``path`` as ``(file_name, content)``, their content the empty text.
+
+    They are what Spark has listed and its file source does not read.  No content is read; the
+    names on the driver are those of Spark's own listing.
+    """
+    listed = _text_reader(spark, path).inputFiles()
+    read = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select(F.col("_metadata.file_path").alias("at"))
+    names = spark.createDataFrame([(f,) for f in listed], "at string")
+    at = lambda c: F.regexp_replace(c, "^([A-Za-z0-9+.-]+):/+", "$1:/")
+    rows = names.select(at("at").alias("at")).join(read.select(at("at").alias("at")), "at", "left_anti")
+    return rows.select(_name_below(spark, path, F.col("at"), F.element_at(F.split("at", "/"), -1)).alias("file_name"), F.lit("").alias("content"))
 
 
 def stream_files(spark: SparkSession, path: str, max_files: int | None = MAX_FILES) -> DataFrame:
-    """The same frame, subfolders included, as a file stream that picks up new files."""
+    """The same frame, subfolders included, as a file stream that picks up new files (of more than no bytes)."""
     reader = spark.readStream.format("text").option("wholetext", True).option("recursiveFileLookup", True)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
@@ -44,14 +63,20 @@ def stream_files(spark: SparkSession, path: str, max_files: int | None = MAX_FIL
 
 def _named_files(files: DataFrame, path: str) -> DataFrame:
     """Names relative to ``path``; for a path with wildcards, the bare file names."""
-    encoded = F.regexp_replace(F.col("_metadata.file_path"), r"\+", "%2B")   # a plus is no space here
-    full = F.url_decode(encoded)
-    root = f"{path.split(':', 1)[-1].lstrip('/').rstrip('/')}/"
-    at = F.instr(full, F.lit(root))
-    name = F.when(at > 0, F.substr(full, at + F.lit(len(root)))).otherwise(F.col("_metadata.file_name"))
+    name = _name_below(files.sparkSession, path, F.col("_metadata.file_path"), F.col("_metadata.file_name"))
     return files.select(name.alias("file_name"), F.col("value").alias("content"))
 
 
+def _name_below(spark: SparkSession, path: str, at: Column, bare: Column) -> Column:
+    """The part of a file's address below ``path``, which is resolved as Spark's readers resolve it."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    root = re.sub("^([A-Za-z0-9+.-]+):/+", r"\1:/", system.makeQualified(hadoop).toString()).rstrip("/") + "/"
+    encoded = F.regexp_replace(at, r"\+", "%2B")   # a plus is no space here
+    full = F.regexp_replace(F.url_decode(encoded), "^([A-Za-z0-9+.-]+):/+", "$1:/")
+    return F.when(full.startswith(root), F.substr(full, F.lit(len(root) + 1))).otherwise(F.url_decode(F.regexp_replace(bare, r"\+", "%2B")))
+
+
 def is_json_name(name: Column | str) -> Column:
     return F.rlike(name, F.lit(_JSON_NAME))
 
