@@ -2,6 +2,7 @@
 
 import json
 import os
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ import vigilspark.plans.refresh as refresh
 import vigilspark.streaming.ingest as ingest
 from samples import doc, raw, rows
 from vigilspark.plans.refresh import build_marts, build_tables, read_mart
+from vigilspark.sources import bucketed as L
 from vigilspark.sources import keyed as K
 from vigilspark.streaming import batches as B
 from vigilspark.streaming.ingest import stream_ingest
@@ -243,3 +245,28 @@ def test_an_upsert_that_broke_off_is_finished(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(K, "_replace", whole)
     assert dict(rows(K.read_keyed(spark, path)))[3] == "new" and K.read_keyed(spark, path).count() == 10
     assert not K.recover(spark, path)
+
+
+# --- bucketed tables -------------------------------------------------------------------
+
+
+def test_newest_versions_without_a_shuffle(spark, tmp_path):
+    out, prefix = f"{tmp_path}/out", f"t{uuid.uuid4().hex}"
+    first = [(doc(f"R{i}", ["x", "y"], ["r"]), "2024-02-01") for i in range(40)]
+    build_tables(spark, raw(spark, first), out, "incremental", min_reports=1)
+    assert L.sync(spark, out, prefix, buckets=4) == [0]
+    second = [(doc(f"R{i}", ["z"], ["r"]), "2024-02-02") for i in range(0, 60, 3)]
+    build_tables(spark, raw(spark, second, first_id=500), out, "incremental", min_reports=1)
+    assert L.sync(spark, out, prefix, buckets=4) == [1] and L.sync(spark, out, prefix, buckets=4) == []
+    reports, drugs = L.bucketed_reports(spark, prefix), L.bucketed_children(spark, prefix, "report_drugs")
+    want = rows(B.read_current(spark, out, "report_drugs"), "report_id", "drug_name")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")      # nothing is small at scale
+    try:
+        for df in (reports, drugs):
+            assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+        assert rows(drugs, "report_id", "drug_name") == want
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert rows(reports, "report_id") == rows(B.read_current(spark, out), "report_id")
+    assert L.sync(spark, out, prefix, buckets=4, again=True) == [0, 1]      # copying again replaces
+    assert rows(L.bucketed_children(spark, prefix, "report_drugs"), "report_id", "drug_name") == want

@@ -11,6 +11,7 @@ from ..operators.latest import dedupe_latest
 from ..plans.refresh import build_marts, build_tables, read_mart
 from ..plans.reports import report_id
 from ..session import pin, scratch_path
+from ..sources import bucketed as L
 from ..sources import keyed as K
 from ..sources import raw as S
 from ..sources import tables as T
@@ -238,6 +239,32 @@ def marts_by_changes(spark, sf_dir):
     return read_mart(spark, out, "pair_report_counts")
 
 
+def bucketed(spark: SparkSession, sf_dir: str) -> str:
+    """Two increments, copied into bucketed tables one after the other; the tables' prefix."""
+    out = scratch_path(spark, "history")
+    prefix = "reports_" + out.rsplit("-", 1)[-1]
+    documents = pin(raw(spark, sf_dir))
+    for until in ("1997-02-01", "2100-01-01"):
+        build_tables(spark, documents.filter(F.col("ingestion_timestamp") < F.lit(until).cast("timestamp_ntz")), out, "incremental")
+        L.sync(spark, out, prefix, buckets=8)
+    return prefix
+
+
+@query("bucketed_reports", f"""WITH {DOCS_SQL} SELECT * EXCLUDE (src_ld_ts, src_ld_date, source_file)
+  FROM (SELECT {REPORT_SQL} FROM stg)""")
+def bucketed_reports(spark, sf_dir):
+    """Newest versions over two batches of a bucketed table, ranked without a shuffle."""
+    return plain(L.bucketed_reports(spark, bucketed(spark, sf_dir)).drop(
+        "src_ld_ts", "src_ld_date", "source_file", "file_id", "batch_id", "drugs", "reactions", "drug_names", "reaction_terms", "pair_volume"))
+
+
+@query("bucketed_drugs", f"""WITH {DOCS_SQL}, {DOC_CHILDREN_SQL}
+  SELECT report_id || '-' || drug_sequence AS report_drug_id, report_id, drug_name FROM drg""")
+def bucketed_drugs(spark, sf_dir):
+    """Their drug rows, joined without a shuffle."""
+    return L.bucketed_children(spark, bucketed(spark, sf_dir), "report_drugs").select("report_drug_id", "report_id", "drug_name")
+
+
 @query("merge_upsert_stored", """SELECT user_id, event_id, event_type FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events)
   WHERE rn = 1""")
