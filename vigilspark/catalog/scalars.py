@@ -23,7 +23,10 @@ def parse_date_multi(spark, sf_dir):
 @query("cast_date_strict", """SELECT o_orderkey, CASE WHEN o_orderkey % 5 > 1 THEN o_orderdate::DATE::VARCHAR END AS onset
   FROM orders""")
 def cast_date_strict(spark, sf_dir):
-    """A date must be written in full: a year alone, or a time after the day, is no date."""
+    """The lenient cast: a date must be written in full, and what is not (a year alone, a time after the day) is NULL.
+
+    The cast that raises instead is run by ``cast_date_strict_raises``.
+    """
     text = F.expr("""CASE o_orderkey % 5 WHEN 0 THEN date_format(o_orderdate, 'yyyy')
       WHEN 1 THEN concat(date_format(o_orderdate, 'yyyy-MM-dd'), 'T99') ELSE date_format(o_orderdate, 'yyyy-MM-dd') END""")
     doc = parse(F.to_json(F.struct(text.alias("d"))), strict=True)
@@ -32,7 +35,7 @@ def cast_date_strict(spark, sf_dir):
 
 @query("cast_date_strict_raises", "SELECT o_orderkey, o_orderdate::DATE::VARCHAR AS onset FROM orders")
 def cast_date_strict_raises(spark, sf_dir):
-    """The strict cast over full dates; it raises on anything else, where ``cast_date_strict`` gives NULL."""
+    """The raising cast (``strict=True``) over full dates, so it does not raise here; tests run it on misfits."""
     doc = parse(F.to_json(F.struct(F.date_format("o_orderdate", "yyyy-MM-dd").alias("d"))), strict=True)
     return table(spark, sf_dir, "orders").select("o_orderkey", S.fit(path(doc, "$.d"), "date", strict=True).alias("onset"))
 
