@@ -182,6 +182,18 @@ def test_an_increment_reads_changed_reports_only(spark, tmp_path):
     assert rows(changes, "report_id") == [("R7",)]
 
 
+def test_marts_of_an_earlier_version_are_built_anew(spark, tmp_path):
+    out = str(tmp_path)
+    table = raw(spark, [(doc("a", ["x"], ["r"]), "2024-02-01")])
+    B.stage_batch(table, 0, out)
+    B.children_batch(B.read_batch(spark, out, "staged", 0), 0, out)
+    spark.sql("SELECT named_struct('ingestion_timestamp', timestamp'2024-02-01', 'file_id', 1L) AS mark").write.parquet(f"{out}/done/batch_id=0")
+    spark.sql("SELECT 7L AS number, 'old' AS run").write.parquet(f"{out}/published")
+    spark.sql("SELECT 'x' AS drug_name, 'r' AS reaction_term, 1L AS report_count").write.parquet(f"{out}/marts/old/pair_report_counts")
+    build_tables(spark, raw(spark, [(doc("a", ["y"], ["r"]), "2024-02-02"), (doc("b", ["x"], ["r"]), "2024-02-02")], first_id=5), out, "incremental", min_reports=1)
+    assert pairs(spark, out) == [("x", "r", 1), ("y", "r", 1)]
+
+
 @pytest.mark.parametrize("step", ["upsert_keyed", "write_keyed"])
 def test_a_build_that_breaks_off_after_publishing(spark, tmp_path, monkeypatch, step):
     out = str(tmp_path)

@@ -11,8 +11,9 @@ from ..operators.tally import (
     drug_counts, pair_counts, reaction_counts, tally_children, tally_pairs, total_reports,
 )
 from ..plans import consumers as C
+from ..plans import name_index as N
 from ..plans import signals as P
-from ..session import pin
+from ..session import pin, scratch_path
 from . import query
 from .bindings import (
     DRUG, MARTS_SQL, REACTION, SPARSE_DRUG, SPARSE_REACTION, children_sql, drugs, reactions, reports,
@@ -173,6 +174,15 @@ def signals_by_name(spark, sf_dir):
     return C.signals_by_name(sparse_signals(spark, sf_dir), "blue_an", 1000)
 
 
+@query("signals_by_name_indexed", f"""{SPARSE} SELECT {SEARCH_SQL} FROM sig
+  WHERE upper(drug_name) LIKE upper('%blue_an%') {PRR_ORDER} LIMIT 1000""")
+def signals_by_name_indexed(spark, sf_dir):
+    """The same search over a stored mart with an index of its names."""
+    path = scratch_path(spark, "name-index")
+    N.write_index(sparse_signals(spark, sf_dir), path)
+    return N.signals_by_name(spark, path, "blue_an", 1000)
+
+
 @query("signals_by_strength", f"""{SPARSE} SELECT {SEARCH_SQL} FROM sig
   WHERE upper(signal_strength) = upper('baseline') {PRR_ORDER} LIMIT 50""")
 def signals_by_strength(spark, sf_dir):

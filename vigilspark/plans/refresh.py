@@ -68,15 +68,17 @@ def build_marts(spark: SparkSession, out: str, min_reports: int = MIN_PAIR_REPOR
     if staged is None:
         raise ValueError(f"{out} holds no closed batch of reports")
     last = _published(spark, out)
-    if last is not None and last["number"] > _applied(spark, out):
-        _apply(spark, out, last, buckets)
     run = uuid.uuid4().hex
     at, before = f"{out}/marts/{run}", f"{out}/marts/{last['run']}" if last else None
+    if before and read_table(spark, before, "batches") is None:
+        before = None       # marts of an earlier version, which kept no changes: build from the beginning
+    elif before and last["number"] > _applied(spark, out):
+        _apply(spark, out, last, buckets)
     batches = _new_batches(spark, out, before)
     seen = closed_ids(spark, out)       # those of the last build among them
     seen.where(F.col("batch_id").isin(batches)).unionByName(
         spark.read.parquet(f"{before}/batches") if before else seen.limit(0)).coalesce(1).write.parquet(f"{at}/batches")
-    _changes(spark, out, staged, batches, last is not None).write.parquet(f"{at}/changes")
+    _changes(spark, out, staged, batches, before is not None).write.parquet(f"{at}/changes")
     changes = spark.read.parquet(f"{at}/changes")
     new = changes.where("NOT gone").select("new.*")
     old = changes.where("old IS NOT NULL").select("old.*")
