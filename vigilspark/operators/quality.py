@@ -25,12 +25,14 @@ def dq_not_null(df: DataFrame, col: str) -> DataFrame:
 
 
 def dq_unique(df: DataFrame, col: str, where: str | None = None) -> DataFrame:
-    """Non-NULL values that occur more than once, with their number of rows."""
+    """Non-NULL values that occur more than once, with their number of rows.
+
+    NULLs are dropped after the count, in a condition that also needs it: a plain null check would be moved below
+    the projection that extracts the value and make Spark extract it twice.
+    """
     rows = df.filter(where) if where else df
-    return (
-        rows.filter(F.col(col).isNotNull())
-        .groupBy(col).agg(F.count("*").alias("n_records")).filter("n_records > 1")
-    )
+    repeats = F.col("n_records") > 1
+    return rows.groupBy(col).agg(F.count("*").alias("n_records")).filter(F.when(F.col(col).isNotNull(), repeats))
 
 
 def dq_unique_by_hash(df: DataFrame, col: str, where: str | None = None) -> DataFrame:
