@@ -12,7 +12,7 @@ from ..plans import marts as M
 from ..session import pin
 from . import query
 from .bindings import (
-    DRUG, MARTS_SQL, REACTION, SPARSE_DRUG, SUMMARY_SQL, TAILED_DRUG, children_sql, drugs, reactions,
+    DRUG, MARTS_SQL, REACTION, SPARSE_DRUG, SUMMARY_SQL, TAILED_DRUG, children_sql, drugs, line_pairs, reactions,
 )
 from .signals import PLAIN, tally
 
@@ -123,8 +123,4 @@ def top_pairs_in_band_unnamed(spark, sf_dir):
 @query("pair_report_counts_of_pairs", f"{PLAIN} SELECT drug_name, reaction_term, report_count FROM pc")
 def pair_report_counts_of_pairs(spark, sf_dir):
     """The pair mart from a stored pair table (one row per report, drug and reaction, with repeats)."""
-    return M.pair_report_counts(pair_table(spark, sf_dir))
-
-
-def pair_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return drugs(spark, sf_dir).join(reactions(spark, sf_dir), "report_id").select("report_id", "drug_name", "reaction_term")
+    return M.pair_report_counts(line_pairs(spark, sf_dir))

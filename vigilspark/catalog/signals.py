@@ -16,7 +16,7 @@ from ..plans import signals as P
 from ..session import pin, scratch_path
 from . import query
 from .bindings import (
-    DRUG, MARTS_SQL, REACTION, SPARSE_DRUG, SPARSE_REACTION, children_sql, drugs, reactions, reports,
+    DRUG, MARTS_SQL, REACTION, SPARSE_DRUG, SPARSE_REACTION, children_sql, drugs, line_pairs, reactions, reports,
 )
 
 PLAIN = f"WITH {children_sql()}, {MARTS_SQL}"
@@ -214,8 +214,7 @@ def filter_min_reports(spark, sf_dir):
 @query("risk_signals_of_pairs", f"{PLAIN} SELECT {SIGNAL_SQL} FROM sig")
 def risk_signals_of_pairs(spark, sf_dir):
     """Signals from a stored pair table instead of the child tables."""
-    pairs = drugs(spark, sf_dir).join(reactions(spark, sf_dir), "report_id").select("report_id", "drug_name", "reaction_term")
-    made = P.signals_from_tally(pin(tally_pairs(pairs)), reports(spark, sf_dir))
+    made = P.signals_from_tally(pin(tally_pairs(line_pairs(spark, sf_dir))), reports(spark, sf_dir))
     return P.order_signals(made).drop("signal_generated_at")
 
 

@@ -94,25 +94,19 @@ def tally_pairs(pairs: DataFrame) -> DataFrame:
     """Tally of an existing pair table (one row per report x drug x reaction, repeats allowed).
 
     The first reaction is taken per report and drug, the first drug per report
-    and reaction, so the table need not hold every combination of a report.
+    and reaction, so the table need not hold every combination of a report.  Every step groups inside a report: a
+    table that lies by report is not shuffled again before its pairs are summed up, and of any other only rows of one
+    report and name have to meet.
     """
     key = "report_id"
     triples = pairs.filter(F.col(key).isNotNull()).select(key, *PAIR).distinct()
-    t, r, d = triples.alias("t"), "r", "d"
-    first_r = triples.groupBy(key, "drug_name").agg(F.min("reaction_term").alias("_r")).alias(r)
-    first_d = triples.groupBy(key, "reaction_term").agg(F.min("drug_name").alias("_d")).alias(d)
-
-    def same(side: str, col: str):
-        return (F.col(f"t.{key}") == F.col(f"{side}.{key}")) & F.col(f"t.{col}").eqNullSafe(
-            F.col(f"{side}.{col}"))
-
-    flagged = (
-        t.join(first_r, same(r, "drug_name")).join(first_d, same(d, "reaction_term"))
-        .select("t.drug_name", "t.reaction_term",
-                F.col("t.reaction_term").eqNullSafe(F.col("_r")).alias("first_reaction"),
-                F.col("t.drug_name").eqNullSafe(F.col("_d")).alias("first_drug"))
-    )
-    return _sum_up(flagged)
+
+    def first(col: str, other: str):
+        # min() skips NULL, so NULL is first only where it is the only value
+        return F.col(col).eqNullSafe(F.min(col).over(Window.partitionBy(key, other)))
+
+    return _sum_up(triples.withColumn("first_reaction", first("reaction_term", "drug_name"))
+                   .withColumn("first_drug", first("drug_name", "reaction_term")))
 
 
 def tally_change(stored: DataFrame | None, added: DataFrame, removed: DataFrame) -> DataFrame:
