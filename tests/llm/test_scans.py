@@ -101,6 +101,17 @@ def test_long_tokens_of_documents(spark):
     assert len(tokens) >= 25 and not any("abcdefabcdef" in t for t in tokens) and secret_automata.long_tokens(docs) == tokens
 
 
+def test_ordinary_tokens_come_from_all_documents(spark):
+    """Each document's own kind of token is counted, however many documents there are."""
+    rows = [(i, f"see {'abcxyz' * 3}{i:06d}+{i % 7}+end there") for i in range(9001)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    model = secret_automata.train_on(docs)
+    alone = secret_automata.Background(["".join(map(secret_automata._kind, s)) for s in secret_automata.ordinary()])
+    assert model.background.counts["+d", "+"] - alone.counts.get(("+d", "+"), 0) == 9001
+    assert secret_automata.MARGIN <= model.margin <= 4 * secret_automata.MARGIN
+    assert secret_automata.train_on(docs.limit(0)).background.counts == alone.counts
+
+
 def test_automaton_merges_and_scores():
     a = secret_automata.Automaton(["ab" * k for k in range(1, 40)] * 5)
     assert a.log_likelihood("abababab") > a.log_likelihood("abababaa") + 3

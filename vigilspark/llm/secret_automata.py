@@ -5,10 +5,11 @@ character kinds, becomes a prefix tree whose states are merged while their outco
 within Hoeffding's bound (state merging after ALERGIA).  The automata, with the lengths that
 were seen, give the likelihood of a string under each format.  All candidate tokens outside the
 patterns' spans are scored against a model of ordinary long tokens: character kinds by the two
-before, learnt from drawn identifiers, codes and paths and from long tokens of the documents
-themselves (those of about ``SAMPLE_DOCS`` documents, ``SAMPLE_TOKENS`` at most).  Tokens that some
-format explains better by the margin are added.  The margin is ``MARGIN`` nats, or more where more
-than one ordinary token in a thousand would pass.  The patterns' spans always stay; of a
+before, learnt from drawn identifiers, codes and paths and from the distinct long tokens (up to
+``LONGEST`` characters) of all documents.  Their kinds are counted and their scores binned where the
+tokens lie: counts and bins, bounded by the alphabet and the margin's range, reach the driver.  Tokens
+that some format explains better by the margin are added.  The margin is ``MARGIN`` nats, or more
+where more than one ordinary token in a thousand would pass.  The patterns' spans always stay; of a
 candidate that touches one, the parts outside are scored on their own.
 
 Null and empty texts have no spans.  Positions are code points, ends exclusive.  One result per
@@ -20,6 +21,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+import zlib
 from bisect import bisect_left, bisect_right
 from collections import defaultdict
 from collections.abc import Iterator
@@ -32,13 +34,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import stored
 from . import textblocks as tb
 from .shipping import map_arrow
 
 KINDS = ("assign", "access", "hex", "token")
 MARGIN = 6.0
-SAMPLE_DOCS, SAMPLE_TOKENS = 4000, 20_000
-MIN_LENGTH = 16
+MIN_LENGTH, LONGEST = 16, 200
+BINS = 1000                              # bins of a nat for the margin
 _ASSIGN = re.compile(rb"(?:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.IGNORECASE)
 _ASSIGN_WORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 _ACCESS = re.compile(rb"AKIA[A-Z0-9]+")
@@ -214,10 +217,16 @@ class Background:
         self.counts: dict = defaultdict(int)
         self.totals: dict = defaultdict(int)
         for s in strings:
-            for a, b, c in zip("^^" + s, "^" + s, s + "$", strict=False):
-                for context in (a + b, b):
-                    self.counts[context, c] += 1
-                    self.totals[context] += 1
+            self.add(s)
+
+    def add(self, symbols: str) -> None:
+        for a, b, c in zip("^^" + symbols, "^" + symbols, symbols + "$", strict=False):
+            for context in (a + b, b):
+                self.count(context, c, 1)
+
+    def count(self, context: str, symbol: str, n: int) -> None:
+        self.counts[context, symbol] += n
+        self.totals[context] += n
 
     def log_likelihood(self, symbols: str) -> float:
         total = 0.0
@@ -279,8 +288,8 @@ def train(tokens: tuple[str, ...] = ()) -> Model:
     return model
 
 
-def long_tokens(docs: DataFrame) -> tuple[str, ...]:
-    """Distinct candidates outside the patterns' spans in a bounded sample of documents, the same ones on every run."""
+def document_tokens(docs: DataFrame) -> DataFrame:
+    """(token): distinct candidates outside the patterns' spans in all documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -288,13 +297,63 @@ def long_tokens(docs: DataFrame) -> tuple[str, ...]:
                 found = set()
                 for lo, hi in zip(block.bounds[:-1], block.bounds[1:], strict=True):
                     text = block.buf[lo:hi].tobytes()
-                    found |= {t.decode() for _, _, t in _candidates(text, base_spans(text)) if len(t) <= 200}
+                    found |= {t.decode() for _, _, t in _candidates(text, base_spans(text)) if len(t) <= LONGEST}
                 yield pa.RecordBatch.from_arrays([pa.array(sorted(found), pa.string())], ["token"])
 
-    every = max(1, docs.count() // SAMPLE_DOCS)
-    few = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(every)) == 0).select("text")
-    rows = map_arrow(few, run, "token string").distinct().orderBy(F.xxhash64("token"), "token").limit(SAMPLE_TOKENS).collect()
-    return tuple(r["token"] for r in rows)
+    return map_arrow(docs.select("text"), run, "token string").distinct()
+
+
+def long_tokens(docs: DataFrame) -> tuple[str, ...]:
+    """The same tokens in a fixed order, to look at or to pass to :func:`train`; :func:`train_on` brings none here."""
+    return tuple(r["token"] for r in document_tokens(docs).orderBy(F.xxhash64("token"), "token").collect())
+
+
+def train_on(docs: DataFrame) -> Model:
+    """The automata, and the model of ordinary tokens with those of all documents among them."""
+    model = Model(formats(), Background([]))
+    tokens = stored(document_tokens(docs), "long-tokens")
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        halves = Background([]), Background([])
+        for batch in batches:
+            for token in batch.column("token").to_pylist():
+                if not model.headed(token):
+                    halves[zlib.crc32(token.encode()) & 1].add("".join(map(_kind, token)))
+        rows = [(half, context, c, n) for half, found in enumerate(halves) for (context, c), n in found.counts.items()]
+        yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True) if rows else [[]] * 4, (
+            pa.int32(), pa.string(), pa.string(), pa.int64()), strict=True)], ["half", "context", "symbol", "n"])
+
+    met = map_arrow(tokens, counted, "half int, context string, symbol string, n long").groupBy("half", "context", "symbol").agg(F.sum("n").alias("n"))
+    drawn = ["".join(map(_kind, s)) for s in ordinary()]
+    model.background, held = Background(drawn), Model(model.formats, Background(drawn))
+    for half, context, symbol, n in met.collect():
+        model.background.count(context, symbol, n)
+        if half == 0:
+            held.background.count(context, symbol, n)
+
+    # calibrated on tokens that were not learnt from: drawn anew, and one half of the documents' by a model of the other
+    low, high = int(MARGIN * BINS), int(4 * MARGIN * BINS)
+    place = lambda token: min(max(math.floor(held.score(token)[0] * BINS), low), high)
+
+    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bins: dict[int, int] = defaultdict(int)
+        for batch in batches:
+            for token in batch.column("token").to_pylist():
+                if zlib.crc32(token.encode()) & 1 and not model.headed(token):
+                    bins[place(token)] += 1
+        yield pa.RecordBatch.from_arrays([pa.array(bins.keys(), pa.int32()), pa.array(bins.values(), pa.int64())], ["bin", "n"])
+
+    bins = defaultdict(int, map(tuple, map_arrow(tokens, scored, "bin int, n long").groupBy("bin").agg(F.sum("n").alias("n")).collect()))
+    for s in ordinary(seed=16):
+        if len(s) >= MIN_LENGTH:
+            bins[place(s)] += 1
+    above = int(0.999 * (sum(bins.values()) - 1))
+    for at in sorted(bins):
+        if above < bins[at]:
+            model.margin = at / BINS
+            break
+        above -= bins[at]
+    return model
 
 
 def _candidates(text: bytes, base: list[tuple[int, int, int]]) -> Iterator[tuple[int, int, bytes]]:
@@ -333,7 +392,7 @@ NAMES = ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_a
 
 def find(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_added of every document."""
-    model = model or train(long_tokens(docs))
+    model = model or train_on(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[bytes, bool] = {}
