@@ -2,11 +2,13 @@
 
 from pyspark.sql import functions as F
 
-from vigilspark.catalog import bindings
+from vigilspark.catalog import bindings, ingest
 from vigilspark.functions.semistructured import parse, path
 from vigilspark.operators.quality import dq_unique
 from vigilspark.operators.tally import tally_pairs
+from vigilspark.plans import reports as R
 from vigilspark.sources import raw as S
+from vigilspark.streaming import batches as B
 
 SF = "/root/testdata/sf0.001"
 
@@ -47,3 +49,43 @@ def test_pairs_that_lie_by_report_are_tallied_where_they_lie(spark, monkeypatch)
         "report_id long, drug_name string, reaction_term string"))
     assert {tuple(r) for r in own.collect()} == {("a", "x", 1, 1, 1), ("a", "y", 1, 0, 1), (None, "x", 1, 1, 0), (None, "y", 1, 1, 1)}
     assert "Join" not in plan(own)
+
+
+def test_files_are_put_together_where_documents_lie(spark, monkeypatch, tmp_path):
+    orders = bindings.table(spark, SF, "orders").count()
+    monkeypatch.setattr(bindings, "ROWS_PER_TASK", orders // 40)
+    monkeypatch.setattr(ingest, "DOCS_PER_FILE", 7)
+    docs = bindings.dealt_documents(spark, SF)
+    assert docs.rdd.getNumPartitions() >= 40
+    bodies = ingest.file_bodies(docs.where("doc_key % 2 = 1"))
+    physical = bodies._jdf.queryExecution().executedPlan().toString()
+    assert physical.count("Exchange") == 1 and "to_json" not in physical.split("Exchange", 1)[1]    # orders travel, documents do not
+    ingest.write_files(docs, f"{tmp_path}/in")
+    files = S.read_files(spark, f"{tmp_path}/in")
+    assert files.count() >= docs.count() / 7
+    read = S.documents(files)
+    assert read.count() == docs.count()
+    ids = lambda raw: sorted(str(r[0]) for r in raw.select(R.report_id("raw_json")).collect())
+    assert ids(read) == ids(bindings.raw(spark, SF))
+
+
+HISTORY = [("a", 0, "2024-01-01", 1), ("a", 1, "2024-01-02", 2), ("b", 0, "2024-01-03", 3), ("b", 2, "2024-01-01", 4), ("c", 1, None, 5),
+           ("c", 2, "2024-01-01", 1), ("d", 1, "2024-01-01", 6), ("d", 2, "2024-01-01", 6), ("e", 2, None, 7)]
+
+
+def test_superseded_versions_are_left_out_by_a_narrow_table(spark):
+    staged = spark.createDataFrame(HISTORY, "report_id string, batch_id int, at string, file_id long").selectExpr(
+        "report_id", "batch_id", "cast(at AS timestamp) AS src_ld_ts", "file_id", "repeat('x', 100) AS wide")
+    kept = B.without_superseded(staged)
+    assert kept.columns == staged.columns
+    assert sorted((r.report_id, r.batch_id) for r in kept.collect()) == [("a", 1), ("b", 0), ("c", 2), ("d", 2), ("e", 2)]
+    assert {tuple(r) for r in kept.collect()} == {tuple(r) for r in B.current_reports(staged).collect()}
+    assert "Window" not in plan(kept)
+
+
+def test_flat_arrays_are_made_behind_the_shuffles(spark):
+    raw = bindings.raw(spark, SF)
+    assert "drug_names" not in R.newest_reports(raw).columns
+    text = plan(R.stage_reports(raw))
+    assert "drug_names" in text.split("Window", 1)[0] and "drug_names" not in text.split("Window", 1)[1]
+    assert R.stage_reports(raw).schema == R.extract_report(raw).schema
