@@ -6,6 +6,7 @@ from vigilspark.catalog import bindings, ingest
 from vigilspark.functions.semistructured import parse, path
 from vigilspark.operators.quality import dq_unique
 from vigilspark.operators.tally import tally_pairs
+from vigilspark.plans import refresh
 from vigilspark.plans import reports as R
 from vigilspark.sources import raw as S
 from vigilspark.streaming import batches as B
@@ -89,3 +90,17 @@ def test_flat_arrays_are_made_behind_the_shuffles(spark):
     text = plan(R.stage_reports(raw))
     assert "drug_names" in text.split("Window", 1)[0] and "drug_names" not in text.split("Window", 1)[1]
     assert R.stage_reports(raw).schema == R.extract_report(raw).schema
+
+
+def test_a_build_of_one_batch_ranks_no_versions(spark, tmp_path):
+    out, raw = f"{tmp_path}/out", bindings.raw(spark, SF)
+    refresh.build_tables(spark, raw, out, "incremental", children=())
+    staged = B.read_closed(spark, out, "staged")
+    assert "Window" not in plan(refresh._changes(spark, out, staged, [0], False))
+    refresh.build_tables(spark, raw, out, "incremental", children=())       # nothing is new
+    done = {r.batch_id: r.mark for r in B.read_table(spark, out, "done").collect()}
+    assert done[1] is None and done[0].file_id is not None
+    newest = raw.selectExpr("max(struct(ingestion_timestamp, file_id)) AS m").first()[0]
+    assert (done[0].ingestion_timestamp, done[0].file_id) == tuple(newest)
+    marks = {r.batch_id: r.file_id for r in B.read_table(spark, out, "load_marks").collect()}
+    assert marks[0] == marks[1] == raw.selectExpr("max(file_id)").first()[0]

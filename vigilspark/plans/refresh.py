@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from ..operators.tally import pair_counts, tally_change, tally_reports
 from ..schemas import MIN_PAIR_REPORTS
-from ..session import one_row
+from ..session import one_row, stored
 from ..sources.keyed import BUCKETS, is_keyed, lookup, upsert_keyed, write_keyed
 from ..sources.tables import write_table
 from ..streaming.batches import (
@@ -56,8 +56,10 @@ def build_tables(spark: SparkSession, raw: DataFrame, out: str, mode: str = "ful
     batch_id = open_batch(spark, out)
     stage_batch(raw, batch_id, out, strict)
     children_batch(spark.read.parquet(batch_path(out, "staged", batch_id)), batch_id, out, children, strict)
-    note_file_ids(raw, batch_id, out, last_file_id(spark, out, batch_id))
-    close_batch(raw, batch_id, out)
+    # both marks from one pass over the documents
+    marks = stored(raw.agg(F.max("file_id").alias("file_id"), F.max(F.struct("ingestion_timestamp", "file_id")).alias("mark")), "marks")
+    note_file_ids(marks, batch_id, out, last_file_id(spark, out, batch_id))
+    close_batch(marks.where("mark IS NOT NULL").select("mark.*"), batch_id, out)
     build_marts(spark, out, min_reports, as_of)
 
 
@@ -111,7 +113,8 @@ def _changes(spark: SparkSession, out: str, staged: DataFrame, batches: list[int
     Reports of the new batches count if they are newer than the version counted so far.  Reports
     that a purge has touched are looked up over all batches: they may fall back, or be gone.
     """
-    fresh = current_reports(staged.where(F.col("batch_id").isin(batches))).select(*COUNTED)
+    fresh = staged.where(F.col("batch_id").isin(batches))
+    fresh = (fresh if len(batches) == 1 else current_reports(fresh)).select(*COUNTED)     # a batch stages a report once
     purged = read_table(spark, out, "purged_reports") if started else None
     if purged is not None:
         purged = purged.where(F.col("batch_id").isin(batches)).select("report_id").distinct()
