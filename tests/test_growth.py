@@ -1,5 +1,8 @@
 """Tasks grow in number with the input, and costly expressions are evaluated once."""
 
+import glob
+
+import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from vigilspark.catalog import bindings, ingest
@@ -104,3 +107,14 @@ def test_a_build_of_one_batch_ranks_no_versions(spark, tmp_path):
     assert (done[0].ingestion_timestamp, done[0].file_id) == tuple(newest)
     marks = {r.batch_id: r.file_id for r in B.read_table(spark, out, "load_marks").collect()}
     assert marks[0] == marks[1] == raw.selectExpr("max(file_id)").first()[0]
+
+
+def test_a_history_stores_documents_whole(spark, tmp_path):
+    bodies = ['{"id":"a","n":[1.50,{"x":null}]}', '[{"id":"b"},{"id":7,"n":{"x":"1"}}]', "[3]", "null", "{"]
+    files = spark.createDataFrame([(f"{i}.json", b) for i, b in enumerate(bodies)], "file_name string, content string").repartition(1)
+    out = f"{tmp_path}/out"
+    B.load_batch(files, B.open_batch(spark, out), out)
+    stored = glob.glob(f"{out}/loads/batch_id=0/*.parquet")
+    assert stored and not any("typed_value" in str(pq.ParquetFile(f).schema) for f in stored)
+    text = lambda rows: sorted((r[0], r[1] or "") for r in rows.select("file_name", F.to_json("raw_json")).collect())
+    assert text(B.read_batch(spark, out, "loads", 0)) == text(S.load_rows(files))
