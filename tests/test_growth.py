@@ -1,8 +1,10 @@
 """Tasks grow in number with the input, and costly expressions are evaluated once."""
 
 import glob
+import threading
 
 import pyarrow.parquet as pq
+import pytest
 from pyspark.sql import functions as F
 
 from vigilspark.catalog import bindings, ingest
@@ -11,6 +13,7 @@ from vigilspark.operators.quality import dq_unique
 from vigilspark.operators.tally import tally_pairs
 from vigilspark.plans import refresh
 from vigilspark.plans import reports as R
+from vigilspark.session import side_by_side
 from vigilspark.sources import raw as S
 from vigilspark.streaming import batches as B
 
@@ -118,3 +121,37 @@ def test_a_history_stores_documents_whole(spark, tmp_path):
     assert stored and not any("typed_value" in str(pq.ParquetFile(f).schema) for f in stored)
     text = lambda rows: sorted((r[0], r[1] or "") for r in rows.select("file_name", F.to_json("raw_json")).collect())
     assert text(B.read_batch(spark, out, "loads", 0)) == text(S.load_rows(files))
+
+
+def test_independent_steps_run_at_the_same_time(spark):
+    met = threading.Barrier(3, timeout=60)
+    groups = []
+
+    def step():
+        met.wait()
+        spark.range(3).count()
+        groups.append(spark.sparkContext.getLocalProperty("spark.jobGroup.id"))
+
+    def broken():
+        met.wait()
+        raise ValueError("broken")
+
+    spark.sparkContext.setJobGroup("together", "steps of one caller")
+    try:
+        with pytest.raises(ValueError, match="broken"):
+            side_by_side(spark, step, broken, step)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        spark.sparkContext.setLocalProperty("spark.job.description", None)
+    assert groups == ["together", "together"]       # all were waited for, and keep what cancels them
+    side_by_side(spark)
+
+
+def test_children_of_a_batch_are_written_at_the_same_time(spark, tmp_path, monkeypatch):
+    met, write = threading.Barrier(len(B.CHILDREN), timeout=60), B._write
+    out = f"{tmp_path}/out"
+    B.stage_batch(bindings.raw(spark, SF), 0, out)
+    monkeypatch.setattr(B, "_write", lambda rows, path: (met.wait(), write(rows, path)))
+    B.children_batch(B.read_batch(spark, out, "staged", 0), 0, out)
+    for name, rows in B.CHILDREN.items():
+        assert B.read_batch(spark, out, name, 0).count() == rows(B.read_batch(spark, out, "staged", 0)).count() > 0
