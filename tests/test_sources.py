@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from samples import doc, raw, rows, seeded_docs
+from vigilspark.catalog.ingest import write_single
 from vigilspark.functions.semistructured import path
 from vigilspark.operators.within import grid_join, join_within, large_keys
 from vigilspark.plans import reports as R
@@ -181,6 +182,30 @@ def test_files_of_zero_length_have_an_outcome(spark, folder):
     assert B.closed_ids(spark, out).count() == 2
 
 
+def test_a_stream_looks_up_many_files_in_few_tasks(spark, tmp_path):
+    """By default it takes a task a file."""
+    (tmp_path / "in").mkdir()
+    for i in range(120):
+        put(tmp_path, f"{i}.json", doc(str(i)))
+    before = spark.conf.get(S._LOOKUPS)
+    query = stream_ingest(spark, f"{tmp_path}/in", f"{tmp_path}/out", f"{tmp_path}/p", ("load",))
+    query.awaitTermination()
+    tracker = spark.sparkContext.statusTracker()
+    stages = [tracker.getStageInfo(s) for job in tracker.getJobIdsForGroup(str(query.runId)) for s in tracker.getJobInfo(job).stageIds]
+    assert 1 < max(s.numTasks for s in stages if s) <= S.LOOKUPS_PER_CORE * spark.sparkContext.defaultParallelism < 120
+    assert B.read_closed(spark, f"{tmp_path}/out", "loads").where("outcome = 'SUCCESS'").count() == 120
+    assert spark.conf.get(S._LOOKUPS) == before
+
+
+def test_texts_as_single_files_are_those_of_the_text_writer(spark, tmp_path):
+    docs = spark.createDataFrame([("a",), ("a",), ("é\nb",), ("",), (None,)], "value string").repartition(3)
+    write_single(docs, f"{tmp_path}/mine")
+    docs.write.option("maxRecordsPerFile", 1).text(f"{tmp_path}/spark")
+    read = lambda name: sorted(r.content for r in S.read_files(spark, f"{tmp_path}/{name}").collect())
+    assert read("mine") == read("spark") == ["\n", "\n", "a\n", "a\n", "é\nb\n"]
+    assert not [f for f in (tmp_path / "mine").iterdir() if f.name.startswith(".")]
+
+
 def test_names_below_a_resolved_folder(spark, tmp_path):
     """The folder's name also ends the name of a folder above it."""
     (tmp_path / "main" / "in" / "sub").mkdir(parents=True)
