@@ -30,6 +30,19 @@ def test_documents_are_built_by_tasks_of_bounded_rows(spark, monkeypatch):
     assert bindings.documents(spark, SF).rdd.getNumPartitions() >= 40
 
 
+def test_many_parts_are_not_broadcast(spark, tmp_path):
+    """Rows of a few bytes each in the file, of many in the driver's memory."""
+    def built(parts):
+        sf = f"{tmp_path}/{parts}"
+        spark.range(parts).selectExpr("id AS p_partkey", "cast(id % 50 AS int) AS p_size", "'widget' AS p_name").write.parquet(f"{sf}/part.parquet")
+        spark.range(3 * parts).selectExpr("id AS l_orderkey", "xxhash64(id) AS l_suppkey", f"pmod(xxhash64(id, 1), {parts}) AS l_partkey").write.parquet(f"{sf}/lineitem.parquet")
+        return bindings.reactions(spark, sf)
+    many, few = built(1_200_000), built(1_000)
+    assert "Broadcast" not in many._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" in few._jdf.queryExecution().executedPlan().toString()
+    assert many.count() == 3_600_000 and few.count() == 3_000
+
+
 def test_files_are_judged_once(spark):
     files = spark.createDataFrame([("a.json", '{"x":1}'), ("b.json", '{"x":'), ("c.txt", "{}"), (None, "[]")], "file_name string, content string")
     good, bad = S.split_valid(files)
